@@ -496,7 +496,7 @@ _IAC_SQL = """
 
 def _page_files(t: Tables) -> DataFrame:
     path = concat(text("page_id"), "/", F.substring_index("url", "/", -1))
-    return files(t.pages, concat("repo-", (F.col("page_id") % 20).cast("string")), (path, F.col("html")))
+    return files(t.wide("pages"), concat("repo-", (F.col("page_id") % 20).cast("string")), (path, F.col("html")))
 
 
 @query(

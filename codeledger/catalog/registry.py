@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from codeledger.sources.tables import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -19,6 +21,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self._dir}/{name}.parquet")
 
+    def wide(self, name: str) -> DataFrame:
+        """A table for jobs heavy per row: at least one partition per core."""
+        return spread(getattr(self, name))
+
 
 def query(name: str, sql: str | None = None):
     """Register ``fn(t: Tables) -> DataFrame`` under ``name``."""

@@ -27,7 +27,7 @@ def named(**fields: Column) -> Column:
 
 
 def items(t: Tables) -> DataFrame:
-    return t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    return t.wide("lineitem").join(t.part, F.col("l_partkey") == F.col("p_partkey"))
 
 
 # --- lines of code, complexity, languages -----------------------------------
@@ -39,7 +39,7 @@ def cloc_reports(t: Tables) -> DataFrame:
     header = named(n_files=lit(2), version=lit("1.9"))
     body = F.to_json(named(header=header, LANG=counts, SUM=counts))
     body = F.replace(body, lit('"LANG"'), F.concat(lit('"'), "lang", lit('"')))
-    return t.documents.select(F.col("source").alias("repo_id"), lit("cloc").alias("tool"), body.alias("body"))
+    return t.wide("documents").select(F.col("source").alias("repo_id"), lit("cloc").alias("tool"), body.alias("body"))
 
 
 _CLOC_SQL = """
@@ -74,7 +74,7 @@ def lizard_reports(t: Tables) -> DataFrame:
     tail = lit(',"f@1-12@./a.py","./a.py","f","f( a )",1,12')
     long_tail = lit(',"g@1-22@./a.py","./a.py","g","g( a , b )",1,22')
     body = F.concat(head, tail, lit("\n"), head, long_tail, lit("\n\nnot a function\n"))
-    return t.lineitem.select(text("l_suppkey").alias("repo_id"), lit("lizard").alias("tool"), body.alias("body"))
+    return t.wide("lineitem").select(text("l_suppkey").alias("repo_id"), lit("lizard").alias("tool"), body.alias("body"))
 
 
 def _complexity_sql(copies: int) -> str:
@@ -212,7 +212,7 @@ def q_nested_vulns(t: Tables) -> DataFrame:
             Vulnerabilities=F.slice(F.array(low), 1, 0),
         ),
     )
-    reports = t.lineitem.select(text("l_suppkey").alias("repo_id"), F.to_json(named(Results=results)).alias("body"))
+    reports = t.wide("lineitem").select(text("l_suppkey").alias("repo_id"), F.to_json(named(Results=results)).alias("body"))
     rows = r.parse_trivy(reports)
     return rows.groupBy("repo_id", "target", "resource_class", "severity").agg(
         F.count(lit(1)).alias("n"),
@@ -334,7 +334,7 @@ def q_findings(t: Tables) -> DataFrame:
     body = F.to_json(named(results=F.array(result)))
     as_text = F.concat(lit('"metadata":{"cwe":"'), cwe, lit('",'))
     body = F.when(e % 3 == 1, F.replace(body, lit('"metadata":{'), as_text)).otherwise(body)
-    return r.parse_semgrep(t.events.select(text("user_id").alias("repo_id"), body.alias("body")))
+    return r.parse_semgrep(t.wide("events").select(text("user_id").alias("repo_id"), body.alias("body")))
 
 
 def checkov_reports(t: Tables, per_event: bool = False) -> DataFrame:
@@ -353,7 +353,7 @@ def checkov_reports(t: Tables, per_event: bool = False) -> DataFrame:
         .otherwise("{")
     )
     repo = text("event_id" if per_event else "user_id")
-    return t.events.select(repo.alias("repo_id"), lit("checkov").alias("tool"), body.alias("body"))
+    return t.wide("events").select(repo.alias("repo_id"), lit("checkov").alias("tool"), body.alias("body"))
 
 
 _CHECKS_SQL = """

@@ -117,8 +117,8 @@ def syft_dependencies(reports: DataFrame, rules: Sequence[CategoryRule]) -> Data
     return categorize_dependencies(sbom_dependencies(syft_artifacts(reports)), rules)
 
 
-def infer_build_tool(deps: DataFrame, order: Sequence[str] = ("ord",)) -> DataFrame:
-    """(repo_id, build_tool) read off the dependencies.
+def build_tool_vote(order: Sequence[str] = ("ord",)) -> Column:
+    """Aggregate over a repository's dependencies: the build tool they point to.
 
     A wrapper package wins, the first in order; then a Java archive located in
     a ``pom.xml``; then the first Python, npm, Go or Ruby package.
@@ -131,7 +131,7 @@ def infer_build_tool(deps: DataFrame, order: Sequence[str] = ("ord",)) -> DataFr
     def wrapper(tool: str) -> Column:
         return F.concat(F.lit(tool), F.coalesce(F.concat(F.lit(":"), non_empty(version)), F.lit("")))
 
-    is_wrapper = name.contains("gradle-wrapper") | name.contains("maven-wrapper")
+    is_gradle, is_maven = name.contains("gradle-wrapper"), name.contains("maven-wrapper")
     is_pom = (kind == "java-archive") & places.contains("pom.xml")
     ecosystem = (
         F.when(kind == "python", "python")
@@ -139,17 +139,21 @@ def infer_build_tool(deps: DataFrame, order: Sequence[str] = ("ord",)) -> DataFr
         .when(kind == "go-module", "go")
         .when(kind == "gem", "ruby")
     )
-    rank = F.when(is_wrapper, 0).when(is_pom, 1).when(ecosystem.isNotNull(), 2)
+    rank = F.when(is_gradle | is_maven, 0).when(is_pom, 1).when(ecosystem.isNotNull(), 2)
     label = (
-        F.when(name.contains("gradle-wrapper"), wrapper("gradle-wrapper"))
-        .when(name.contains("maven-wrapper"), wrapper("maven-wrapper"))
+        F.when(is_gradle, wrapper("gradle-wrapper"))
+        .when(is_maven, wrapper("maven-wrapper"))
         .when(is_pom, "maven")
         .otherwise(ecosystem)
     )
-    voted = deps.select("repo_id", *order, rank.alias("_rank"), label.alias("_label"))
-    # only rows with a rank take part in min_by's order; the rest leave NULL
-    best = F.min_by("_label", F.when(F.col("_rank").isNotNull(), F.struct("_rank", *order)))
-    return voted.groupBy("repo_id").agg(F.coalesce(best, F.lit("Unknown")).alias("build_tool"))
+    # rows without a rank have no place in the order, so they never win
+    place = F.when(rank.isNotNull(), F.struct(rank, *order))
+    return F.coalesce(F.min_by(label, place), F.lit("Unknown"))
+
+
+def infer_build_tool(deps: DataFrame, order: Sequence[str] = ("ord",)) -> DataFrame:
+    """(repo_id, build_tool) read off the dependencies (see ``build_tool_vote``)."""
+    return deps.groupBy("repo_id").agg(build_tool_vote(order).alias("build_tool"))
 
 
 def runtime_entries(build_tools: DataFrame) -> DataFrame:

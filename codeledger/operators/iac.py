@@ -69,13 +69,16 @@ def iac_components(
     )
 
 
+def signal_flags() -> list[Column]:
+    """Aggregates over a repository's components: three existence flags."""
+    flags = {
+        "dockerfile": F.col("framework").isin("Dockerfile", "docker-compose"),
+        "cicd_pipeline": F.col("category") == "Developer Platform and CI/CD",
+        "iac_config": F.col("category").isin("Infrastructure Platform", "Container Platform"),
+    }
+    return [F.coalesce(F.bool_or(flag), F.lit(False)).alias(name) for name, flag in flags.items()]
+
+
 def modernization_signals(components: DataFrame) -> DataFrame:
-    """Three existence flags per repository that has components."""
-    flags = [
-        (F.col("framework").isin("Dockerfile", "docker-compose"), "dockerfile"),
-        (F.col("category") == "Developer Platform and CI/CD", "cicd_pipeline"),
-        (F.col("category").isin("Infrastructure Platform", "Container Platform"), "iac_config"),
-    ]
-    return components.groupBy("repo_id").agg(
-        *[F.coalesce(F.bool_or(flag), F.lit(False)).alias(name) for flag, name in flags]
-    )
+    """The three flags per repository that has components."""
+    return components.groupBy("repo_id").agg(*signal_flags())

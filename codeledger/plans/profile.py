@@ -26,8 +26,8 @@ from codeledger.functions.scalars import (
     strip,
     years,
 )
-from codeledger.operators.dependencies import infer_build_tool, runtime_entries
-from codeledger.operators.iac import modernization_signals
+from codeledger.operators.dependencies import build_tool_vote, runtime_entries
+from codeledger.operators.iac import signal_flags
 from codeledger.operators.lists import MAX_LIST_ITEMS, find_oversized, list_parts, section_counts
 from codeledger.operators.vulnerabilities import combined_vulnerabilities, deduplicated_vulnerabilities
 
@@ -179,13 +179,13 @@ def _dependency_item() -> Column:
 def dependency_section(deps: DataFrame, oversized: DataFrame | None, order: Sequence[str]) -> DataFrame:
     rows, inline = _inline(deps, oversized, "Dependencies")
     framework = non_empty(strip(F.col("framework")))
-    lists = rows.groupBy("repo_id").agg(
+    return rows.groupBy("repo_id").agg(
         _listed(_dependency_item(), inline).alias("dependencies"),
         F.count(F.lit(1)).alias("n_dependencies"),
         # as long as the rule vocabulary at most
         F.array_sort(F.collect_set(framework)).alias("frameworks"),
+        build_tool_vote(order).alias("build_tool"),
     )
-    return lists.join(infer_build_tool(deps, order), "repo_id")
 
 
 def runtime_section(build_tools: DataFrame, oversized: DataFrame | None) -> DataFrame:
@@ -220,10 +220,8 @@ def semgrep_section(findings: DataFrame, oversized: DataFrame | None) -> DataFra
 
 
 def iac_section(components: DataFrame) -> DataFrame:
-    frameworks = components.groupBy("repo_id").agg(
-        F.array_sort(F.collect_set(non_empty(F.col("framework")))).alias("iac_frameworks")
-    )
-    return frameworks.join(modernization_signals(components), "repo_id")
+    frameworks = F.array_sort(F.collect_set(non_empty(F.col("framework"))))
+    return components.groupBy("repo_id").agg(frameworks.alias("iac_frameworks"), *signal_flags())
 
 
 # --- assembly ---------------------------------------------------------------
@@ -304,16 +302,26 @@ def build_profiles(
     profiles = joined.select(
         "repo_id", F.struct(*_profile_fields()).alias("profile"), _overflow(max_items).alias("overflow")
     )
-    parts = []
+    return profiles, _profile_parts(tables, sources, oversized, max_items)
+
+
+def _profile_parts(
+    tables: ProfileTables, sources: dict, oversized: DataFrame | None, max_items: int
+) -> DataFrame:
+    """(repo_id, section, part, n_parts, items_json) of the oversized sections."""
+    if oversized is None:
+        schema = "repo_id string, section string, part int, n_parts int, items_json string"
+        return tables.inventory.sparkSession.createDataFrame([], schema)
+    # only for repositories that have a document
+    known = tables.inventory.join(tables.repo_metrics, "repo_id", "left_semi").select("repo_id")
+    oversized = oversized.join(known, "repo_id", "left_semi")
+    cut = []
     for section, (rows, items) in sources.items():
-        big = None if oversized is None else oversized.where(F.col("section") == section).drop("section")
-        cut = list_parts(rows, items, big, max_items)
-        parts.append(
-            cut.select(
-                "repo_id", F.lit(section).alias("section"), "part", "n_parts", F.to_json("items").alias("items_json")
-            )
-        )
-    return profiles, reduce(DataFrame.unionByName, parts)
+        big = oversized.where(F.col("section") == section).drop("section")
+        parts = list_parts(rows, items, big, max_items)
+        columns = ["repo_id", F.lit(section).alias("section"), "part", "n_parts"]
+        cut.append(parts.select(*columns, F.to_json("items").alias("items_json")))
+    return reduce(DataFrame.unionByName, cut)
 
 
 def _profile_fields() -> list[Column]:

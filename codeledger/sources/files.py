@@ -18,7 +18,7 @@ def read_repo_files(spark: SparkSession, root: str, name_glob: str | None = None
     base = root.rstrip("/")
     tail = F.substring_index(F.col("path"), base + "/", -1)
     return reader.load(base).select(
-        F.url_decode(F.substring_index(tail, "/", 1)).alias("repo_id"),
+        F.regexp_replace(F.url_decode(F.substring_index(tail, "/", 1)), "^repo_id=", "").alias("repo_id"),
         F.regexp_replace(tail, r"^[^/]*/", "").alias("path"),
         F.col("length").alias("size"),
         F.try_validate_utf8(F.col("content").cast("string")).alias("content"),

@@ -7,26 +7,30 @@ from pyspark.sql import functions as F
 
 from codeledger.functions.scalars import strip
 
-# <root>/<tool>/<url-encoded repo id>.<extension>
-_REPORT_PATH = r"/([^/]+)/([^/]+)\.[A-Za-z0-9]+$"
+# <root>/<tool>/<url-encoded repo id>.<extension>, or the layout of a Spark
+# write: <root>/tool=<tool>/repo_id=<repo id>/<any file>
+_FILE_LAYOUT = r"/([^/]+)/([^/]+)\.[A-Za-z0-9]+$"
+_PARTITION_LAYOUT = r"/tool=([^/]+)/repo_id=([^/]+)/[^/]+$"
 
 
 def report_columns(path: Column) -> list[Column]:
-    """repo id and tool as stated by a report's file path."""
-    return [
-        F.url_decode(F.url_decode(F.regexp_extract(path, _REPORT_PATH, 2))).alias("repo_id"),
-        F.regexp_extract(path, _REPORT_PATH, 1).alias("tool"),
-    ]
+    """repo id and tool as stated by a report's file path (a URL, so encoded once more)."""
+    by_folder = path.rlike(_PARTITION_LAYOUT)
+
+    def group(n: int) -> Column:
+        return F.when(by_folder, F.regexp_extract(path, _PARTITION_LAYOUT, n)).otherwise(
+            F.regexp_extract(path, _FILE_LAYOUT, n)
+        )
+
+    repo_id = F.url_decode(F.url_decode(group(2)))
+    return [repo_id.alias("repo_id"), group(1).alias("tool")]
 
 
 def read_reports(spark: SparkSession, root: str) -> DataFrame:
     """Reports under ``root/<tool>/<repo id>.json`` as (repo_id, tool, body)."""
-    files = (
-        spark.read.option("recursiveFileLookup", "true")
-        .text(root, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
-    )
-    return files.select(*report_columns(F.col("path")), "body")
+    files = spark.read.option("recursiveFileLookup", "true").text(root, wholetext=True)
+    named = files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
+    return named.select(*report_columns(F.col("path")), "body")
 
 
 def report_lines(reports: DataFrame) -> DataFrame:

@@ -85,9 +85,8 @@ class ReportIngest:
         finally:
             reports.unpersist()
 
-    def start(self, reports_root: str, checkpoint: str, max_files: int = 10_000) -> StreamingQuery:
-        """Ingest every file not seen yet, then stop."""
-        incoming = report_stream(self.spark, reports_root, max_files)
+    def start(self, incoming: DataFrame, checkpoint: str) -> StreamingQuery:
+        """Ingest everything ``incoming`` (a stream of reports) has not delivered yet, then stop."""
         return (
             incoming.writeStream.foreachBatch(self.write_batch)
             .option("checkpointLocation", checkpoint)
@@ -96,8 +95,8 @@ class ReportIngest:
         )
 
 
-def report_stream(spark: SparkSession, root: str, max_files: int = 10_000) -> DataFrame:
-    """Report files under ``root/<tool>/`` as a stream of (repo_id, tool, body, modified)."""
+def report_file_stream(spark: SparkSession, root: str, max_files: int = 10_000) -> DataFrame:
+    """Report files under ``root`` as a stream of (repo_id, tool, body, modified, path)."""
     files = (
         spark.readStream.option("wholetext", "true")
         .option("recursiveFileLookup", "true")
@@ -109,16 +108,23 @@ def report_stream(spark: SparkSession, root: str, max_files: int = 10_000) -> Da
             F.col("value").alias("body"),
         )
     )
-    return files.select(*report_columns(F.col("path")), "body", "modified")
+    return files.select(*report_columns(F.col("path")), "body", "modified", "path")
+
+
+def report_table_stream(spark: SparkSession, path: str, max_files: int = 1_000) -> DataFrame:
+    """A parquet folder of reports that jobs append to, as a stream."""
+    schema = f"{schemas.REPORTS}, modified timestamp"
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
 def newest_reports(reports: DataFrame) -> DataFrame:
-    """The newest report per repository and tool.
+    """The newest report per repository and tool; without times, all of them.
 
-    Only times are aggregated; bodies stay where they were read and are kept or
-    dropped by the join.
+    Only times and paths are aggregated; bodies meet the result in a semi join.
     """
-    if "modified" not in reports.columns:
+    order = [c for c in ("modified", "path") if c in reports.columns]
+    if not order:
         return reports
-    newest = reports.groupBy("repo_id", "tool").agg(F.max("modified").alias("modified"))
-    return reports.join(newest, ["repo_id", "tool", "modified"], "left_semi")
+    newest = reports.groupBy("repo_id", "tool").agg(F.max(F.struct(*order)).alias("_newest"))
+    newest = newest.select("repo_id", "tool", *[F.col("_newest").getField(c).alias(c) for c in order])
+    return reports.join(newest, ["repo_id", "tool", *order], "left_semi")
