@@ -517,11 +517,8 @@ def q_iac_theta(t: Tables) -> DataFrame:
         from m group by repo_id""",
 )
 def q_iac_signals(t: Tables) -> DataFrame:
-    repos = t.supplier.select(
-        concat("repo-", text("s_suppkey")).alias("repo_id"),
-        F.col("s_name").alias("repo_slug"),
-        F.col("s_name").alias("repo_name"),
-    )
+    repo = concat("repo-", (F.col("page_id") % 20).cast("string"))
+    repos = t.pages.select(repo.alias("repo_id"), repo.alias("repo_slug"), repo.alias("repo_name")).distinct()
     return modernization_signals(iac_components(_page_files(t), repos, IAC_RULES, "2024-01-01 00:00:00"))
 
 
