@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from codeledger import schemas
 from codeledger.catalog.portfolio import text
 from codeledger.catalog.registry import Tables, query
 from codeledger.functions.scalars import without_qualifier
 from codeledger.operators import build_tools as b
 from codeledger.operators import sbom
 from codeledger.operators.iac import iac_components, iac_matches, modernization_signals
-from codeledger.sources.rules import IacRule, gradle_jdk_map
+from codeledger.plans.tables import build_tools_table, dependency_table
+from codeledger.sources.rules import CategoryRule, IacRule, gradle_jdk_map
 
 
 def lit(value) -> Column:
@@ -255,10 +258,6 @@ def q_gradle_build_files(t: Tables) -> DataFrame:
        from kept""",
 )
 def q_sbom_merge(t: Tables) -> DataFrame:
-    from pyspark.sql.window import Window
-
-    from codeledger import schemas
-
     def artifact(name: Column, version: Column, purl: Column) -> Column:
         none = lit(None)
         a = F.struct(
@@ -539,3 +538,85 @@ def q_signals(t: Tables) -> DataFrame:
     )
     return modernization_signals(rows)
 
+
+
+# --- whole tables -----------------------------------------------------------
+
+
+@query(
+    "q_build_tools_table",
+    f"""with jdks(known, jdk) as (values {_JDK_VALUES})
+        select p_partkey::varchar repo_id, 'gradle' tool, '7.' || (p_size % 6) tool_version, jdk runtime_version
+        from part join jdks on known = '7.' || (p_size % 6) where p_partkey % 6 = 0
+        union all select p_partkey::varchar, 'maven', 'unspecified', p_size::varchar from part where p_partkey % 6 = 0
+        union all select p_partkey::varchar, 'Go Modules', 'Unknown', '1.' || p_size from part where p_partkey % 6 = 1
+        union all select p_partkey::varchar, 'npm', 'bundled', 'Unknown' from part where p_partkey % 6 = 2
+        union all select p_partkey::varchar, 'Hatch', null, null from part where p_partkey % 6 = 3""",
+)
+def q_build_tools_table(t: Tables) -> DataFrame:
+    key, size = text("p_partkey"), part_size().cast("string")
+    rows = files(
+        t.part,
+        key,
+        ("gradle.properties", concat("gradleVersion = 7.", (part_size() % 6).cast("string"))),
+        ("pom.xml", _pom(concat("<release>", size, "</release>"))),
+        ("go.mod", concat("module x\ngo 1.", size, "\n")),
+        ("web/package.json", "{}"),
+        ("hatch.toml", ""),
+        ("docs/readme.md", F.col("p_name")),
+    )
+    kind = part_no() % 6
+    spoken = (
+        F.when(kind == 0, " JAVA")
+        .when(kind == 1, "Go")
+        .when(kind == 2, "TypeScript")
+        .when(kind == 3, "jupyter notebook")
+        .when(kind == 4, "go")
+        .otherwise("C")
+    )
+    languages = t.part.select(key.alias("repo_id"), spoken.alias("main_language"))
+    return build_tools_table(rows, languages)
+
+
+@query(
+    "q_dependency_table",
+    f"""with p as (select p_partkey::varchar repo_id, {_SLUG_SQL} n, p_size s from part)
+        select repo_id, n package_name, s::varchar as version, 'java-archive' package_type, '/base' locations,
+               case when n like '%-plate' then 'Plates' else 'Other' end category from p where s % 2 = 0
+        union all select repo_id, 'other', '1', 'python', '', 'Any' from p where s % 2 = 1
+        union all select repo_id, 'g:' || n, s::varchar, 'java-archive', 'pkg:gradle/g/' || n,
+               case when n like '%-plate' then 'Plates' else 'Other' end from p where s % 2 = 1 and s % 3 <> 0
+        union all select repo_id, 'x:y', 'Unknown', 'java-archive', 'pkg:gradle/x/y', 'Other' from p where s % 3 <> 0""",
+)
+def q_dependency_table(t: Tables) -> DataFrame:
+    key, size = text("p_partkey"), part_size().cast("string")
+    declared = concat("api 'g:", slug(), ":", size, "'\napi('x:y')\n")
+    build = files(
+        t.part,
+        key,
+        ("build.gradle", declared),
+        ("gradle.lockfile", "", part_size() % 3 == 0),
+    )
+    java = F.struct(
+        slug().alias("name"),
+        size.alias("version"),
+        lit("java-archive").alias("type"),
+        concat("pkg:maven/g/", slug(), "@", size).alias("purl"),
+        F.array(F.struct(lit("/base").alias("path"))).alias("locations"),
+    )
+    other = F.struct(
+        lit("other").alias("name"),
+        lit("1").alias("version"),
+        lit("python").alias("type"),
+        lit(None).cast("string").alias("purl"),
+        F.array().cast("array<struct<path: string>>").alias("locations"),
+    )
+    artifacts = F.array(F.when(part_size() % 2 == 0, java).otherwise(other))
+    reports = t.part.select(key.alias("repo_id"), F.to_json(F.struct(artifacts.alias("artifacts"))).alias("body"))
+    rules = [
+        CategoryRule("java-archive", 0, "-plate$", "Plates", "", ""),
+        CategoryRule("python", 0, ".*", "Any", "", ""),
+    ]
+    return dependency_table(reports, build, rules).select(
+        "repo_id", "package_name", "version", "package_type", "locations", "category"
+    )

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codeledger.catalog.portfolio import text
+from codeledger import schemas
+from codeledger.catalog.portfolio import languages, text
 from codeledger.catalog.registry import Tables, query
 from codeledger.functions.scalars import python_round
 from codeledger.operators import reports as r
@@ -131,8 +132,6 @@ def q_percent_parse(t: Tables) -> DataFrame:
        from p join m using (repo_id) group by repo_id""",
 )
 def q_language_map(t: Tables) -> DataFrame:
-    from codeledger.catalog.portfolio import languages
-
     rows = language_section(languages(t))
     entries = F.transform(
         F.map_entries("shares"), lambda e: F.concat(e["key"], lit("="), F.format_string("%.2f", e["value"]))
@@ -514,8 +513,6 @@ def syft_reports(t: Tables) -> DataFrame:
                {_label_sql("package_name", "package_type")} from a where rn = 1""",
 )
 def q_sbom_dependencies(t: Tables) -> DataFrame:
-    from codeledger import schemas
-
     artifacts = syft_reports(t).select(
         "repo_id", "at", F.posexplode(F.from_json("body", schemas.SYFT_REPORT)["artifacts"]).alias("pos", "a")
     )

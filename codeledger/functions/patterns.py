@@ -71,24 +71,37 @@ def _plain_text(pattern: str) -> str | None:
     return bare if probe and _PLAIN.match(probe) else None
 
 
-def search(c: Column, pattern: str, *, ignore_case: bool = False, multiline: bool = False) -> Column:
-    """Whether ``pattern`` occurs anywhere in ``c`` (``re.search`` semantics).
+def sql_text(value: str) -> str:
+    """``value`` as a SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def search_sql(column: str, pattern: str, *, ignore_case: bool = False, multiline: bool = False) -> str:
+    """SQL for "``pattern`` occurs anywhere in ``column``" (``re.search`` semantics).
 
     Patterns that are only text become ``contains``, which is far cheaper than
-    a regex; the rest keep Unicode classes and newline-only line ends.
+    a regex; the rest keep Unicode classes and newline-only line ends.  Text,
+    not Columns: a rule table of a thousand patterns is parsed in one call.
     """
     text = _plain_text(pattern)
-    if text is not None:
-        if not ignore_case:
-            return F.contains(c, F.lit(text))
-        return F.contains(F.lower(c), F.lit(text.lower()))
-    flags = "dU" + ("i" if ignore_case else "") + ("m" if multiline else "")
-    return c.rlike(f"(?{flags}){java_regex(pattern)}")
-
-
-def search_any(c: Column, patterns, **flags) -> Column:
-    found = F.lit(False)
-    for index, pattern in enumerate(patterns):
-        hit = search(c, pattern, **flags)
-        found = hit if index == 0 else found | hit
-    return found
+    if text is None:
+        flags = "dU" + ("i" if ignore_case else "") + ("m" if multiline else "")
+        return f"{column} RLIKE {sql_text(f'(?{flags}){java_regex(pattern)}')}"
+    if ignore_case:
+        return f"contains(lower({column}), {sql_text(text.lower())})"
+    return f"contains({column}, {sql_text(text)})"
+
+
+def search(column: str, pattern: str, **flags: bool) -> Column:
+    return F.expr(search_sql(column, pattern, **flags))
+
+
+def search_any_sql(column: str, patterns, **flags: bool) -> str:
+    """SQL for "any of ``patterns`` occurs"; false without patterns."""
+    return "(" + (" OR ".join(search_sql(column, p, **flags) for p in patterns) or "false") + ")"
+
+
+def literal_map(entries) -> Column:
+    """A string-to-string map literal, parsed in one call."""
+    pairs = [f"{sql_text(k)}, {sql_text(v)}" for k, v in dict(entries).items()]
+    return F.expr(f"map({', '.join(pairs)})")

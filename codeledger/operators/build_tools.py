@@ -26,7 +26,7 @@ from codeledger.functions.scalars import (
     strip,
     without_qualifier,
 )
-from codeledger.functions.patterns import java_regex
+from codeledger.functions.patterns import java_regex, literal_map
 from codeledger.sources.rules import GRADLE_VERSION_RULES, gradle_jdk_map
 
 UNKNOWN_JDK = "JDK version unknown"
@@ -43,7 +43,7 @@ def _group(content: Column, pattern: str, flags: str = "") -> Column:
 
 def jdk_for_gradle(version: Column, jdk_map: Mapping[str, str] | None = None) -> Column:
     """JDK of the longest dotted prefix of ``version`` that the table knows."""
-    table = F.create_map(*[F.lit(x) for pair in (jdk_map or gradle_jdk_map()).items() for x in pair])
+    table = literal_map(jdk_map or gradle_jdk_map())
     parts = F.split(version, r"\.")
     lengths = F.sequence(F.size(parts), F.lit(1), F.lit(-1))
     found = F.transform(lengths, lambda n: table[F.array_join(F.slice(parts, F.lit(1), n), ".")])

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codeledger.functions.patterns import java_regex, search
+from codeledger.functions.patterns import java_regex, search_sql, sql_text
 from codeledger.functions.scalars import non_empty, runtime_entry, strip
 from codeledger.operators.lists import keep_first
 from codeledger.operators.reports import artifact_columns, syft_artifacts
@@ -17,6 +16,7 @@ from codeledger.sources.rules import CategoryRule, category_rules_frame
 # Above this many rules the literal CASE gives way to a salted equi join.
 MAX_LITERAL_RULES = 3_000
 RULE_JOIN_SALTS = 32
+LABEL = "struct<category: string, sub_category: string, framework: string>"
 
 
 def sbom_dependencies(artifacts: DataFrame, order: Sequence[str | Column] = ("pos",)) -> DataFrame:
@@ -29,34 +29,20 @@ def sbom_dependencies(artifacts: DataFrame, order: Sequence[str | Column] = ("po
     return keep_first(rows, ["repo_id", "package_name", "version"], ["ord"])
 
 
-def _first_rule(rules: Sequence[CategoryRule]) -> Column:
-    """CASE over one package type's rules in order; stops at the first hit."""
-    chosen = None
-    for number, rule in rules:
-        hit = search(F.col("package_name"), rule.pattern, ignore_case=True)
-        chosen = F.when(hit, number) if chosen is None else chosen.when(hit, number)
-    return chosen
-
-
 def _match_by_case(names: DataFrame, rules: list[CategoryRule]) -> DataFrame:
-    numbered = list(enumerate(rules, start=1))
-    chosen = None
-    for package_type, group in groupby(numbered, key=lambda pair: pair[1].package_type):
-        of_type = F.col("ptype") == package_type
-        first = _first_rule(list(group))
-        chosen = F.when(of_type, first) if chosen is None else chosen.when(of_type, first)
-    labels = F.array(
-        *[
-            F.struct(
-                F.lit(r.category).alias("category"),
-                F.lit(r.sub_category).alias("sub_category"),
-                F.lit(r.framework).alias("framework"),
-            )
-            for r in rules
-        ]
+    """Number of the first rule that hits, by a CASE per package type that stops there."""
+    by_type: dict[str, list[str]] = {}
+    for number, rule in enumerate(rules):
+        hit = search_sql("package_name", rule.pattern, ignore_case=True)
+        by_type.setdefault(rule.package_type, []).append(f"WHEN {hit} THEN {number}")
+    types = [f"WHEN {sql_text(t)} THEN CASE {' '.join(whens)} END" for t, whens in by_type.items()]
+    picked = names.withColumn("_rule", F.expr(f"CASE ptype {' '.join(types)} END"))
+    labels = names.sparkSession.createDataFrame(
+        [(number, (r.category, r.sub_category, r.framework)) for number, r in enumerate(rules)],
+        f"_rule int, label {LABEL}",
     )
-    picked = names.withColumn("_rule", chosen).where(F.col("_rule").isNotNull())
-    return picked.select("ptype", "package_name", F.element_at(labels, F.col("_rule")).alias("label"))
+    # no more rows than MAX_LITERAL_RULES
+    return picked.join(F.broadcast(labels), "_rule").select("ptype", "package_name", "label")
 
 
 def _match_by_join(names: DataFrame, rules: list[CategoryRule]) -> DataFrame:
@@ -97,9 +83,7 @@ def categorize_dependencies(
     rows = deps.select(*plain, F.lower("package_type").alias("ptype"))
     types = sorted({r.package_type for r in ordered})
     if not ordered:
-        labelled = rows.withColumn(
-            "label", F.lit(None).cast("struct<category: string, sub_category: string, framework: string>")
-        )
+        labelled = rows.withColumn("label", F.lit(None).cast(LABEL))
     else:
         names = rows.where(F.col("ptype").isin(types)).select("ptype", "package_name").distinct()
         match = _match_by_case if len(ordered) <= max_literal_rules else _match_by_join

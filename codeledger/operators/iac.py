@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codeledger.functions.patterns import search_any
+from codeledger.functions.patterns import search_any_sql, sql_text
 from codeledger.functions.scalars import as_timestamp, basename
 from codeledger.sources.rules import IacRule
 
@@ -16,18 +16,15 @@ from codeledger.sources.rules import IacRule
 RULES_PER_ARRAY = 100
 
 
-def _rule_hit(rule: IacRule) -> Column:
-    named = search_any(F.col("_name"), rule.file_patterns)
-    label = F.struct(
-        F.lit(rule.category).alias("category"),
-        F.lit(rule.subcategory).alias("subcategory"),
-        F.lit(rule.framework).alias("framework"),
+def _rule_hit(rule: IacRule) -> str:
+    told = search_any_sql("_name", rule.file_patterns)
+    if rule.content_patterns:
+        # AND stops at the name, so text is searched only in files the name admits
+        told += " AND " + search_any_sql("content", rule.content_patterns, ignore_case=True, multiline=True)
+    label = ", ".join(
+        f"'{name}', {sql_text(getattr(rule, name))}" for name in ("category", "subcategory", "framework")
     )
-    if not rule.content_patterns:
-        return F.when(named, label)
-    told = search_any(F.col("content"), rule.content_patterns, ignore_case=True, multiline=True)
-    # AND stops at the name, so text is searched only in files the name admits
-    return F.when(named & told, label)
+    return f"IF({told}, named_struct({label}), NULL)"
 
 
 def iac_matches(repo_files: DataFrame, rules: Sequence[IacRule]) -> DataFrame:
@@ -44,11 +41,11 @@ def iac_matches(repo_files: DataFrame, rules: Sequence[IacRule]) -> DataFrame:
         return repo_files.select("repo_id", "path", *empty).limit(0)
     every_name = dict.fromkeys(p for r in rules for p in r.file_patterns)
     named = repo_files.withColumn("_name", basename(F.col("path"))).where(
-        search_any(F.col("_name"), every_name)
+        F.expr(search_any_sql("_name", every_name))
     )
     chunks = [rules[i : i + RULES_PER_ARRAY] for i in range(0, len(rules), RULES_PER_ARRAY)]
-    arrays = [F.array(*[_rule_hit(r) for r in chunk]) for chunk in chunks]
-    hits = F.array_compact(F.concat(*arrays) if len(arrays) > 1 else arrays[0])
+    arrays = [f"array({', '.join(_rule_hit(r) for r in chunk)})" for chunk in chunks]
+    hits = F.expr(f"array_compact(concat({', '.join(arrays)}))")
     return named.select("repo_id", "path", F.explode(hits).alias("hit")).select("repo_id", "path", "hit.*")
 
 

@@ -84,18 +84,13 @@ def declared_dependencies(content: Column) -> Column:
 
 
 def gradle_dependencies(build_files: DataFrame) -> DataFrame:
-    """(repo_id, path, pos, group, artifact, version) of build files; map-side only."""
-    found = build_files.select(
-        "repo_id", "path", F.posexplode(declared_dependencies(F.col("content"))).alias("pos", "d")
-    )
-    return found.select(
-        "repo_id",
-        "path",
-        "pos",
-        F.col("d.group").alias("group"),
-        F.col("d.artifact").alias("artifact"),
-        F.col("d.version").alias("version"),
-    )
+    """(repo_id, path, pos, group, artifact, version) of build files; map-side only.
+
+    Takes files with ``content``, or with the ``deps`` already extracted.
+    """
+    deps = F.col("deps") if "deps" in build_files.columns else declared_dependencies(F.col("content"))
+    found = build_files.select("repo_id", "path", F.posexplode(deps).alias("pos", "d"))
+    return found.select("repo_id", "path", "pos", "d.group", "d.artifact", "d.version")
 
 
 def unlocked_modules(repo_files: DataFrame) -> DataFrame:
@@ -137,7 +132,7 @@ def included_modules(repo_files: DataFrame, check_exists: bool = True) -> DataFr
 
 
 def gradle_build_files(repo_files: DataFrame, modules: DataFrame | None = None) -> DataFrame:
-    """(repo_id, path, dependencies) of the Gradle files in modules without a lock file.
+    """(repo_id, path, deps) of the Gradle files in modules without a lock file.
 
     Dependencies are extracted in the scan stage, before the join, so contents
     are not shuffled.  A module that does not exist has no files to join.

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from codeledger.functions.patterns import literal_map
 from codeledger.functions.scalars import language_is
 from codeledger.session import checkpointed
 
@@ -190,7 +191,7 @@ def repository_rulesets(
     entries = [(k.lower(), v) for k, v in ruleset_map.items() if available is None or v in available]
     if not entries:
         return languages.select("repo_id").limit(0).withColumn("rulesets", F.lit(None).cast("array<string>"))
-    table = F.create_map(*[F.lit(x) for pair in entries for x in pair])
+    table = literal_map(entries)
     found = (
         languages.select("repo_id", table[F.lower("language")].alias("path"))
         .where(F.col("path").isNotNull())

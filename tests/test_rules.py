@@ -67,7 +67,7 @@ def test_search_equals_python(spark, pattern, text, ignore_case, multiline):
     flags = (re.IGNORECASE if ignore_case else 0) | (re.MULTILINE if multiline else 0)
     texts = [text, text.upper(), "zz" + text, text + "zz", ""]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
-    hit = search(F.col("t"), pattern, ignore_case=ignore_case, multiline=multiline)
+    hit = search("t", pattern, ignore_case=ignore_case, multiline=multiline)
     for t, found in df.select("t", hit).collect():
         assert found == bool(re.search(pattern, t, flags)), (pattern, t)
 
