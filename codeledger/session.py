@@ -19,6 +19,9 @@ def build_session(app_name: str = "codeledger", master: str | None = None, **con
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # collect_list per repository: sort only when a task sees many keys;
+        # memory stays bounded by the task's input split, not by this number
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "4096")
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
