@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from codeledger import schemas
 from codeledger.catalog.portfolio import text
@@ -253,8 +252,7 @@ def q_gradle_build_files(t: Tables) -> DataFrame:
              from (select * from base union all select * from module)),
        kept as (select * from u qualify row_number() over
                 (partition by repo_id, k order by source_ord, path, pos) = 1)
-       select repo_id, name, version, coalesce(purl, '-') purl, source_ord, pos,
-              row_number() over (partition by repo_id order by lower(name), source_ord, path, pos) place
+       select repo_id, name, version, coalesce(purl, '-') purl, lower(name) name_key, source_ord, path, pos
        from kept""",
 )
 def q_sbom_merge(t: Tables) -> DataFrame:
@@ -283,14 +281,9 @@ def q_sbom_merge(t: Tables) -> DataFrame:
         F.col("l_partkey").alias("pos"),
         artifact(F.upper("p_name"), line.cast("string"), F.when(line < 4, url)),
     )
-    merged = sbom.merge_artifacts(base, module)
-    shown = sbom.sorted_artifacts(merged).select(
-        "repo_id", "a.name", "a.version", F.coalesce("a.purl", lit("-")).alias("purl"), "source_ord", "pos",
-        "name_key", "path",
-    )
-    # the place in the merged list, only shown here: jobs order by MERGED_ORDER
-    place = F.row_number().over(Window.partitionBy("repo_id").orderBy(*sbom.MERGED_ORDER))
-    return shown.withColumn("place", place).drop("name_key", "path")
+    merged = sbom.sorted_artifacts(sbom.merge_artifacts(base, module))
+    url = F.coalesce("a.purl", lit("-")).alias("purl")
+    return merged.select("repo_id", "a.name", "a.version", url, *sbom.MERGED_ORDER)
 
 
 # --- Maven, Go, JavaScript, Python ------------------------------------------

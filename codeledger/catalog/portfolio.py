@@ -622,6 +622,19 @@ def q_late_columns(t: Tables) -> DataFrame:
     return full.select("repo_id", "main_language", "repo_name", "project_key", "repo_slug", "browse_url")
 
 
+@query(
+    "q_fetch_repositories",
+    f"""{_COMBINED_FULL} select i.repo_id, repo_name, repo_slug, host_name, c.status, project_key,
+          (row_number() over (order by i.repo_id) - 1) // 70 + 1 batch_no
+        from c join (select repo_id, repo_name, repo_slug, project_key from i) i using (repo_id)
+        where lower(main_language) in ('1-urgent', '2-high') and lower(status) = 'success'""",
+)
+def q_fetch_repositories(t: Tables) -> DataFrame:
+    payload = {"payload": {"main_language": ["1-urgent", "2-HIGH"], "status": ["Success"]}}
+    rows = derived.fetch_repositories(_combined_from_tables(t), inventory(t), payload, 70)
+    return rows.select("repo_id", "repo_name", "repo_slug", "host_name", "status", "project_key", "batch_no")
+
+
 @query(
     "q_component_map",
     f"""select s_suppkey component_id, s_name component_name, project_key, repo_slug, repo_id, app_id

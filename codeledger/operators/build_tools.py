@@ -7,7 +7,7 @@ stage, and shuffles only those; file contents never move.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -64,39 +64,49 @@ def jdk_lookup(versions: DataFrame, jdk_table: DataFrame, column: str = "version
     return joined.select(*versions.columns, F.coalesce("jdk", F.lit(UNKNOWN_JDK)).alias("jdk"))
 
 
-def gradle_version_in(path: Column, content: Column) -> Column:
+def gradle_version_in(
+    path: Column, content: Column, rules: Sequence[tuple[str, str]] = GRADLE_VERSION_RULES
+) -> Column:
     """The Gradle version a file states, without qualifier, NULL when none."""
     stated = None
-    for file, pattern in GRADLE_VERSION_RULES:
+    for file, pattern in rules:
         applies = (path == file) | path.endswith("/" + file)
         value = _group(content, java_regex(pattern), "dm")
         stated = F.when(applies, value) if stated is None else stated.when(applies, value)
     return non_empty(without_qualifier(stated))
 
 
-def gradle_candidates(repo_files: DataFrame) -> DataFrame:
+def gradle_candidates(
+    repo_files: DataFrame, rules: Sequence[tuple[str, str]] = GRADLE_VERSION_RULES
+) -> DataFrame:
     """Version-bearing files outside build output, wrapper files ranked first."""
     path = F.col("path")
     wrapper_rank = F.when(F.array_contains(F.split(path, "/"), "wrapper"), 0).otherwise(1)
+    version = gradle_version_in(path, F.col("content"), rules)
     return repo_files.where(is_gradle_file(path) & ~in_excluded_dir(path, VERSION_SCAN_EXCLUDED_DIRS)).select(
-        "repo_id", "path", wrapper_rank.alias("rank"), gradle_version_in(path, F.col("content")).alias("version")
+        "repo_id", "path", wrapper_rank.alias("rank"), version.alias("version")
     )
 
 
-def gradle_versions(repo_files: DataFrame) -> DataFrame:
+def gradle_versions(
+    repo_files: DataFrame,
+    rules: Sequence[tuple[str, str]] = GRADLE_VERSION_RULES,
+    jdk_map: Mapping[str, str] | None = None,
+) -> DataFrame:
     """(repo_id, tool, tool_version, runtime_version, error) of Gradle repositories.
 
     The first file that states a version wins.  Files without any version give
     an error row; a repository without Gradle files gives none.
     """
     order = F.when(F.col("version").isNotNull(), F.struct("rank", "path"))
-    chosen = gradle_candidates(repo_files).groupBy("repo_id").agg(F.min_by("version", order).alias("tool_version"))
+    candidates = gradle_candidates(repo_files, rules)
+    chosen = candidates.groupBy("repo_id").agg(F.min_by("version", order).alias("tool_version"))
     known = F.col("tool_version").isNotNull()
     return chosen.select(
         "repo_id",
         F.lit("gradle").alias("tool"),
         "tool_version",
-        F.when(known, jdk_for_gradle(F.col("tool_version"))).alias("runtime_version"),
+        F.when(known, jdk_for_gradle(F.col("tool_version"), jdk_map)).alias("runtime_version"),
         F.when(~known, F.lit("Gradle version detection failed")).alias("error"),
     )
 
@@ -269,21 +279,27 @@ def js_tools(repo_files: DataFrame) -> DataFrame:
     def text(path: str) -> Column:
         return F.try_variant_get(d, path, "string")
 
-    def not_object(path: str) -> Column:
+    def is_kind(path: str, *kinds: str) -> Column:
+        """The value at ``path`` is absent or of one of these JSON types."""
         kind = _kind(d, path)
-        return F.coalesce(kind.isNotNull() & ~kind.startswith("OBJECT"), F.lit(False))
-
-    node_kind = _kind(d, "$.engines.node")
-    bad_engines = not_object("$.engines") | F.coalesce(node_kind != "STRING", F.lit(False))
-    bad_deps = not_object("$.dependencies") | not_object("$.devDependencies")
+        matching = F.lit(False)
+        for k in kinds:
+            matching = matching | kind.startswith(k)
+        return kind.isNull() | matching
+
+    no_object = ~is_kind("$", "OBJECT")
+    # a number or null cannot be searched for a name: the folder is given up
+    broken = ~is_kind("$", "OBJECT", "ARRAY", "STRING") | ~is_kind("$.packageManager", "STRING", "OBJECT", "ARRAY")
+    bad_engines = no_object | ~is_kind("$.engines", "OBJECT") | ~is_kind("$.engines.node", "STRING")
+    bad_deps = ~is_kind("$.dependencies", "OBJECT") | ~is_kind("$.devDependencies", "OBJECT")
+    unknown = F.lit("Unknown")
+    node = F.when(bad_engines, unknown).otherwise(strip(F.coalesce(text("$.engines.node"), unknown)))
     package = F.when(
         d.isNotNull(),
         F.struct(
-            F.coalesce(_kind(d, "$.packageManager") == "VOID", F.lit(False)).alias("broken"),
-            text("$.packageManager").alias("manager"),
-            F.when(bad_engines, F.lit("Unknown"))
-            .otherwise(strip(F.coalesce(text("$.engines.node"), F.lit("Unknown"))))
-            .alias("node"),
+            broken.alias("broken"),
+            F.when(is_kind("$.packageManager", "STRING"), text("$.packageManager")).alias("manager"),
+            node.alias("node"),
             (bad_engines | bad_deps).alias("no_deps"),
             text("$.dependencies.npm").alias("npm"),
             text("$.devDependencies.yarn").alias("yarn"),

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codeledger.functions.scalars import size_class
-from codeledger.operators.selection import main_languages
+from codeledger.operators.selection import main_languages, number_batches, select_repositories
 
 
 def combined_repo_metrics(
@@ -40,6 +42,19 @@ def with_inventory_columns(selected: DataFrame, inventory: DataFrame) -> DataFra
     return selected.join(inventory.select("repo_id", *missing), "repo_id")
 
 
+def fetch_repositories(
+    combined: DataFrame, inventory: DataFrame, payload: Mapping, batch_size: int = 1000
+) -> DataFrame:
+    """Inventory rows of the repositories a payload selects, numbered in batches.
+
+    ``batch_no`` counts from 1 in ``repo_id`` order, ``batch_size`` rows each:
+    the pages a reader would fetch one by one, as one distributed table.
+    """
+    selected = select_repositories(combined, payload, ordered=False)
+    full = with_inventory_columns(selected, inventory).select(*inventory.columns)
+    return number_batches(full, batch_size)
+
+
 def component_repositories(components: DataFrame, inventory: DataFrame) -> DataFrame:
     """Components with the repository of the same project key and slug."""
     repos = inventory.select("project_key", "repo_slug", "repo_id", "repo_name", "app_id", "host_name")

@@ -114,6 +114,11 @@ def test_go_needs_go_files(spark):
         ([("package.json", '{"packageManager":"yarn","devDependencies":{"yarn":"1.2"}}')], [("", "Yarn", "1.2", "Unknown")]),
         ([("package.json", "{broken"), ("yarn.lock", "")], []),
         ([("package.json", '{"packageManager":null}')], []),
+        ([("package.json", '{"packageManager":5}')], []),
+        ([("package.json", '{"packageManager":{"name":"yarn"}}')], [("", "npm", "bundled", "Unknown")]),
+        ([("package.json", "[1]")], [("", "npm", "Unknown", "Unknown")]),
+        ([("package.json", "7")], []),
+        ([("package.json", '{"engines":null}')], [("", "npm", "Unknown", "Unknown")]),
         ([("a/package.json", "{}"), ("b/yarn.lock", ""), ("a/b/package.json", "{}")],
          [("a", "npm", "bundled", "Unknown"), ("a/b", "npm", "bundled", "Unknown")]),
     ],
