@@ -125,7 +125,9 @@ def or_default(c: Column, default: str | int) -> Column:
 
 def package_coordinate(group: Column, artifact: Column, name: Column) -> Column:
     both = (F.coalesce(group, F.lit("")) != "") & (F.coalesce(artifact, F.lit("")) != "")
-    return F.when(both, F.concat(group, F.lit(":"), artifact)).otherwise(or_default(name, "Unknown"))
+    # concat_ws, unlike concat, is never NULL: joins on the name then add no
+    # null filter, and both uses of one dependency list can share a shuffle
+    return F.when(both, F.concat_ws(":", group, artifact)).otherwise(or_default(name, "Unknown"))
 
 
 def first_path(locations: Column) -> Column:

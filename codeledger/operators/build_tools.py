@@ -155,27 +155,17 @@ def maven_projects(repo_files: DataFrame) -> DataFrame:
         .when(is_wrapper, F.regexp_replace(path, r"(^|/)\.mvn/wrapper/[^/]*$", ""))
         .when(is_jvm, F.regexp_replace(path, r"(^|/)\.mvn/[^/]*$", ""))
     )
-    poms = repo_files.where(is_pom).select(
-        "repo_id",
-        dirname(path).alias("project_dir"),
-        F.lit(True).alias("pom"),
-        compiler_level(content).alias("level"),
-        F.lit(None).cast("string").alias("maven"),
-        F.lit(None).cast("string").alias("release"),
-    )
-    settings = repo_files.where(is_wrapper | is_jvm).select(
+    wrapper_version = _group(content, r"^distributionUrl[^\r\n]*?apache-maven-([0-9.]+)-bin", "m")
+    facts = repo_files.where(is_pom | is_wrapper | is_jvm).select(
         "repo_id",
         owner.alias("project_dir"),
-        F.lit(False).alias("pom"),
-        F.lit(None).cast("string").alias("level"),
-        F.when(
-            is_wrapper, _group(content, r"^distributionUrl[^\r\n]*?apache-maven-([0-9.]+)-bin", "m")
-        ).alias("maven"),
+        is_pom.alias("pom"),
+        compiler_level(F.when(is_pom, content)).alias("level"),
+        F.when(is_wrapper, wrapper_version).alias("maven"),
         F.when(is_jvm, _group(content, r"--release\s+(\d+)")).alias("release"),
     )
     projects = (
-        poms.unionByName(settings)
-        .groupBy("repo_id", "project_dir")
+        facts.groupBy("repo_id", "project_dir")
         .agg(
             F.bool_or("pom").alias("has_pom"),
             F.max("level").alias("level"),
@@ -184,9 +174,12 @@ def maven_projects(repo_files: DataFrame) -> DataFrame:
         )
         .where("has_pom")
     )
-    root = projects.where(F.col("project_dir") == "")
-    nested = projects.where(F.col("project_dir") != "").join(root.select("repo_id"), "repo_id", "left_anti")
-    return root.unionByName(nested.select(*root.columns)).select(
+    # from the paths alone, so the contents are read once
+    rooted = repo_files.where(path == "pom.xml").select("repo_id", F.lit(True).alias("_rooted")).distinct()
+    kept = projects.join(rooted, "repo_id", "left").where(
+        (F.col("project_dir") == "") | F.col("_rooted").isNull()
+    )
+    return kept.select(
         "repo_id",
         "project_dir",
         F.lit("maven").alias("tool"),

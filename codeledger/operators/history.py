@@ -57,16 +57,24 @@ def commit_stats(commits: DataFrame, as_of: AsOf) -> DataFrame:
     top3 = (
         top_contributors(by_author, 3)
         .groupBy("repo_id")
-        .agg(F.sum("n").alias("commits_by_top_3_contributors"))
+        .agg(
+            F.sum("n").alias("commits_by_top_3_contributors"),
+            F.min("first").alias("_first"),
+            F.max("last").alias("_last"),
+        )
     )
+    # the top three are among all authors, so their dates change nothing; using
+    # them keeps both branches alike, and they share one scan and one shuffle
+    first = F.least("first_commit_date", "_first")
+    last = F.greatest("last_commit_date", "_last")
     return totals.join(top3, "repo_id").select(
         "repo_id",
         "total_commits",
         "number_of_contributors",
-        activity_status(F.col("last_commit_date"), as_of).alias("activity_status"),
-        "first_commit_date",
-        "last_commit_date",
-        whole_days_between(as_timestamp(as_of), F.col("first_commit_date")).alias("repo_age_days"),
+        activity_status(last, as_of).alias("activity_status"),
+        first.alias("first_commit_date"),
+        last.alias("last_commit_date"),
+        whole_days_between(as_timestamp(as_of), first).alias("repo_age_days"),
         "top_contributor_commits",
         "commits_by_top_3_contributors",
     )

@@ -95,11 +95,13 @@ def gradle_dependencies(build_files: DataFrame) -> DataFrame:
 
 def unlocked_modules(repo_files: DataFrame) -> DataFrame:
     """(repo_id, dir) of folders with a ``build.gradle*`` but no ``gradle.lockfile``."""
-    path = F.col("path")
-    folder = dirname(path).alias("dir")
-    built = repo_files.where(basename(path).startswith("build.gradle")).select("repo_id", folder).distinct()
-    locked = repo_files.where(basename(path) == "gradle.lockfile").select("repo_id", folder)
-    return built.join(locked, ["repo_id", "dir"], "left_anti")
+    name = basename(F.col("path"))
+    built, locked = name.startswith("build.gradle"), name == "gradle.lockfile"
+    folders = repo_files.where(built | locked).select(
+        "repo_id", dirname(F.col("path")).alias("dir"), built.alias("built"), locked.alias("locked")
+    )
+    kinds = folders.groupBy("repo_id", "dir").agg(F.bool_or("built").alias("built"), F.bool_or("locked").alias("locked"))
+    return kinds.where(F.col("built") & ~F.col("locked")).select("repo_id", "dir")
 
 
 def _existing_dirs(repo_files: DataFrame) -> DataFrame:
