@@ -93,7 +93,7 @@ def trivy(t: Tables) -> DataFrame:
     )
 
 
-def metrics(t: Tables) -> DataFrame:
+def metrics(t: Tables) -> tuple[DataFrame, DataFrame]:
     commits = t.lineitem.select(
         repo(),
         F.concat("l_returnflag", text("l_linenumber")).alias("author_email"),
@@ -111,6 +111,7 @@ def metrics(t: Tables) -> DataFrame:
 
 def profile_tables(t: Tables) -> p.ProfileTables:
     line = t.lineitem
+    repo_metrics, recent_parts = metrics(t)
     number, quantity = F.col("l_linenumber"), F.col("l_quantity").cast("int")
     suppliers = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
     inventory = suppliers.where(F.col("n_regionkey") != 4).select(
@@ -186,7 +187,7 @@ def profile_tables(t: Tables) -> p.ProfileTables:
     )
     return p.ProfileTables(
         inventory=inventory,
-        repo_metrics=metrics(t),
+        repo_metrics=repo_metrics,
         lizard_summary=lizard,
         languages=languages,
         cloc_metrics=cloc,
@@ -197,6 +198,7 @@ def profile_tables(t: Tables) -> p.ProfileTables:
         xeol_results=eol,
         semgrep_results=findings,
         iac_components=iac,
+        recent_commit_parts=recent_parts,
     )
 
 

@@ -336,7 +336,7 @@ def q_repo_metrics(t: Tables) -> DataFrame:
     branches = t.orders.where(F.col("o_orderstatus") == "O").select(
         text("o_custkey").alias("repo_id"), text("o_orderkey").alias("ref")
     )
-    metrics = history.repo_metrics(commits(t), files, branches, AS_OF)
+    metrics, _ = history.repo_metrics(commits(t), files, branches, AS_OF)
     return metrics.select(
         "repo_id",
         "repo_size_bytes",

@@ -119,10 +119,14 @@ def repo_metrics(
     branches: DataFrame,
     as_of: AsOf,
     max_items: int = MAX_LIST_ITEMS,
-) -> DataFrame:
-    """The ``repo_metrics`` table: one row per repository that has commits."""
-    dates, _ = recent_commit_dates(commits, as_of, max_items)
-    return (
+) -> tuple[DataFrame, DataFrame]:
+    """The ``repo_metrics`` table, one row per repository that has commits, and date parts.
+
+    Repositories with more than ``max_items`` recent commits have no date list
+    in the table; their dates are the parts (see ``recent_commit_dates``).
+    """
+    dates, parts = recent_commit_dates(commits, as_of, max_items)
+    metrics = (
         commit_stats(commits, as_of)
         .join(size_totals(repo_files), "repo_id", "left")
         .join(branch_counts(branches), "repo_id", "left")
@@ -144,3 +148,4 @@ def repo_metrics(
             as_timestamp(as_of).alias("updated_at"),
         )
     )
+    return metrics, parts

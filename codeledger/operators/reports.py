@@ -262,20 +262,19 @@ def is_json(body: Column) -> Column:
     return F.try_parse_json(body).isNotNull()
 
 
+def unreadable_reason() -> Column:
+    """Why a report (tool, body) cannot be read, NULL when it can."""
+    body = F.btrim("body", F.lit(" \t\r\n"))
+    is_text = F.col("tool").isin("lizard", "enry")
+    empty_check = (F.col("tool") == "checkov") & body.rlike(r"^(\[\s*\]|\{\s*\})$")
+    return F.when(~is_text & ~is_json(body), "not valid JSON").when(empty_check, "empty output")
+
+
 def report_errors(reports: DataFrame) -> DataFrame:
     """(repo_id, tool, reason) of reports that cannot be read; their old rows should stay."""
-    body = F.btrim("body", F.lit(" \t\r\n"))
-    json_tools = ["cloc", "trivy", "grype", "xeol", "semgrep", "checkov", "syft"]
-    reason = (
-        F.when(~F.col("tool").isin(json_tools), None)
-        .when(~is_json(body), F.lit("not valid JSON"))
-        .when((F.col("tool") == "checkov") & body.rlike(r"^(\[\s*\]|\{\s*\})$"), F.lit("empty output"))
-    )
-    return reports.select("repo_id", "tool", reason.alias("reason")).where(F.col("reason").isNotNull())
+    reasons = reports.select("repo_id", "tool", unreadable_reason().alias("reason"))
+    return reasons.where(F.col("reason").isNotNull())
 
 
 def valid_reports(reports: DataFrame) -> DataFrame:
-    body = F.btrim("body", F.lit(" \t\r\n"))
-    text_tools = F.col("tool").isin("lizard", "enry")
-    empty_check = (F.col("tool") == "checkov") & body.rlike(r"^(\[\s*\]|\{\s*\})$")
-    return reports.where(text_tools | (is_json(body) & ~empty_check))
+    return reports.where(unreadable_reason().isNull())

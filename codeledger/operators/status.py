@@ -55,13 +55,18 @@ def update_inventory_status(
 
 
 def execution_log_rows(
-    outcomes: DataFrame, method_name: str, stage: str, run_id: str, executed_at: datetime | str | Column
+    outcomes: DataFrame,
+    method_name: str,
+    stage: str | Column,
+    run_id: str,
+    executed_at: datetime | str | Column,
 ) -> DataFrame:
     """Log rows for (repo_id, message, error, duration); an error makes a FAILURE."""
+    stage = stage if isinstance(stage, Column) else F.lit(stage)
     failed = F.col("error").isNotNull()
     return outcomes.select(
         F.lit(method_name).alias("method_name"),
-        F.lit(stage).alias("stage"),
+        stage.alias("stage"),
         F.lit(run_id).alias("run_id"),
         "repo_id",
         F.when(failed, "FAILURE").otherwise("SUCCESS").alias("status"),

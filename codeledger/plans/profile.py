@@ -30,6 +30,7 @@ from codeledger.operators.dependencies import build_tool_vote, runtime_entries
 from codeledger.operators.iac import signal_flags
 from codeledger.operators.lists import MAX_LIST_ITEMS, find_oversized, list_parts, section_counts
 from codeledger.operators.vulnerabilities import combined_vulnerabilities, deduplicated_vulnerabilities
+from codeledger.sinks.tables import KeyedTable
 
 # Element fields of the list sections.
 DEPENDENCY_FIELDS = [
@@ -59,7 +60,11 @@ SEMGREP_FIELDS = [
 
 @dataclass
 class ProfileTables:
-    """The tables a profile is built from, in the shapes of ``codeledger.schemas``."""
+    """The tables a profile is built from, in the shapes of ``codeledger.schemas``.
+
+    ``recent_commit_parts`` (repo_id, part, n_parts, items) holds the commit
+    dates of repositories whose list was too long for ``repo_metrics``.
+    """
 
     inventory: DataFrame
     repo_metrics: DataFrame
@@ -73,6 +78,7 @@ class ProfileTables:
     xeol_results: DataFrame
     semgrep_results: DataFrame
     iac_components: DataFrame
+    recent_commit_parts: DataFrame | None = None
 
 
 def profile_rejects(tables: ProfileTables) -> DataFrame:
@@ -299,6 +305,11 @@ def build_profiles(
         .join(semgrep_section(tables.semgrep_results, oversized), "repo_id", "left")
         .join(iac_section(tables.iac_components), "repo_id", "left")
     )
+    if tables.recent_commit_parts is None:
+        joined = joined.withColumn("_dates_cut", F.lit(False))
+    else:
+        cut = tables.recent_commit_parts.select("repo_id", F.lit(True).alias("_dates_cut")).distinct()
+        joined = joined.join(cut, "repo_id", "left")
     profiles = joined.select(
         "repo_id", F.struct(*_profile_fields()).alias("profile"), _overflow(max_items).alias("overflow")
     )
@@ -309,18 +320,23 @@ def _profile_parts(
     tables: ProfileTables, sources: dict, oversized: DataFrame | None, max_items: int
 ) -> DataFrame:
     """(repo_id, section, part, n_parts, items_json) of the oversized sections."""
-    if oversized is None:
-        schema = "repo_id string, section string, part int, n_parts int, items_json string"
-        return tables.inventory.sparkSession.createDataFrame([], schema)
     # only for repositories that have a document
     known = tables.inventory.join(tables.repo_metrics, "repo_id", "left_semi").select("repo_id")
-    oversized = oversized.join(known, "repo_id", "left_semi")
-    cut = []
-    for section, (rows, items) in sources.items():
-        big = oversized.where(F.col("section") == section).drop("section")
-        parts = list_parts(rows, items, big, max_items)
+    schema = "repo_id string, section string, part int, n_parts int, items_json string"
+    cut = [tables.inventory.sparkSession.createDataFrame([], schema)]
+
+    def add(section: str, parts: DataFrame, items: Column) -> None:
         columns = ["repo_id", F.lit(section).alias("section"), "part", "n_parts"]
-        cut.append(parts.select(*columns, F.to_json("items").alias("items_json")))
+        cut.append(parts.select(*columns, F.to_json(items).alias("items_json")))
+
+    if oversized is not None:
+        oversized = oversized.join(known, "repo_id", "left_semi")
+        for section, (rows, items) in sources.items():
+            big = oversized.where(F.col("section") == section).drop("section")
+            add(section, list_parts(rows, items, big, max_items), F.col("items"))
+    if tables.recent_commit_parts is not None:
+        dates = tables.recent_commit_parts.join(known, "repo_id", "left_semi")
+        add("Recent Commit Dates", dates, F.transform("items", iso_timestamp))
     return reduce(DataFrame.unionByName, cut)
 
 
@@ -384,10 +400,22 @@ def _overflow(max_items: int) -> Column:
         "EOL Results": "n_eol",
         "Semgrep Findings": "n_findings",
     }
-    return F.array_compact(F.array(*[F.when(F.col(c) > max_items, s) for s, c in counts.items()]))
+    dates = F.when(F.col("_dates_cut"), "Recent Commit Dates")
+    return F.array_compact(F.array(dates, *[F.when(F.col(c) > max_items, s) for s, c in counts.items()]))
 
 
 def profile_documents(profiles: DataFrame) -> DataFrame:
-    """The ``profile_cache`` rows: (repo_id, profile_json)."""
-    text = F.to_json("profile", {"ignoreNullFields": "false"})
+    """The ``profile_cache`` rows: (repo_id, profile_json).
+
+    A document whose long sections are parts names them under ``Overflow``.
+    """
+    options = {"ignoreNullFields": "false"}
+    whole = F.to_json("profile", options)
+    cut = F.to_json(F.struct(F.col("profile.*"), F.col("overflow").alias("Overflow")), options)
+    text = F.when(F.size("overflow") > 0, cut).otherwise(whole)
     return profiles.select("repo_id", text.alias("profile_json"))
+
+
+def cache_profiles(profiles: DataFrame, cache: KeyedTable) -> None:
+    """Store the documents, replacing those of the same repositories."""
+    cache.upsert(profile_documents(profiles))

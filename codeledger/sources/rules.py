@@ -279,6 +279,11 @@ def iac_rules_from_frame(rules: DataFrame) -> list[IacRule]:
     return sorted(found, key=lambda r: r.ord)
 
 
+def gradle_rules_from_tree(tree: dict) -> list[tuple[str, str]]:
+    """(file, regex) pairs of an ``extraction_rules`` document, in its order."""
+    return [(rule["file"], rule["regex"]) for rule in tree["extraction_rules"]]
+
+
 def ruleset_map_from_ini(text: str) -> dict[str, str]:
     """Language → ruleset path from an INI text with one section per language."""
     import configparser

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from codeledger import schemas
 from codeledger.operators import reports as r
 from codeledger.operators.dependencies import syft_dependencies
+from codeledger.operators.status import execution_log_rows
 from codeledger.sinks.tables import KeyedTable
 from codeledger.sources.reports import report_columns
 from codeledger.sources.rules import CategoryRule
@@ -52,6 +53,7 @@ class ReportIngest:
     tables_root: str
     rules: Sequence[CategoryRule] = field(default_factory=tuple)
     buckets: int = 256
+    run_name: str = "ingest"
 
     def _target(self, tool: str) -> Target | None:
         if tool == "syft":
@@ -68,8 +70,13 @@ class ReportIngest:
         path = f"{self.tables_root.rstrip('/')}/{target.table}"
         return KeyedTable(self.spark, path, target.schema, buckets=self.buckets)
 
+    def log(self) -> KeyedTable:
+        """The execution log; keyed by run, so a repeated batch is logged once."""
+        path = f"{self.tables_root.rstrip('/')}/analysis_execution_log"
+        return KeyedTable(self.spark, path, schemas.EXECUTION_LOG, key="run_id", buckets=self.buckets)
+
     def write_batch(self, reports: DataFrame, batch_id: int = 0) -> None:
-        """Parse and store one batch of (repo_id, tool, body[, modified]).
+        """Parse and store one batch of (repo_id, tool, body[, modified]), and log it.
 
         Writing the same batch again changes nothing: rows are replaced by key.
         """
@@ -82,6 +89,16 @@ class ReportIngest:
                 valid = r.valid_reports(reports.where(F.col("tool") == tool))
                 new = target.parse(valid)
                 self.table(tool).replace(new, valid.select("repo_id"), target.on_empty)
+            outcomes = reports.where(F.col("tool").isin(known)).select(
+                "repo_id",
+                "tool",
+                F.lit("stored").alias("message"),
+                r.unreadable_reason().alias("error"),
+                F.lit(0.0).alias("duration"),
+            )
+            run_id = f"{self.run_name}-{batch_id}"
+            entries = execution_log_rows(outcomes, "ingest", F.col("tool"), run_id, F.current_timestamp())
+            self.log().replace(entries)
         finally:
             reports.unpersist()
 

@@ -153,3 +153,12 @@ def test_project_kinds(spark):
         ("pom.xml", "", "m"), ("gradle.lockfile", "", "m"),
     )
     assert rows(b.project_kinds(files)) == [("g", True, False, False), ("m", False, True, True), ("x", False, False, False)]
+
+
+def test_gradle_rules_and_jdk_table_are_parameters(spark):
+    from codeledger.sources.rules import gradle_rules_from_tree
+
+    rules = gradle_rules_from_tree({"extraction_rules": [{"file": "build.gradle", "regex": r"ver=(\S+)", "priority": 1}]})
+    files = repo_files(spark, ("build.gradle", "ver=9.1-x"), ("gradle.properties", "gradleVersion=4.2"))
+    found = b.gradle_versions(files, rules, {"9": "25"})
+    assert rows(found, "tool_version", "runtime_version") == [("9.1", "25")]

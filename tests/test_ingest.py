@@ -36,6 +36,12 @@ def test_files_arrive_in_two_runs(spark, tmp_path):
     (later / "b.json").write_text("{broken")
     assert run() == [("b", "CVE-3"), ("org/a", "CVE-9")]
     assert run() == [("b", "CVE-3"), ("org/a", "CVE-9")]
+    found = rows(ingest.log().read(), "run_id", "repo_id", "stage", "status", "message")
+    assert found == [
+        ("ingest-0", "b", "syft", "SUCCESS", "stored"), ("ingest-0", "b", "trivy", "SUCCESS", "stored"),
+        ("ingest-0", "org/a", "trivy", "SUCCESS", "stored"), ("ingest-1", "b", "trivy", "FAILURE", "not valid JSON"),
+        ("ingest-1", "org/a", "trivy", "SUCCESS", "stored"),
+    ]
 
 
 def test_repeated_batches_change_nothing(spark, tmp_path):

@@ -142,6 +142,33 @@ def test_long_sections_come_as_parts(tables):
     assert sorted(by_section["Runtime Version"]) == ["Java:17", "Python:Unknown", "Unknown:1.21"]
 
 
+def test_cut_commit_dates_are_parts_too(spark, tables):
+    from dataclasses import replace
+    from datetime import datetime
+
+    days = [datetime(2024, 1, i + 1) for i in range(4)]
+    cut = spark.createDataFrame(
+        [("r2", 0, 2, days[:2]), ("r2", 1, 2, days[2:]), ("gone", 0, 1, days)],
+        "repo_id string, part int, n_parts int, items array<timestamp>",
+    )
+    profiles, parts = p.build_profiles(replace(tables, recent_commit_parts=cut))
+    assert dict(rows(profiles, "repo_id", "overflow")) == {"r1": [], "r2": ["Recent Commit Dates"]}
+    dates = [d for r in parts.collect() for d in json.loads(r["items_json"])]
+    assert sorted(dates) == [f"2024-01-0{i + 1}T00:00:00" for i in range(4)]
+    documents = {r["repo_id"]: json.loads(r["profile_json"]) for r in p.profile_documents(profiles).collect()}
+    assert documents["r2"]["Overflow"] == ["Recent Commit Dates"] and documents["r1"] == FULL
+
+
+def test_cached_documents_are_replaced(spark, tables, tmp_path):
+    from codeledger.sinks.tables import KeyedTable
+
+    cache = KeyedTable(spark, str(tmp_path / "cache"), schemas.PROFILE_CACHE, buckets=4)
+    profiles, _ = p.build_profiles(tables)
+    for _ in range(2):
+        p.cache_profiles(profiles, cache)
+    assert rows(cache.read(), "repo_id") == [("r1",), ("r2",)]
+
+
 def test_language_order_decides_ties_and_the_last_duplicate_counts(spark):
     data = [("r", "Go", 10.0, 0), ("r", "Java", 50.0, 1), ("r", "C", 50.0, 2), ("r", "Go", 50.001, 3)]
     shares = spark.createDataFrame(data, "repo_id string, language string, percent_usage double, line_no int")
