@@ -100,15 +100,16 @@ def select_repositories(combined: DataFrame, payload: Mapping, ordered: bool = T
 def number_rows(df: DataFrame, key: str = "repo_id") -> DataFrame:
     """Adds ``row_no``, 1.. in ``key`` order, without a single-task window.
 
-    Rows are range-partitioned and sorted, written to the checkpoint folder so
-    the partitions stay fixed, and each partition then starts at the sum of the
-    sizes before it (one row per partition travels to the offset window).
-    ``key`` should be unique, as ``repo_id`` is in the inventory.
+    Rows are range-partitioned and sorted, and written with their partition and
+    place to the checkpoint folder, so both stay fixed; each partition then
+    starts at the sum of the sizes before it (one row per partition travels to
+    the offset window).  ``key`` should be unique, as ``repo_id`` is in the
+    inventory.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = checkpointed(df.repartitionByRange(parts, key).sortWithinPartitions(key))
-    placed = ordered.withColumn("_place", F.monotonically_increasing_id())
-    placed = placed.select(
+    ordered = df.repartitionByRange(parts, key).sortWithinPartitions(key)
+    written = checkpointed(ordered.withColumn("_place", F.monotonically_increasing_id()))
+    placed = written.select(
         *df.columns,
         F.shiftright("_place", 33).alias("_part"),
         F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)).alias("_index"),
