@@ -2,8 +2,9 @@
 
 A table is partitioned by a hash bucket of its key, so replacing the rows of
 some repositories rewrites only their buckets.  Spark's dynamic partition
-overwrite stages the new files and swaps the partitions when the job commits;
-a failed job leaves the table as it was, and every write may be repeated.
+overwrite stages the new files and swaps the partitions when the job commits:
+a job that fails before that leaves the table as it was, and repeating a
+replacing write completes it or changes nothing.
 """
 
 from __future__ import annotations
