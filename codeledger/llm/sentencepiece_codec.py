@@ -15,6 +15,7 @@ from functools import cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -221,7 +222,7 @@ def _encoder(model: str, schema: pa.Schema, passed: list[str]):
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """The rows of a batch, about SLICE_BYTES of text at a time."""
     column = batch.column("text")
-    sizes = np.cumsum(pa.compute.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False))
+    sizes = np.cumsum(pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False))
     start = 0
     while start < batch.num_rows:
         before = sizes[start - 1] if start else 0

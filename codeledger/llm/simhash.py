@@ -60,6 +60,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, blocks:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def keep_first(docs: DataFrame, shingle: int = 3, radius: int = 3, blocks: int = 5) -> DataFrame:
+    """``docs`` with one document of each near-duplicate group: that with the least ``doc_id``.
+
+    All rows of that id stay, and rows of a null id.
+    """
+    groups = near_duplicates(docs, shingle, radius, blocks)
+    gone = checkpointed(groups.where("component_id < doc_id").select(F.col("doc_id").alias("__gone")).distinct())
+    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, print): the fingerprint as a signed 64-bit number.  No shuffle."""
     kind = docs.schema["doc_id"].dataType.simpleString()
