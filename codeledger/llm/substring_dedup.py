@@ -3,9 +3,11 @@
 Documents are dealt to shards by ranges of ``doc_id``.  Every shard sends the
 distinct hashes (80 bits) of its windows, as sorted blocks, to the part of the
 hash range they belong to; each part answers which of them an earlier shard
-holds.  This confirms the recurring windows.  Each shard then compiles its
-recurring windows, word for word, into Aho-Corasick automata of bounded size and
-streams all its documents through them; the matches say which words go.
+holds.  This confirms the recurring passages, runs of recurring windows.  Each
+shard then compiles phrases of its passages, spaced so that every window holds one
+whole, into Aho-Corasick automata of bounded size and streams all its documents
+through them.  Wherever a phrase occurs, the windows around it are looked up among
+the confirmed ones; the words they cover go.
 
 A window is sent once per shard, whatever the number of its copies, so no
 phrase makes a task grow.  Texts are shuffled once, for both passes.
@@ -40,11 +42,12 @@ from codeledger.llm.packing import (
 from codeledger.llm.tables import pieces, text_bytes, with_fields
 
 #: Bytes of text in a shard and window keys in a part: what a task holds.
-SHARD_BYTES = 24 << 20
-PART_KEYS = 2_000_000
-#: Phrases of one automaton, and letters: one per word, below the code point limit.
-AUTOMATON_PHRASES = 200_000
-AUTOMATON_LETTERS = 1_000_000
+SHARD_BYTES = 8 << 20
+PART_KEYS = 1_000_000
+#: Phrases of one automaton.
+AUTOMATON_PHRASES = 32_000
+#: A word of a phrase is written as three letters of 64 each, so that no state has many branches.
+LETTERS, DIGITS = 64, 3
 
 RESULT = T.StructType(
     [
@@ -233,55 +236,57 @@ def _covered(shard: _Shard, earlier: np.ndarray, window: int) -> np.ndarray:
     copy[docs[repeat & ~windows]] = True
     gone = (copy & (shard.lengths >= window))[shard.doc_of]
 
+    # the recurring windows, each where it stands first, as passages: runs of places
     wanted = np.unique(group[repeat & windows & ~copy[docs]])
-    begin = shard.at[shard.order[shard.first][wanted]]
-    order = np.argsort(begin)
-    wanted, begin = wanted[order], begin[order]
-    cover = np.zeros(len(shard.words) + 1, np.int64)
-    for low, high in _chunks(shard, begin, window):
-        end, which = _matches(shard, begin[low:high], window)
-        found = wanted[low:high][which]
-        hit = end[earlier[found] | (holder[found] < shard.ids[shard.doc_of[end]])]
-        cover += np.bincount(hit - window + 1, minlength=len(cover))
-        cover -= np.bincount(hit + 1, minlength=len(cover))[: len(cover)]
+    begin = np.sort(shard.at[shard.order[shard.first][wanted]])
+    located = _occurrences(shard, _phrases(begin, window), _phrase_length(window))
+    near = np.concatenate([[0], np.cumsum(located)])
+    reach = window - _phrase_length(window) + 1
+    recurring = np.zeros(len(shard.at), bool)
+    recurring[shard.order[repeat & windows]] = True
+    start = shard.at[recurring & (near[np.minimum(shard.at + reach, len(near) - 1)] > near[shard.at])]
+    cover = np.bincount(start, minlength=len(shard.words) + 1) - np.bincount(start + window, minlength=len(shard.words) + 1)
     return gone | (np.cumsum(cover)[:-1] > 0)
 
 
-def _chunks(shard: _Shard, begin: np.ndarray, window: int) -> Iterator[tuple[int, int]]:
-    """Ranges of phrases whose automaton stays within its bounds."""
-    todo = [(i, min(i + AUTOMATON_PHRASES, len(begin))) for i in range(0, len(begin), AUTOMATON_PHRASES)]
-    while todo:
-        low, high = todo.pop()
-        letters = len(np.unique(shard.words[begin[low:high, None] + np.arange(window)]))
-        if letters > AUTOMATON_LETTERS and high - low > 1:
-            todo += [(low, (low + high) // 2), ((low + high) // 2, high)]
-        else:
-            yield low, high
+def _phrase_length(window: int) -> int:
+    """Phrases as far apart as they are long: every window holds a whole one."""
+    return (window + 1) // 2
 
 
-def _matches(shard: _Shard, begin: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ends and numbers of all occurrences of the phrases at ``begin`` in all documents.
+def _phrases(begin: np.ndarray, window: int) -> np.ndarray:
+    """Places of phrases that cut each passage, given the sorted places of its windows."""
+    if not len(begin):
+        return begin
+    length = _phrase_length(window)
+    breaks = np.flatnonzero(np.diff(begin) > 1) + 1
+    first, last = begin[np.append(0, breaks)], begin[np.append(breaks - 1, len(begin) - 1)]
+    counts = (last - first + window - length) // length + 1
+    number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return np.repeat(first, counts) + length * number
 
-    Words are letters: code point 2 and up for words of a phrase, 1 for others, 0 between documents.
+
+def _occurrences(shard: _Shard, places: np.ndarray, length: int) -> np.ndarray:
+    """For every word, whether one of the phrases at ``places`` begins there.
+
+    An automaton's words are numbered and written in DIGITS letters, each digit from letters of its
+    own, so matches begin at words; words of no phrase are one more letter.
     """
-    used = np.unique(shard.words[begin[:, None] + np.arange(window)])
-    letter = np.ones(shard.vocabulary, np.uint32)
-    letter[used] = np.arange(2, len(used) + 2)
-    letter[letter >= 0xD800] += 0x800  # no surrogates
-    written = letter[shard.words]
-    line = written.tobytes().decode("utf-32-le")
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-    for number, at in enumerate(begin.tolist()):
-        automaton.add_word(line[at : at + window], number)
-    automaton.make_automaton()
-    starts = np.cumsum(shard.lengths) - shard.lengths
-    ends, which = [], []
-    for start, length in zip(starts.tolist(), shard.lengths.tolist(), strict=True):
-        if length >= window:
-            for end, number in automaton.iter(line, start, start + length):
-                ends.append(end)
-                which.append(number)
-    return np.array(ends, np.int64), np.array(which, np.int64)
+    located = np.zeros(len(shard.words), bool)
+    for low in range(0, len(places), AUTOMATON_PHRASES):
+        some = places[low : low + AUTOMATON_PHRASES]
+        used = np.unique(shard.words[some[:, None] + np.arange(length)])
+        code = np.full((shard.vocabulary, DIGITS), LETTERS * DIGITS, np.uint8)
+        for digit in range(DIGITS):
+            code[used, digit] = np.arange(len(used)) // LETTERS**digit % LETTERS + LETTERS * digit
+        line = code[shard.words].tobytes().decode("latin-1")
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        for at in some.tolist():
+            automaton.add_word(line[DIGITS * at : DIGITS * (at + length)])
+        automaton.make_automaton()
+        ends = np.fromiter((end for end, _ in automaton.iter(line)), np.int64)
+        located[(ends + 1) // DIGITS - length] = True
+    return located
 
 
 def _kept_text(text: bytes, gone: np.ndarray) -> bytes:
