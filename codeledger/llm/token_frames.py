@@ -38,7 +38,7 @@ END = 2
 PARTITION_BYTES = 16 << 20
 FILE_BYTES = 32 << 20
 #: Words whose ids a worker remembers.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 500_000
 
 #: Fixed values of the zstandard seekable format.
 INDEX_MAGIC = 0x184D2A50
