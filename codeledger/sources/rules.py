@@ -1,7 +1,7 @@
 """Rule tables: category rules, infrastructure rules, Gradle and ruleset lookups.
 
-Rules are configuration.  They are read on the driver (after a size check) and
-travel inside query plans as literals, so matching needs no join.
+Rules are configuration.  They are read on the driver and travel inside query
+plans as literals, so matching needs no join.
 """
 
 from __future__ import annotations
@@ -17,9 +17,6 @@ from pyspark.sql import functions as F
 
 logger = logging.getLogger(__name__)
 
-MAX_RULE_BYTES = 64 * 1024 * 1024
-MAX_RULE_ROWS = 50_000
-
 # Rule folder per package type.
 RULE_FOLDERS = {
     "python": "python",
@@ -80,32 +77,162 @@ GRADLE_VERSION_RULES = [
     ("gradle.properties", r"gradleVersion\s*=\s*(\d+(?:\.\d+){0,3}(?:-\w+)?)"),
 ]
 
-# The Gradle releases with a known JDK, oldest first.
-GRADLE_RELEASES = """
-0.7 0.8 0.9 0.9.1 0.9.2
-1.0 1.1 1.2 1.3 1.4 1.5 1.6 1.7 1.8 1.9 1.10 1.11 1.12
-2.0 2.1 2.2 2.2.1 2.3 2.4 2.5 2.6 2.7 2.8 2.9 2.10 2.11 2.12 2.13 2.14 2.14.1
-3.0 3.1 3.2 3.2.1 3.3 3.4 3.4.1 3.5 3.5.1
-4.0 4.0.1 4.0.2 4.1 4.2 4.2.1 4.3 4.3.1 4.4 4.4.1 4.5 4.5.1 4.6 4.7 4.8 4.8.1 4.9 4.10 4.10.1 4.10.2 4.10.3
-5.0 5.1 5.1.1 5.2 5.2.1 5.3 5.3.1 5.4 5.4.1 5.5 5.5.1 5.6 5.6.1 5.6.2 5.6.3 5.6.4
-6.0 6.0.1 6.1 6.1.1 6.2 6.2.1 6.2.2 6.3 6.4 6.4.1 6.5 6.5.1 6.6 6.6.1 6.7 6.7.1 6.8 6.8.1 6.8.2 6.8.3
-6.9 6.9.1 6.9.2 6.9.3 6.9.4
-7.0 7.0.1 7.0.2 7.1 7.1.1 7.2 7.3 7.3.1 7.3.2 7.3.3 7.4 7.4.1 7.4.2 7.5 7.5.1 7.6 7.6.1 7.6.2 7.6.3 7.6.4
-8.0 8.0.1 8.0.2 8.1 8.1.1 8.2 8.2.1 8.3 8.4 8.5 8.6 8.7 8.8 8.9
-8.10 8.10.1 8.10.2 8.11 8.11.1 8.12 8.12.1 8.13
-""".split()
-
-# First Gradle release line of each JDK level, newest first.
-JDK_CUTOVERS = [((8, 4), "21"), ((7, 3), "17"), ((5, 0), "11"), ((0, 0), "8")]
+# The JDK of each Gradle release, newest first.
+GRADLE_JDKS = {
+    "8.13": "21",
+    "8.12.1": "21",
+    "8.12": "21",
+    "8.11.1": "21",
+    "8.11": "21",
+    "8.10.2": "21",
+    "8.10.1": "21",
+    "8.10": "21",
+    "8.9": "21",
+    "8.8": "21",
+    "8.7": "21",
+    "8.6": "21",
+    "8.5": "21",
+    "8.4": "21",
+    "8.3": "17",
+    "8.2.1": "17",
+    "8.2": "17",
+    "8.1.1": "17",
+    "8.1": "17",
+    "8.0.2": "17",
+    "8.0.1": "17",
+    "8.0": "17",
+    "7.6.4": "17",
+    "7.6.3": "17",
+    "7.6.2": "17",
+    "7.6.1": "17",
+    "7.6": "17",
+    "7.5.1": "17",
+    "7.5": "17",
+    "7.4.2": "17",
+    "7.4.1": "17",
+    "7.4": "17",
+    "7.3.3": "17",
+    "7.3.2": "17",
+    "7.3.1": "17",
+    "7.3": "17",
+    "7.2": "11",
+    "7.1.1": "11",
+    "7.1": "11",
+    "7.0.2": "11",
+    "7.0.1": "11",
+    "7.0": "11",
+    "6.9.4": "11",
+    "6.9.3": "11",
+    "6.9.2": "11",
+    "6.9.1": "11",
+    "6.9": "11",
+    "6.8.3": "11",
+    "6.8.2": "11",
+    "6.8.1": "11",
+    "6.8": "11",
+    "6.7.1": "11",
+    "6.7": "11",
+    "6.6.1": "11",
+    "6.6": "11",
+    "6.5.1": "11",
+    "6.5": "11",
+    "6.4.1": "11",
+    "6.4": "11",
+    "6.3": "11",
+    "6.2.2": "11",
+    "6.2.1": "11",
+    "6.2": "11",
+    "6.1.1": "11",
+    "6.1": "11",
+    "6.0.1": "11",
+    "6.0": "11",
+    "5.6.4": "11",
+    "5.6.3": "11",
+    "5.6.2": "11",
+    "5.6.1": "11",
+    "5.6": "11",
+    "5.5.1": "11",
+    "5.5": "11",
+    "5.4.1": "11",
+    "5.4": "11",
+    "5.3.1": "11",
+    "5.3": "11",
+    "5.2.1": "11",
+    "5.2": "11",
+    "5.1.1": "11",
+    "5.1": "11",
+    "5.0": "11",
+    "4.10.3": "8",
+    "4.10.2": "8",
+    "4.10.1": "8",
+    "4.10": "8",
+    "4.9": "8",
+    "4.8.1": "8",
+    "4.8": "8",
+    "4.7": "8",
+    "4.6": "8",
+    "4.5.1": "8",
+    "4.5": "8",
+    "4.4.1": "8",
+    "4.4": "8",
+    "4.3.1": "8",
+    "4.3": "8",
+    "4.2.1": "8",
+    "4.2": "8",
+    "4.1": "8",
+    "4.0.2": "8",
+    "4.0.1": "8",
+    "4.0": "8",
+    "3.5.1": "8",
+    "3.5": "8",
+    "3.4.1": "8",
+    "3.4": "8",
+    "3.3": "8",
+    "3.2.1": "8",
+    "3.2": "8",
+    "3.1": "8",
+    "3.0": "8",
+    "2.14.1": "8",
+    "2.14": "8",
+    "2.13": "8",
+    "2.12": "8",
+    "2.11": "8",
+    "2.10": "8",
+    "2.9": "8",
+    "2.8": "8",
+    "2.7": "8",
+    "2.6": "8",
+    "2.5": "8",
+    "2.4": "8",
+    "2.3": "8",
+    "2.2.1": "8",
+    "2.2": "8",
+    "2.1": "8",
+    "2.0": "8",
+    "1.12": "8",
+    "1.11": "8",
+    "1.10": "8",
+    "1.9": "8",
+    "1.8": "8",
+    "1.7": "8",
+    "1.6": "8",
+    "1.5": "8",
+    "1.4": "8",
+    "1.3": "8",
+    "1.2": "8",
+    "1.1": "8",
+    "1.0": "8",
+    "0.9.2": "8",
+    "0.9.1": "8",
+    "0.9": "8",
+    "0.8": "8",
+    "0.7": "8",
+}
 
 
 def gradle_jdk_map() -> dict[str, str]:
-    """JDK per known Gradle release, from the published cut-over versions."""
-    table = {}
-    for release in GRADLE_RELEASES:
-        line = tuple(int(part) for part in release.split(".")[:2])
-        table[release] = next(jdk for start, jdk in JDK_CUTOVERS if line >= start)
-    return table
+    """JDK per Gradle release; ``load_gradle_jdk_map`` reads another one."""
+    return dict(GRADLE_JDKS)
 
 
 @dataclass(frozen=True)
@@ -148,16 +275,13 @@ def _parse_document(name: str, text: str):
 
 
 def _read_documents(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
-    """Name and text of the rule files in ``folder``, by name; total size is checked first."""
+    """Name and text of the rule files in ``folder``, by name."""
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.{yaml,yml,json}")
         .option("recursiveFileLookup", "false")
         .load(folder)
     )
-    total = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-    if total > MAX_RULE_BYTES:
-        raise ValueError(f"rule files in {folder} hold {total} bytes, more than {MAX_RULE_BYTES}")
     rows = files.select("path", F.col("content").cast("string").alias("text")).collect()
     return sorted((row["path"].rsplit("/", 1)[-1], row["text"]) for row in rows)
 
@@ -251,16 +375,8 @@ def iac_rules_frame(spark: SparkSession, rules: list[IacRule]) -> DataFrame:
     return spark.createDataFrame(rows, IAC_RULES_SCHEMA)
 
 
-def _bounded_rows(rules: DataFrame) -> list:
-    rows = rules.limit(MAX_RULE_ROWS + 1).collect()
-    if len(rows) > MAX_RULE_ROWS:
-        raise ValueError(f"a rule table holds more than {MAX_RULE_ROWS} rows; join it instead")
-    return rows
-
-
 def category_rules_from_frame(rules: DataFrame) -> list[CategoryRule]:
-    rows = _bounded_rows(rules)
-    found = [CategoryRule(*(row[name] for name in CategoryRule.__dataclass_fields__)) for row in rows]
+    found = [CategoryRule(*(row[name] for name in CategoryRule.__dataclass_fields__)) for row in rules.collect()]
     return sorted(found, key=lambda r: (r.package_type, r.ord))
 
 
@@ -274,7 +390,7 @@ def iac_rules_from_frame(rules: DataFrame) -> list[IacRule]:
             tuple(row["file_patterns"] or ()),
             tuple(row["content_patterns"] or ()),
         )
-        for row in _bounded_rows(rules)
+        for row in rules.collect()
     ]
     return sorted(found, key=lambda r: r.ord)
 
@@ -291,3 +407,26 @@ def ruleset_map_from_ini(text: str) -> dict[str, str]:
     parser = configparser.ConfigParser()
     parser.read_string(text)
     return {s.lower(): parser.get(s, "path") for s in parser.sections() if parser.has_option(s, "path")}
+
+
+def _one_document(spark: SparkSession, path: str):
+    """The parsed rule file at ``path``."""
+    rows = spark.read.format("binaryFile").load(path).select(F.col("content").cast("string")).collect()
+    if len(rows) != 1:
+        raise FileNotFoundError(path)
+    return _parse_document(path, rows[0][0])
+
+
+def load_gradle_jdk_map(spark: SparkSession, path: str) -> dict[str, str]:
+    """JDK per Gradle release from a flat ``version: jdk`` file."""
+    return {str(version): str(jdk) for version, jdk in _one_document(spark, path).items()}
+
+
+def load_gradle_rules(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(file, regex) pairs from a rule file."""
+    return gradle_rules_from_tree(_one_document(spark, path))
+
+
+def load_ruleset_map(spark: SparkSession, path: str) -> dict[str, str]:
+    """Language to ruleset path from an INI file."""
+    return ruleset_map_from_ini("\n".join(row[0] for row in spark.read.option("wholetext", True).text(path).collect()))
