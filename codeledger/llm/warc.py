@@ -1,6 +1,6 @@
 """WARC archives of pages, and their index merged from sorted runs.
 
-Archives are written by Spark, one file per partition, and read back.  The
+Archives are written by Spark, a file or more per partition, and read back.  The
 records of an archive, sorted by URL key and time, are a capture run.  Ranges of
 (URL key, time, page) are dealt to tasks; each task merges its piece of every
 run with a loser tree, so the pieces in order are the capture history of all URLs.
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from codeledger.llm.tables import pieces
 from codeledger.session import checkpointed, ensure_checkpoint_dir
 
-#: Bytes of payload in an archive, and index rows in a range of the merge.
+#: Bytes in an archive on average, and index rows in a range of the merge.
 ARCHIVE_BYTES = 32 << 20
 RANGE_ROWS = 100_000
 #: Shorter payloads are always stored in full.
@@ -57,7 +57,7 @@ def write_archives(pages: DataFrame) -> str:
         F.date_format(captured, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("captured"),
         F.sha2(html, 256).alias("digest"),
     )
-    size = rows.agg(F.sum(F.octet_length("html") + 500).alias("n")).first()["n"] or 0
+    size = rows.agg(F.avg(F.octet_length("html")).alias("n")).first()["n"] or 0
     keys = rows.select("page_id", "digest", F.octet_length("html").alias("n")).where(F.col("n") >= LEAST_REVISIT)
     stored = keys.groupBy("digest").agg(F.min("page_id").alias("first"))
     # decided on narrow rows, once per page; equal payloads meet as their least id before the join
@@ -65,8 +65,9 @@ def write_archives(pages: DataFrame) -> str:
     revisits = revisits.select(F.col("page_id").alias("id"), F.col("digest").alias("same"), "first").distinct()
     rows = rows.join(revisits, F.col("page_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("same")), "left")
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
-    records = rows.select(_record().alias("record")).repartition(pieces(size, ARCHIVE_BYTES))
-    records.write.option("lineSep", END_OF_RECORD).text(folder)
+    # written where the join leaves them: an archive is a partition, or a piece of a large one
+    writer = rows.select(_record().alias("record")).write.option("maxRecordsPerFile", max(1, int(ARCHIVE_BYTES / (size + 500))))
+    writer.option("lineSep", END_OF_RECORD).text(folder)
     return folder
 
 
