@@ -23,7 +23,7 @@ from codeledger.llm.packing import BASES, cut, index_words, pack, pack_sorted, r
 from codeledger.llm.tables import pieces, text_bytes
 from codeledger.session import checkpointed
 
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 12 << 20
 PART_KEYS = 1_000_000
 #: Logarithms are whole millionths, so that sums do not depend on their order.
 MICRO = 1_000_000
