@@ -20,7 +20,7 @@ from codeledger.operators.dependencies import (
     distinct_names,
     infer_build_tool,
 )
-from codeledger.operators.lists import find_oversized, inline_lists, list_parts, section_counts
+from codeledger.operators.lists import list_parts, section_counts
 from codeledger.plans import profile as p
 from codeledger.session import checkpointed
 from codeledger.sources.rules import CategoryRule
@@ -93,12 +93,15 @@ def trivy(t: Tables) -> DataFrame:
     )
 
 
-def metrics(t: Tables) -> tuple[DataFrame, DataFrame]:
-    commits = t.lineitem.select(
+def commits(t: Tables) -> DataFrame:
+    return t.lineitem.select(
         repo(),
         F.concat("l_returnflag", text("l_linenumber")).alias("author_email"),
         F.col("l_shipdate").cast("timestamp").alias("committed_at"),
     )
+
+
+def metrics(t: Tables) -> DataFrame:
     folder = F.when(F.col("l_returnflag") == "R", ".git/objects/").otherwise("src/")
     files = t.lineitem.select(
         repo(),
@@ -106,12 +109,11 @@ def metrics(t: Tables) -> tuple[DataFrame, DataFrame]:
         (F.col("l_quantity") * 12345).cast("bigint").alias("size"),
     )
     branches = t.lineitem.where(F.col("l_quantity") == 1).select(repo(), F.col("l_linestatus").alias("ref"))
-    return history.repo_metrics(commits, files, branches, AS_OF)
+    return history.repo_metrics(commits(t), files, branches, AS_OF)
 
 
 def profile_tables(t: Tables) -> p.ProfileTables:
     line = t.lineitem
-    repo_metrics, recent_parts = metrics(t)
     number, quantity = F.col("l_linenumber"), F.col("l_quantity").cast("int")
     suppliers = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
     inventory = suppliers.where(F.col("n_regionkey") != 4).select(
@@ -125,16 +127,12 @@ def profile_tables(t: Tables) -> p.ProfileTables:
         F.concat(F.lit("git@github.com:o/"), text("s_suppkey")).alias("clone_url_ssh"),
         F.concat(F.lit("https://github.com/o/"), text("s_suppkey")).alias("browse_url"),
     )
-    lizard = (
-        line.where((F.col("l_returnflag") == "A") & (F.col("l_suppkey") % 7 != 0))
-        .groupBy(repo())
-        .agg(
-            F.sum(quantity).alias("total_nloc"),
-            F.avg(number).alias("avg_ccn"),
-            F.sum("l_partkey").alias("total_token_count"),
-            F.count(F.lit(1)).alias("function_count"),
-            F.sum(number).alias("total_ccn"),
-        )
+    lizard = line.groupBy(repo()).agg(
+        F.sum(quantity).alias("total_nloc"),
+        F.avg(number).alias("avg_ccn"),
+        F.sum("l_partkey").alias("total_token_count"),
+        F.count(F.lit(1)).alias("function_count"),
+        F.sum(number).alias("total_ccn"),
     )
     quantities = line.groupBy(repo(), F.concat(F.lit("lang"), text("l_linenumber")).alias("language")).agg(
         F.sum("l_quantity").alias("q")
@@ -143,31 +141,27 @@ def profile_tables(t: Tables) -> p.ProfileTables:
     languages = quantities.join(totals, "repo_id").select(
         "repo_id", "language", (F.col("q") * 100 / F.col("total")).alias("percent_usage")
     )
-    cloc = line.where(F.col("l_returnflag") == "N").select(
+    cloc = line.select(
         repo(),
         F.concat(F.lit("lang"), text("l_linenumber")).alias("language"),
         quantity.alias("code"),
         number.alias("blank"),
         F.lit(1).alias("comment"),
     )
-    tools = (
-        line.where((number <= 3) & (F.col("l_suppkey") % 4 != 0))
-        .select(
-            repo(),
-            F.when(number == 1, "gradle").when(number == 2, "Yarn").otherwise("Go Modules").alias("tool"),
-            F.lit("1").alias("tool_version"),
-            F.when(F.col("l_returnflag") == "A", "17").when(F.col("l_returnflag") == "N", "21").alias("runtime_version"),
-        )
-        .distinct()
-    )
-    eol = line.where(quantity == 50).select(
+    tools = line.select(
+        repo(),
+        F.when(number == 1, "gradle").when(number == 2, "Yarn").otherwise("Go Modules").alias("tool"),
+        F.lit("1").alias("tool_version"),
+        F.when(F.col("l_returnflag") == "A", "17").when(F.col("l_returnflag") == "N", "21").alias("runtime_version"),
+    ).distinct()
+    eol = line.select(
         repo(),
         _package().alias("artifact_name"),
         text("l_linenumber").alias("artifact_version"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("eol_date"),
         F.lit("99").alias("latest_release"),
     )
-    findings = line.where(quantity == 1).select(
+    findings = line.select(
         repo(),
         F.concat(F.lit("src/"), text("l_orderkey")).alias("path"),
         F.col("l_returnflag").alias("rule_id"),
@@ -179,15 +173,16 @@ def profile_tables(t: Tables) -> p.ProfileTables:
         text("l_linenumber").alias("confidence"),
     )
     framework = F.when(number == 1, "Dockerfile").when(number == 2, "Terraform").when(number == 3, "")
-    category = F.when(number == 1, "Container Platform").when(number == 4, "Developer Platform and CI/CD")
-    iac = line.where((quantity == 2) & (F.col("l_returnflag") == "A")).select(
+    ci, platform = (number == 4) & (quantity == 7), (number == 2) & (quantity == 9)
+    category = F.when(ci, "Developer Platform and CI/CD").when(platform, "Infrastructure Platform")
+    iac = line.select(
         repo(),
-        framework.otherwise("Helm").alias("framework"),
+        F.when((number == 1) & (quantity > 3), "Helm").otherwise(framework.otherwise("Helm")).alias("framework"),
         category.otherwise("Other").alias("category"),
     )
     return p.ProfileTables(
         inventory=inventory,
-        repo_metrics=repo_metrics,
+        repo_metrics=metrics(t),
         lizard_summary=lizard,
         languages=languages,
         cloc_metrics=cloc,
@@ -198,7 +193,7 @@ def profile_tables(t: Tables) -> p.ProfileTables:
         xeol_results=eol,
         semgrep_results=findings,
         iac_components=iac,
-        recent_commit_parts=recent_parts,
+        recent_commits=history.recent_commits(commits(t), AS_OF),
     )
 
 
@@ -225,7 +220,12 @@ _TABLES_SQL = f"""
              case when kind = 'python' and regexp_matches(pkg, 'lib-1[0-9]$') then 'Teens'
                   when kind = 'npm' and regexp_matches(pkg, 'lib-[0-9]$') then 'Digits'
                   when kind = 'java-archive' and contains(pkg, 'lib-2') then 'Twenties'
-                  when kind = 'java-archive' and contains(pkg, 'wrapper') then 'Wrappers' else 'Other' end cat
+                  when kind = 'java-archive' and contains(pkg, 'wrapper') then 'Wrappers' else 'Other' end cat,
+             case when kind = 'python' and regexp_matches(pkg, 'lib-1[0-9]$') then 'Tens'
+                  when kind = 'npm' and regexp_matches(pkg, 'lib-[0-9]$') then 'Ones'
+                  when kind = 'java-archive' and contains(pkg, 'lib-2') then 'Twos'
+                  when kind = 'java-archive' and contains(pkg, 'wrapper') then 'Build' else '' end sub,
+             case fw when 'OneJS' then ' OneJS ' else fw end fws0
            from line),
   vall as (select repo_id, pkg, ln, case l_returnflag when 'A' then 'Critical' when 'N' then 'High' else 'Low' end sev,
              'f' || ln fix, 'Grype' src from line where l_linestatus = 'F'
@@ -333,12 +333,12 @@ _RUNTIME_SQL = """
   runtimes as (select repo_id, string_agg(e, ', ' order by e) runtime from (
      select distinct repo_id, case ln when '1' then 'Java:' when '2' then 'Node.js:' else 'Unknown:' end
          || case l_returnflag when 'A' then '17' when 'N' then '21' else 'Unknown' end e
-     from line where l_linenumber <= 3 and l_suppkey % 4 <> 0) group by repo_id)"""
+     from line) group by repo_id)"""
 
 
 @query("q_runtime_label", f"with {_TABLES_SQL}, {_RUNTIME_SQL} select repo_id, runtime from runtimes")
 def q_runtime_label(t: Tables) -> DataFrame:
-    rows = p.runtime_section(profile_tables(t).build_tools, None)
+    rows = p.runtime_versions(profile_tables(t).build_tools)
     return rows.select("repo_id", F.col("runtime_version").alias("runtime"))
 
 
@@ -359,29 +359,30 @@ _PROFILE_SQL = f"""with {_TABLES_SQL}, {_TOOL_SQL}, {_RUNTIME_SQL},
   pct as (select repo_id, 'lang' || ln lang, format('{{:.2f}}', sum(l_quantity) * 100
               / sum(sum(l_quantity)) over (partition by repo_id))::double pct from line group by repo_id, ln),
   lang as (select repo_id, string_agg(lang || '=' || format('{{:.2f}}', pct), ';' order by lang) shares,
-             first(lang order by pct desc, lang) main from pct group by repo_id),
+             first(lang order by pct desc, lang) main, string_agg(lang, ',' order by lang) langs from pct group by repo_id),
   liz as (select repo_id, sum(q)::bigint nloc, format('{{:.2f}}', avg(l_linenumber))::double ccn,
              sum(l_partkey)::bigint tokens, count(*) functions, sum(l_linenumber)::bigint total_ccn
-          from line where l_returnflag = 'A' and l_suppkey % 7 <> 0 group by repo_id),
+          from line group by repo_id),
   loc as (select repo_id, sum(q)::bigint code, sum(l_linenumber)::bigint blank, count(*) remarks
-          from line where l_returnflag = 'N' group by repo_id),
-  dep as (select repo_id, count(*) n, string_agg(concat_ws('|', pkg, ln, kind, loc, cat), ';' order by pkg, ln) list,
+          from line group by repo_id),
+  dep as (select repo_id, count(*) n, string_agg(concat_ws('|', pkg, ln, kind, 'any', loc, 'MIT', cat, sub, fws0), ';' order by pkg, ln, kind, loc) list,
              coalesce(string_agg(distinct nullif(fw, ''), ',' order by nullif(fw, '')), '') fws
           from deps group by repo_id),
   sec as (select repo_id, count(*) n, count(*) filter (sev = 'Critical') critical,
              string_agg(concat_ws('|', pkg, ln, sev, fix, src), ';' order by pkg, ln, sev) list
           from vulns group by repo_id),
-  eol as (select repo_id, count(*) n, string_agg(concat_ws('|', pkg, ln, l_shipdate::date::varchar), ';'
-             order by pkg, ln, l_shipdate) list from line where q = 50 group by repo_id),
-  sem as (select repo_id, count(*) n, string_agg(concat_ws('|', 'src/' || l_orderkey, l_returnflag, l_linestatus, ln), ';'
+  eol as (select repo_id, count(*) n, string_agg(concat_ws('|', pkg, ln, l_shipdate::date::varchar, '99'), ';'
+             order by pkg, ln, l_shipdate) list from line group by repo_id),
+  sem as (select repo_id, count(*) n, string_agg(concat_ws('|', 'src/' || l_orderkey, l_returnflag, l_linestatus, 'security', '', 'LOW', 'HIGH', ln), ';'
              order by 'src/' || l_orderkey, l_returnflag, l_linestatus, ln) list
-          from line where q = 1 group by repo_id),
-  iac as (select repo_id, bool_or(l_linenumber = 1) docker, bool_or(l_linenumber = 4) cicd,
-             coalesce(string_agg(distinct case ln when '1' then 'Dockerfile' when '2' then 'Terraform' when '3' then null
-               else 'Helm' end, ',' order by case ln when '1' then 'Dockerfile' when '2' then 'Terraform'
-               when '3' then null else 'Helm' end), '') fws
-          from line where q = 2 and l_returnflag = 'A' group by repo_id)
-  select basic.*, shares, main main_language, coalesce(nloc, 0) nloc, coalesce(ccn, 0) avg_ccn,
+          from line group by repo_id),
+  iac as (select repo_id, bool_or(l_linenumber = 1 and q <= 3) docker, bool_or(l_linenumber = 4 and q = 7) cicd,
+             bool_or(l_linenumber = 2 and q = 9) config,
+             coalesce(string_agg(distinct fwk, ',' order by fwk), '') fws
+          from (select *, case when l_linenumber = 1 and q <= 3 then 'Dockerfile' when l_linenumber = 2 then 'Terraform'
+                  when l_linenumber = 3 then null else 'Helm' end fwk from line) group by repo_id)
+  select basic.*, null::varchar app_id, shares, main main_language,
+    array_to_string(list_filter(string_split(langs, ','), lambda x: x <> main), ',') other_languages, coalesce(nloc, 0) nloc, coalesce(ccn, 0) avg_ccn,
     coalesce(tokens, 0) tokens, coalesce(functions, 0) functions, coalesce(total_ccn, 0) total_ccn,
     coalesce(code, 0) loc, coalesce(blank, 0) blank, coalesce(remarks, 0) remarks,
     case when coalesce(code, 0) < 100 and size_mb < 1 then 'Empty/Minimal' when coalesce(code, 0) < 100 then 'Docs/Data'
@@ -392,7 +393,7 @@ _PROFILE_SQL = f"""with {_TABLES_SQL}, {_TOOL_SQL}, {_RUNTIME_SQL},
     coalesce(sec.n, 0) n_vulns, coalesce(sec.list, '') vulns, coalesce(critical, 0) critical,
     format('{{:.2f}}', coalesce(sec.n, 0)::double / greatest(coalesce(dep.n, 0), 1) * 100)::double vuln_percent,
     coalesce(eol.n, 0) n_eol, coalesce(eol.list, '') eol, coalesce(sem.n, 0) n_findings, coalesce(sem.list, '') findings,
-    coalesce(docker, false) dockerfile, coalesce(cicd, false) cicd, coalesce(docker, false) iac_config,
+    coalesce(docker, false) dockerfile, coalesce(cicd, false) cicd, coalesce(config, false) iac_config,
     coalesce(iac.fws, '') iac_frameworks
   from basic left join lang using (repo_id) left join liz using (repo_id) left join loc using (repo_id)
     left join dep using (repo_id) left join tool using (repo_id) left join runtimes using (repo_id)
@@ -416,6 +417,7 @@ def shown_profile(profiles: DataFrame) -> DataFrame:
         repo_name=at("Repo Name"),
         status=at("Status"),
         host_name=at("VCS Hostname"),
+        app_id=at("App ID"),
         tc=at("TC"),
         last_updated=at("Last Updated"),
         clone_url=at("Clone URL SSH"),
@@ -434,6 +436,7 @@ def shown_profile(profiles: DataFrame) -> DataFrame:
         recent_dates=F.array_join(at("Recent Commit Dates"), ","),
         shares=F.array_join(F.array_sort(shares), ";"),
         main_language=at("Main Language"),
+        other_languages=F.array_join(at("Other Languages"), ","),
         nloc=long(at("Total NLOC")),
         avg_ccn=at("Avg Cyclomatic Complexity"),
         tokens=long(at("Total Tokens")),
@@ -444,7 +447,7 @@ def shown_profile(profiles: DataFrame) -> DataFrame:
         remarks=long(at("Comment Lines")),
         label=at("Classification Label"),
         n_deps=long(at("Total Dependencies")),
-        deps=_joined("Dependencies", "name", "version", "package_type", "locations", "category"),
+        deps=_joined("Dependencies", *[n for _, n in p.DEPENDENCY_FIELDS[:4]], "locations", "licenses", *[n for _, n in p.DEPENDENCY_FIELDS[6:]]),
         frameworks=F.array_join(at("Frameworks"), ","),
         build_tool=at("Build Tool"),
         runtime=F.coalesce(at("Runtime Version"), F.lit("-")),
@@ -453,9 +456,9 @@ def shown_profile(profiles: DataFrame) -> DataFrame:
         critical=long(at("Critical Vuln Count")),
         vuln_percent=at("Vulnerable Dependencies %"),
         n_eol=long(at("EOL Packages Found")),
-        eol=_joined("EOL Results", "artifact_name", "artifact_version", "eol_date"),
+        eol=_joined("EOL Results", *p.EOL_FIELDS),
         n_findings=F.size(at("Semgrep Findings")).cast("bigint"),
-        findings=_joined("Semgrep Findings", "path", "rule_id", "severity", "confidence"),
+        findings=_joined("Semgrep Findings", *p.SEMGREP_FIELDS),
         dockerfile=flags["Dockerfile"],
         cicd=flags["CI/CD Pipeline"],
         iac_config=flags["IaC Config"],
@@ -465,8 +468,7 @@ def shown_profile(profiles: DataFrame) -> DataFrame:
 
 @query("q_profile", _PROFILE_SQL)
 def q_profile(t: Tables) -> DataFrame:
-    profiles, _ = p.build_profiles(stored_tables(t))
-    return shown_profile(profiles)
+    return shown_profile(p.assembled(p.build_profiles(stored_tables(t))))
 
 
 @query(
@@ -476,7 +478,7 @@ def q_profile(t: Tables) -> DataFrame:
 )
 def q_profile_documents(t: Tables) -> DataFrame:
     """The serialised documents, read back as JSON."""
-    profiles, _ = p.build_profiles(stored_tables(t))
+    profiles = p.build_profiles(stored_tables(t))
     doc = F.parse_json("profile_json")
 
     def get(path: str, kind: str) -> Column:
@@ -503,14 +505,17 @@ def q_profile_documents(t: Tables) -> DataFrame:
         union all select repo_id, 'document', n_eol + n_findings + n_deps from ({_PROFILE_SQL})""",
 )
 def q_profile_overflow(t: Tables) -> DataFrame:
-    """With a low list limit: long sections come as parts, whole, next to the documents."""
-    profiles, parts = p.build_profiles(stored_tables(t), max_items=150)
-    items = F.size(F.from_json("items_json", "array<variant>")).cast("bigint")
-    whole = parts.where(F.col("section").isin("Vulnerabilities", "Dependencies"))
-    counted = whole.groupBy("repo_id", "section").agg(F.sum(items).alias("n"))
-    total = at("EOL Packages Found") + F.size(at("Semgrep Findings")) + at("Total Dependencies")
-    documents = profiles.select("repo_id", F.lit("document").alias("section"), total.cast("bigint").alias("n"))
-    return counted.unionByName(documents)
+    """Sections of many small parts add up to every row, next to the counts of the profile rows."""
+    profiles = p.build_profiles(stored_tables(t), part_items=20)
+    copies = F.from_json("items_json", "array<struct<copies: bigint>>")
+    n = F.sum(F.aggregate(copies, F.lit(0).cast("bigint"), lambda a, x: a + x["copies"])).alias("n")
+    counted = p.section_rows(profiles).groupBy("repo_id", "section").agg(n)
+    long_lists = counted.where((F.col("n") > 150) & F.col("section").isin("Vulnerabilities", "Dependencies"))
+    findings = counted.where(F.col("section") == "Semgrep Findings").select("repo_id", F.col("n").alias("found"))
+    total = at("EOL Packages Found") + F.coalesce("found", F.lit(0)) + at("Total Dependencies")
+    documents = profiles.scalars.join(findings, "repo_id", "left")
+    documents = documents.select("repo_id", F.lit("document").alias("section"), total.cast("bigint").alias("n"))
+    return long_lists.unionByName(documents)
 
 
 @query(
@@ -528,18 +533,14 @@ def q_profile_rejects(t: Tables) -> DataFrame:
               count(distinct l_returnflag) flags, true bounded from lineitem group by l_suppkey""",
 )
 def q_list_parts(t: Tables) -> DataFrame:
-    """Inline lists and parts of a skewed table add up to every row."""
-    limit = 550
+    """The parts of a skewed table add up to every row."""
+    limit = 100
     rows = t.lineitem.select(repo(), "l_orderkey", "l_returnflag")
-    oversized = find_oversized(section_counts("items", rows), limit)
-    items = ["l_orderkey", "l_returnflag"]
-    inline = inline_lists(rows, items, "items", oversized)
-    parts = list_parts(rows, items, oversized, limit)
-    every = inline.select("repo_id", "items").unionByName(parts.select("repo_id", "items"))
-    entry = every.select("repo_id", (F.size("items") <= limit).alias("bounded"), F.explode("items").alias("i"))
+    parts = list_parts(rows, ["l_orderkey", "l_returnflag"], limit)
+    entry = parts.select("repo_id", (F.size("items") <= limit).alias("bounded"), F.explode("items").alias("i"))
     return entry.groupBy("repo_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("i.l_orderkey").alias("keys"),
-        F.countDistinct("i.l_returnflag").alias("flags"),
+        F.sum("i.copies").alias("n"),
+        F.sum(F.col("i.item.l_orderkey") * F.col("i.copies")).alias("keys"),
+        F.countDistinct("i.item.l_returnflag").alias("flags"),
         F.bool_and("bounded").alias("bounded"),
     )

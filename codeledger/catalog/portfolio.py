@@ -13,7 +13,7 @@ from codeledger.catalog.registry import Tables, query
 from codeledger.functions.scalars import is_recent, size_class, ssh_clone_url
 from codeledger.operators import history, selection, status
 from codeledger.operators.keyed import insert_ignore, last_writer_wins, replace_by_key, upsert
-from codeledger.operators.lists import MAX_LIST_ITEMS
+from codeledger.operators.lists import whole_lists
 from codeledger.plans import derived
 from codeledger.sources.rules import RULESET_PATHS
 
@@ -285,11 +285,8 @@ def q_contributor_topk(t: Tables) -> DataFrame:
         from orders where o_orderdate >= timestamp '{AS_OF}' - interval 365 days group by o_custkey""",
 )
 def q_recent_dates(t: Tables) -> DataFrame:
-    lists, parts = history.recent_commit_dates(commits(t), AS_OF, MAX_LIST_ITEMS)
-    whole = lists.unionByName(
-        parts.select("repo_id", F.col("items").alias("recent_commit_dates"))
-    )
-    days = F.transform("recent_commit_dates", lambda d: F.date_format(d, "yyyy-MM-dd"))
+    whole = whole_lists(history.recent_commit_dates(commits(t), AS_OF, 5), "dates")
+    days = F.transform(F.reverse("dates"), lambda d: F.date_format(d, "yyyy-MM-dd"))
     return whole.select(
         "repo_id",
         F.size(days).cast("bigint").alias("n"),
@@ -336,7 +333,7 @@ def q_repo_metrics(t: Tables) -> DataFrame:
     branches = t.orders.where(F.col("o_orderstatus") == "O").select(
         text("o_custkey").alias("repo_id"), text("o_orderkey").alias("ref")
     )
-    metrics, _ = history.repo_metrics(commits(t), files, branches, AS_OF)
+    metrics = history.repo_metrics(commits(t), files, branches, AS_OF)
     return metrics.select(
         "repo_id",
         "repo_size_bytes",
@@ -475,13 +472,13 @@ def _halves(t: Tables) -> tuple[DataFrame, DataFrame]:
         F.col("o_orderstatus").alias("state"),
     )
     old = rows.where(F.col("o_orderkey") % 2 == 0)
-    new = rows.where((F.col("o_orderkey") % 2 == 1) & (F.col("state") == "F"))
+    new = rows.where(F.col("o_orderkey") % 2 == 1)
     return old, new
 
 
 _HALVES = """with o as (select o_custkey::varchar repo_id, o_orderkey, o_orderstatus state from orders),
   old as (select * from o where o_orderkey % 2 = 0),
-  new as (select * from o where o_orderkey % 2 = 1 and state = 'F')"""
+  new as (select * from o where o_orderkey % 2 = 1)"""
 
 
 @query(
@@ -512,18 +509,17 @@ def _tools(t: Tables) -> tuple[DataFrame, DataFrame]:
         F.when(F.col("l_linenumber") < 6, text("l_linenumber")).alias("tool_version"),
         F.substring("l_linestatus", 1, 1).alias("runtime_version"),
         "l_linestatus",
-        "l_quantity",
     )
-    old = rows.where(F.col("l_linestatus") == "O").drop("l_linestatus", "l_quantity").distinct()
-    new = rows.where(F.col("l_quantity") <= 2).drop("l_linestatus", "l_quantity")
+    old = rows.where(F.col("l_linestatus") == "O").drop("l_linestatus").distinct()
+    new = rows.drop("l_linestatus")
     return old, new
 
 
 _TOOLS = """with r as (select l_suppkey::varchar repo_id, l_returnflag tool,
-    case when l_linenumber < 6 then l_linenumber::varchar end tool_version, l_linestatus runtime_version, l_quantity
+    case when l_linenumber < 6 then l_linenumber::varchar end tool_version, l_linestatus runtime_version
     from lineitem),
   old as (select distinct repo_id, tool, tool_version, runtime_version from r where runtime_version = 'O'),
-  new as (select repo_id, tool, tool_version, runtime_version from r where l_quantity <= 2)"""
+  new as (select repo_id, tool, tool_version, runtime_version from r)"""
 _TOOL_KEY = ["repo_id", "tool", "tool_version", "runtime_version"]
 
 

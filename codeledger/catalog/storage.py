@@ -13,7 +13,7 @@ from codeledger.catalog.registry import Tables, query
 from codeledger.operators import reports as r
 from codeledger.operators.history import size_totals
 from codeledger.session import ensure_checkpoint_dir
-from codeledger.sinks.tables import KeyedTable, refresh_table
+from codeledger.sinks.tables import DerivedTable, KeyedTable
 from codeledger.sources.files import read_repo_files
 from codeledger.sources.reports import read_reports
 from codeledger.streaming.ingest import ReportIngest, report_table_stream
@@ -79,7 +79,7 @@ def q_report_files(t: Tables) -> DataFrame:
 def q_incremental_ingest(t: Tables) -> DataFrame:
     """Two deliveries: the second replaces a third of the repositories, partly with nothing."""
     incoming, tables, checkpoint = (folder(t, n) for n in ("incoming", "tables", "ingest"))
-    ingest = ReportIngest(t.spark, tables, buckets=16)
+    ingest = ReportIngest(t.spark, tables)
 
     def deliver(suppliers: DataFrame, tool: str, body: Column, day: str) -> DataFrame:
         return suppliers.select(
@@ -120,7 +120,7 @@ def q_incremental_ingest(t: Tables) -> DataFrame:
 def q_keyed_table(t: Tables) -> DataFrame:
     old, new = _halves(t)
     processed = t.orders.where(F.col("o_orderkey") % 2 == 1).select(text("o_custkey").alias("repo_id"))
-    table = KeyedTable(t.spark, folder(t, "keyed"), "repo_id string, o_orderkey bigint, state string", buckets=16)
+    table = KeyedTable(t.spark, folder(t, "keyed"), "repo_id string, o_orderkey bigint, state string")
     table.append(old)
     for _ in range(2):  # repeating the write changes nothing
         table.replace(new, processed, "clear")
@@ -138,7 +138,7 @@ def q_keyed_table(t: Tables) -> DataFrame:
 )
 def q_keyed_insert(t: Tables) -> DataFrame:
     old, new = _tools(t)
-    table = KeyedTable(t.spark, folder(t, "tools"), schemas.BUILD_TOOLS, buckets=16)
+    table = KeyedTable(t.spark, folder(t, "tools"), schemas.BUILD_TOOLS)
     for rows in (old, new, new):
         table.insert_ignore(rows, _TOOL_KEY)
     return table.read()
@@ -146,11 +146,43 @@ def q_keyed_insert(t: Tables) -> DataFrame:
 
 @query(
     "q_refresh_table",
-    "select l_suppkey::varchar repo_id, count(*) n from lineitem where l_returnflag = 'A' group by all",
+    "select l_suppkey::varchar repo_id, count(distinct l_orderkey) n from lineitem group by all",
 )
 def q_refresh_table(t: Tables) -> DataFrame:
-    path, staging = folder(t, "derived"), folder(t, "staging")
-    for rows in (t.lineitem, t.lineitem.where(F.col("l_returnflag") == "A")):
-        counts = rows.groupBy(text("l_suppkey").alias("repo_id")).agg(F.count(F.lit(1)).alias("n"))
-        refresh_table(counts, path, staging)
-    return t.spark.read.parquet(path)
+    table = DerivedTable(t.spark, folder(t, "derived"))
+    for n in (F.count(F.lit(1)), F.countDistinct("l_orderkey")):
+        table.refresh(t.lineitem.groupBy(text("l_suppkey").alias("repo_id")).agg(n.alias("n")))
+    return table.read()
+
+
+@query(
+    "q_keyed_foreign_keys",
+    """select o_custkey k, o_orderkey v from orders where o_custkey % 3 = 0
+       union all select o_custkey, -o_orderkey from orders where o_custkey % 3 = 2
+       union all select -c_custkey - 1, c_custkey from customer""",
+)
+def q_keyed_foreign_keys(t: Tables) -> DataFrame:
+    """New rows of keys that were not processed, a bigint key given as text, and keys that end empty."""
+    table = KeyedTable(t.spark, folder(t, "foreign"), "k bigint, v bigint", key="k")
+    rows = t.orders.select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("v"))
+    table.append(rows)
+    new = rows.where("k % 3 = 2").select("k", (-F.col("v")).alias("v"))
+    unseen = t.customer.select((-F.col("c_custkey") - 1).alias("k"), F.col("c_custkey").alias("v"))
+    processed = t.customer.where("c_custkey % 3 = 1").select(text("c_custkey").alias("k"))
+    for _ in range(2):  # a repeated batch is stored once
+        table.replace(new.unionByName(unseen), processed, label="batch-1")
+    table.compact()
+    return table.read()
+
+
+@query(
+    "q_upsert_table",
+    """select c_custkey::varchar repo_id,
+              case when c_acctbal > 0 then c_mktsegment else c_name end profile_json from customer""",
+)
+def q_upsert_table(t: Tables) -> DataFrame:
+    table = KeyedTable(t.spark, folder(t, "cache"), schemas.PROFILE_CACHE)
+    repo = text("c_custkey").alias("repo_id")
+    table.upsert(t.customer.select(repo, F.col("c_name").alias("profile_json")))
+    table.upsert(t.customer.where("c_acctbal > 0").select(repo, F.col("c_mktsegment").alias("profile_json")))
+    return table.read()

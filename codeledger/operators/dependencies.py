@@ -7,15 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codeledger.functions.patterns import java_regex, search_sql, sql_text
+from codeledger.functions.patterns import search_sql, sql_text
 from codeledger.functions.scalars import non_empty, runtime_entry, strip
 from codeledger.operators.lists import keep_first
 from codeledger.operators.reports import artifact_columns, syft_artifacts
-from codeledger.sources.rules import CategoryRule, category_rules_frame
+from codeledger.sources.rules import CategoryRule
 
-# Above this many rules the literal CASE gives way to a salted equi join.
-MAX_LITERAL_RULES = 3_000
-RULE_JOIN_SALTS = 32
+# Rules of one CASE; more rules are more of them, tried in order.
+CASE_RULES = 200
 LABEL = "struct<category: string, sub_category: string, framework: string>"
 
 
@@ -30,44 +29,28 @@ def sbom_dependencies(artifacts: DataFrame, order: Sequence[str | Column] = ("po
 
 
 def _match_by_case(names: DataFrame, rules: list[CategoryRule]) -> DataFrame:
-    """Number of the first rule that hits, by a CASE per package type that stops there."""
+    """The first rule that hits, by CASEs per package type that stop there.
+
+    A CASE has at most CASE_RULES rules, so that its generated code stays small; COALESCE tries
+    the next only where the one before found none.
+    """
     by_type: dict[str, list[str]] = {}
     for number, rule in enumerate(rules):
         hit = search_sql("package_name", rule.pattern, ignore_case=True)
         by_type.setdefault(rule.package_type, []).append(f"WHEN {hit} THEN {number}")
-    types = [f"WHEN {sql_text(t)} THEN CASE {' '.join(whens)} END" for t, whens in by_type.items()]
+    types = []
+    for kind, whens in by_type.items():
+        cases = [f"CASE {' '.join(whens[i : i + CASE_RULES])} END" for i in range(0, len(whens), CASE_RULES)]
+        types.append(f"WHEN {sql_text(kind)} THEN COALESCE({', '.join(cases)})")
     picked = names.withColumn("_rule", F.expr(f"CASE ptype {' '.join(types)} END"))
     labels = names.sparkSession.createDataFrame(
         [(number, (r.category, r.sub_category, r.framework)) for number, r in enumerate(rules)],
         f"_rule int, label {LABEL}",
     )
-    # no more rows than MAX_LITERAL_RULES
-    return picked.join(F.broadcast(labels), "_rule").select("ptype", "package_name", "label")
-
-
-def _match_by_join(names: DataFrame, rules: list[CategoryRule]) -> DataFrame:
-    """For very long rule lists: rules copied to every salt, names spread over the salts."""
-    spark = names.sparkSession
-    table = (
-        category_rules_frame(spark, [_java_rule(r) for r in rules])
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(RULE_JOIN_SALTS - 1))))
-        .withColumnRenamed("package_type", "ptype")
-    )
-    salted = names.withColumn("_salt", F.pmod(F.xxhash64("package_name"), F.lit(RULE_JOIN_SALTS)).cast("int"))
-    hits = salted.join(table, ["ptype", "_salt"]).where(F.expr("package_name rlike pattern"))
-    return hits.groupBy("ptype", "package_name").agg(
-        F.min_by(F.struct("category", "sub_category", "framework"), "ord").alias("label")
-    )
-
-
-def _java_rule(rule: CategoryRule) -> CategoryRule:
-    pattern = f"(?dUi){java_regex(rule.pattern)}"
-    return CategoryRule(rule.package_type, rule.ord, pattern, rule.category, rule.sub_category, rule.framework)
+    return picked.join(labels, "_rule").select("ptype", "package_name", "label")
 
 
-def categorize_dependencies(
-    deps: DataFrame, rules: Sequence[CategoryRule], max_literal_rules: int = MAX_LITERAL_RULES
-) -> DataFrame:
+def categorize_dependencies(deps: DataFrame, rules: Sequence[CategoryRule]) -> DataFrame:
     """Adds category, sub_category and framework of the first rule that matches.
 
     Rules run once per distinct (package type, name), not once per row; the
@@ -86,8 +69,7 @@ def categorize_dependencies(
         labelled = rows.withColumn("label", F.lit(None).cast(LABEL))
     else:
         names = rows.where(F.col("ptype").isin(types)).select("ptype", "package_name").distinct()
-        match = _match_by_case if len(ordered) <= max_literal_rules else _match_by_join
-        labelled = rows.join(match(names, ordered), ["ptype", "package_name"], "left")
+        labelled = rows.join(_match_by_case(names, ordered), ["ptype", "package_name"], "left")
     return labelled.select(
         *plain,
         F.coalesce("label.category", F.lit("Other")).alias("category"),
@@ -97,8 +79,9 @@ def categorize_dependencies(
 
 
 def syft_dependencies(reports: DataFrame, rules: Sequence[CategoryRule]) -> DataFrame:
-    """SBOM reports to categorised dependencies."""
-    return categorize_dependencies(sbom_dependencies(syft_artifacts(reports)), rules)
+    """SBOM reports to categorised dependencies, in the order of their artifacts."""
+    unused = [F.lit(None).cast(kind).alias(c) for c, kind in (("name_key", "string"), ("source_ord", "int"), ("path", "string"))]
+    return categorize_dependencies(sbom_dependencies(syft_artifacts(reports), [*unused, "pos"]), rules)
 
 
 def build_tool_vote(order: Sequence[str] = ("ord",)) -> Column:

@@ -15,13 +15,7 @@ from codeledger.functions.scalars import (
     is_recent,
     whole_days_between,
 )
-from codeledger.operators.lists import (
-    MAX_LIST_ITEMS,
-    find_oversized,
-    inline_lists,
-    list_parts,
-    section_counts,
-)
+from codeledger.operators.lists import PART_ITEMS, list_parts
 
 AsOf = datetime | str | Column
 
@@ -84,19 +78,9 @@ def recent_commits(commits: DataFrame, as_of: AsOf) -> DataFrame:
     return commits.where(is_recent(F.col("committed_at"), as_of)).select("repo_id", "committed_at")
 
 
-def recent_commit_dates(
-    commits: DataFrame, as_of: AsOf, max_items: int = MAX_LIST_ITEMS
-) -> tuple[DataFrame, DataFrame]:
-    """Commit times of the last year, newest first.
-
-    Returns (lists, parts): repositories with more than ``max_items`` recent
-    commits have no list but parts instead; nothing is dropped.
-    """
-    recent = recent_commits(commits, as_of)
-    oversized = find_oversized(section_counts("recent", recent), max_items)
-    lists = inline_lists(recent, ["committed_at"], "recent_commit_dates", oversized)
-    lists = lists.withColumn("recent_commit_dates", F.reverse("recent_commit_dates"))
-    return lists, list_parts(recent, ["committed_at"], oversized, max_items)
+def recent_commit_dates(commits: DataFrame, as_of: AsOf, part_items: int = PART_ITEMS) -> DataFrame:
+    """(repo_id, part, items) with the commit times of the last year (see ``list_parts``)."""
+    return list_parts(recent_commits(commits, as_of), ["committed_at"], part_items)
 
 
 def size_totals(repo_files: DataFrame) -> DataFrame:
@@ -113,24 +97,15 @@ def branch_counts(branches: DataFrame) -> DataFrame:
     return branches.groupBy("repo_id").agg(F.count("ref").alias("active_branch_count"))
 
 
-def repo_metrics(
-    commits: DataFrame,
-    repo_files: DataFrame,
-    branches: DataFrame,
-    as_of: AsOf,
-    max_items: int = MAX_LIST_ITEMS,
-) -> tuple[DataFrame, DataFrame]:
-    """The ``repo_metrics`` table, one row per repository that has commits, and date parts.
+def repo_metrics(commits: DataFrame, repo_files: DataFrame, branches: DataFrame, as_of: AsOf) -> DataFrame:
+    """The ``repo_metrics`` table, one row per repository that has commits.
 
-    Repositories with more than ``max_items`` recent commits have no date list
-    in the table; their dates are the parts (see ``recent_commit_dates``).
+    The dates of its recent commits are the ``recent_commits`` table.
     """
-    dates, parts = recent_commit_dates(commits, as_of, max_items)
-    metrics = (
+    return (
         commit_stats(commits, as_of)
         .join(size_totals(repo_files), "repo_id", "left")
         .join(branch_counts(branches), "repo_id", "left")
-        .join(dates, "repo_id", "left")
         .select(
             "repo_id",
             F.coalesce("repo_size_bytes", F.lit(0)).cast("double").alias("repo_size_bytes"),
@@ -144,8 +119,6 @@ def repo_metrics(
             F.coalesce("active_branch_count", F.lit(0)).cast("int").alias("active_branch_count"),
             F.col("top_contributor_commits").cast("int").alias("top_contributor_commits"),
             F.col("commits_by_top_3_contributors").cast("int").alias("commits_by_top_3_contributors"),
-            "recent_commit_dates",
             as_timestamp(as_of).alias("updated_at"),
         )
     )
-    return metrics, parts

@@ -1,8 +1,8 @@
-"""Keep-first, and lists per repository that stay bounded.
+"""Keep-first, and lists per repository as rows of bounded parts.
 
-A repository may own a large part of all rows, so a list section is built in
-one piece only up to a size; a larger one becomes several parts, spread by
-hash, that together hold every row.
+A repository may own a large part of all rows, so a list is never built in one
+piece: every list, short or long, is a number of parts, dealt by a hash of
+the item.  ``whole_lists`` puts the parts of chosen repositories together.
 """
 
 from __future__ import annotations
@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_LIST_ITEMS = 50_000
-MAX_BROADCAST_KEYS = 100_000
+#: Distinct items that a part holds at most, half of it on average in a long list.
+PART_ITEMS = 2_000
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -34,65 +34,30 @@ def section_counts(section: str, rows: DataFrame, key: str = "repo_id") -> DataF
     )
 
 
-def find_oversized(counts: DataFrame, max_items: int) -> DataFrame | None:
-    """Keys of ``counts`` with more than ``max_items`` rows, None when there are none.
+def list_parts(
+    rows: DataFrame, items: Sequence[Column | str], part_items: int = PART_ITEMS, key: str = "repo_id"
+) -> DataFrame:
+    """(key, part, items): all rows, as sorted lists of (item, copies).
 
-    One job over the counts, which are one row per key after map-side
-    aggregation.  Each oversized key stands for more than ``max_items`` rows, so
-    there are few; they are broadcast only when their counted number is small.
+    Equal rows are one item with a count, so a value repeated any number of times is
+    one entry.  The number of parts of a key follows from its number of
+    distinct items; it is joined to them, a join that adaptive execution splits
+    for a key with very many.
     """
-    too_long = counts.where(F.col("n_items") > max_items)
-    found = too_long.limit(MAX_BROADCAST_KEYS + 1).collect()
-    if not found:
-        return None
-    if len(found) > MAX_BROADCAST_KEYS:
-        return too_long
-    return F.broadcast(counts.sparkSession.createDataFrame(found, counts.schema))
-
-
-def inline_lists(
-    rows: DataFrame,
-    items: Sequence[Column | str],
-    name: str,
-    oversized: DataFrame | None = None,
-    key: str = "repo_id",
-) -> DataFrame:
-    """One sorted array of structs per key, leaving out oversized keys."""
-    if oversized is not None:
-        rows = rows.join(oversized.select(key), key, "left_anti")
-    return rows.groupBy(key).agg(F.array_sort(F.collect_list(_item(items))).alias(name))
+    single = rows.select(key, _item(items).alias("item")).groupBy(key, "item").agg(F.count(F.lit(1)).alias("copies"))
+    sizes = single.groupBy(key).agg(F.ceil(F.count(F.lit(1)) * 2 / F.lit(part_items)).cast("int").alias("_parts"))
+    dealt = single.join(sizes, key).withColumn("part", F.pmod(F.xxhash64("item"), F.col("_parts")).cast("int"))
+    entry = F.struct("item", "copies")
+    return dealt.groupBy(key, "part").agg(F.array_sort(F.collect_list(entry)).alias("items"))
 
 
-def list_parts(
-    rows: DataFrame,
-    items: Sequence[Column | str],
-    oversized: DataFrame | None,
-    max_items: int,
-    key: str = "repo_id",
-) -> DataFrame:
-    """(key, part, n_parts, items) of the oversized keys only, every row in a part.
+def whole_lists(parts: DataFrame, name: str, key: str = "repo_id") -> DataFrame:
+    """(key, name): the sorted list of every key in ``parts``, with its copies.
 
-    Equal rows are counted first and their copies numbered, so even a list of
-    one value repeated is spread evenly.
+    For a document that holds the list whole; choose the keys first.
     """
-    if oversized is None:
-        none = rows.select(key, _item(items).alias("_item")).limit(0)
-        return none.select(
-            key, F.lit(0).alias("part"), F.lit(0).alias("n_parts"), F.array("_item").alias("items")
-        )
-    numbered = (
-        rows.join(oversized.select(key, "n_items"), key)
-        .select(key, "n_items", _item(items).alias("_item"))
-        .groupBy(key, "n_items", "_item")
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .select(key, "n_items", "_item", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"))
-    )
-    # half-full on average, so hashing leaves no part above the limit in practice
-    n_parts = F.ceil(F.col("n_items") * 2 / F.lit(max_items)).cast("int")
-    spread = numbered.withColumn("n_parts", n_parts).withColumn(
-        "part", F.pmod(F.xxhash64(F.col("_item"), F.col("_copy")), F.col("n_parts")).cast("int")
-    )
-    return spread.groupBy(key, "part", "n_parts").agg(F.array_sort(F.collect_list("_item")).alias("items"))
+    copies = F.flatten(F.transform("items", lambda x: F.array_repeat(x["item"], x["copies"].cast("int"))))
+    return parts.groupBy(key).agg(F.array_sort(F.flatten(F.collect_list(copies))).alias(name))
 
 
 def _item(items: Sequence[Column | str]) -> Column:

@@ -262,12 +262,54 @@ def is_json(body: Column) -> Column:
     return F.try_parse_json(body).isNotNull()
 
 
+# The field of each JSON report that holds its list.
+REPORT_LISTS = {
+    "trivy": "Results",
+    "grype": "matches",
+    "xeol": "matches",
+    "semgrep": "results",
+    "syft": "artifacts",
+}
+
+
+def _has_other_shape() -> Column:
+    """Whether a JSON report is not built as its tool builds it."""
+    parsed = F.try_parse_json("body")
+    is_object = F.try_variant_get(parsed, "$", "map<string, variant>").isNotNull()
+    counts = F.filter(F.map_entries(_json(schemas.CLOC_REPORT)), lambda e: ~e["key"].isin("header", "SUM"))
+    uncounted = F.exists(
+        counts,
+        lambda e: F.coalesce(
+            e["value"]["nFiles"].isNull()
+            | e["value"]["blank"].isNull()
+            | e["value"]["comment"].isNull()
+            | e["value"]["code"].isNull(),
+            F.lit(True),
+        ),
+    )
+    wrong = F.when(F.col("tool") == "cloc", ~is_object | F.coalesce(uncounted, F.lit(True)))
+    for tool, name in REPORT_LISTS.items():
+        # a missing or null list is an empty one
+        given = F.try_variant_get(parsed, f"$.{name}", "string").isNotNull()
+        entries = F.try_variant_get(parsed, f"$.{name}", "array<variant>")
+        objects = F.forall(entries, lambda e: F.try_variant_get(e, "$", "map<string, variant>").isNotNull())
+        wrong = wrong.when(F.col("tool") == tool, ~is_object | (given & ~F.coalesce(objects, F.lit(False))))
+    checks = F.try_variant_get(parsed, "$", "array<variant>")
+    all_objects = F.forall(checks, lambda e: F.try_variant_get(e, "$", "map<string, variant>").isNotNull())
+    wrong = wrong.when(F.col("tool") == "checkov", ~is_object & ~F.coalesce(all_objects, F.lit(False)))
+    return F.coalesce(wrong, F.lit(False))
+
+
 def unreadable_reason() -> Column:
     """Why a report (tool, body) cannot be read, NULL when it can."""
     body = F.btrim("body", F.lit(" \t\r\n"))
     is_text = F.col("tool").isin("lizard", "enry")
     empty_check = (F.col("tool") == "checkov") & body.rlike(r"^(\[\s*\]|\{\s*\})$")
-    return F.when(~is_text & ~is_json(body), "not valid JSON").when(empty_check, "empty output")
+    return (
+        F.when(~is_text & ~is_json(body), "not valid JSON")
+        .when(empty_check, "empty output")
+        .when(_has_other_shape(), "unexpected shape")
+    )
 
 
 def report_errors(reports: DataFrame) -> DataFrame:

@@ -26,9 +26,6 @@ FILTER_COLUMNS = [
     "number_of_contributors",
 ]
 
-# A page this shallow is served by a top-k; deeper pages use row numbers.
-SHALLOW_PAGE_ROWS = 10_000
-
 
 def _like_pattern(value: str) -> str:
     """A LIKE pattern whose backslashes only escape what Spark lets them escape."""
@@ -133,12 +130,13 @@ def number_batches(df: DataFrame, batch_size: int, key: str = "repo_id") -> Data
 
 
 def page(df: DataFrame, offset: int, limit: int, key: str = "repo_id") -> DataFrame:
-    """Rows ``offset`` to ``offset + limit`` in ``key`` order."""
-    if offset + limit <= SHALLOW_PAGE_ROWS:
-        return df.orderBy(key).offset(offset).limit(limit)
-    numbered = number_rows(df, key)
-    wanted = (F.col("row_no") > offset) & (F.col("row_no") <= offset + limit)
-    return numbered.where(wanted).drop("row_no")
+    """Rows ``offset`` to ``offset + limit`` in ``key`` order; ``key`` should be unique.
+
+    Only keys are numbered; rows are joined to the keys of the page, at any depth.
+    """
+    numbered = number_rows(df.select(key), key)
+    wanted = numbered.where((F.col("row_no") > offset) & (F.col("row_no") <= offset + limit)).select(key)
+    return df.join(wanted, key, "left_semi")
 
 
 def main_languages(languages: DataFrame, order: Sequence[str] = ("language",)) -> DataFrame:

@@ -2,8 +2,10 @@
 
 Each table is aggregated to one row per repository first, then the rows are
 joined on ``repo_id``, so the joins carry no duplicates and share one
-partitioning.  List sections longer than ``max_items`` leave the document and
-come as parts (see ``codeledger.operators.lists``); together they are whole.
+partitioning.  A profile row holds scalars, counts and sets that are bounded by a
+vocabulary.  Every list section is a table of parts, at any length (see
+``codeledger.operators.lists``); ``assembled`` makes nested documents of the
+repositories that are asked for.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from codeledger.functions.scalars import (
 )
 from codeledger.operators.dependencies import build_tool_vote, runtime_entries
 from codeledger.operators.iac import signal_flags
-from codeledger.operators.lists import MAX_LIST_ITEMS, find_oversized, list_parts, section_counts
+from codeledger.operators.lists import PART_ITEMS, list_parts, whole_lists
 from codeledger.operators.vulnerabilities import combined_vulnerabilities, deduplicated_vulnerabilities
 from codeledger.sinks.tables import KeyedTable
 
@@ -60,11 +62,7 @@ SEMGREP_FIELDS = [
 
 @dataclass
 class ProfileTables:
-    """The tables a profile is built from, in the shapes of ``codeledger.schemas``.
-
-    ``recent_commit_parts`` (repo_id, part, n_parts, items) holds the commit
-    dates of repositories whose list was too long for ``repo_metrics``.
-    """
+    """The tables a profile is built from, in the shapes of ``codeledger.schemas``."""
 
     inventory: DataFrame
     repo_metrics: DataFrame
@@ -78,7 +76,15 @@ class ProfileTables:
     xeol_results: DataFrame
     semgrep_results: DataFrame
     iac_components: DataFrame
-    recent_commit_parts: DataFrame | None = None
+    recent_commits: DataFrame
+
+
+@dataclass
+class Profiles:
+    """``scalars`` (repo_id, profile) and, for each list section, its parts (repo_id, part, items)."""
+
+    scalars: DataFrame
+    sections: dict[str, DataFrame]
 
 
 def profile_rejects(tables: ProfileTables) -> DataFrame:
@@ -95,9 +101,8 @@ def profile_rejects(tables: ProfileTables) -> DataFrame:
 
 
 def basic_section(inventory: DataFrame, metrics: DataFrame) -> DataFrame:
-    """Inventory joined with metrics, and the 21 basic fields as ``basic``."""
+    """Inventory joined with metrics, and the basic fields as ``basic``."""
     i, m = inventory.alias("i"), metrics.alias("m")
-    dates = F.coalesce(F.col("m.recent_commit_dates"), F.array().cast("array<timestamp>"))
     fields = {
         "Repo ID": F.col("i.repo_id"),
         "Repo Name": F.col("i.repo_name"),
@@ -119,7 +124,6 @@ def basic_section(inventory: DataFrame, metrics: DataFrame) -> DataFrame:
         "Active Branch Count": F.col("m.active_branch_count"),
         "Top Contributor Commits": or_default(F.col("m.top_contributor_commits"), 0),
         "Commits by Top 3 Contributors": or_default(F.col("m.commits_by_top_3_contributors"), 0),
-        "Recent Commit Dates": F.transform(dates, iso_timestamp),
     }
     return i.join(m, "repo_id").select(
         F.col("repo_id"),
@@ -165,28 +169,9 @@ def loc_totals(cloc: DataFrame) -> DataFrame:
     )
 
 
-def _inline(rows: DataFrame, oversized: DataFrame | None, section: str) -> tuple[DataFrame, Column]:
-    """``rows`` and the predicate "this row belongs into the document"."""
-    if oversized is None:
-        return rows, F.lit(True)
-    flags = oversized.where(F.col("section") == section).select("repo_id", F.lit(True).alias("_big"))
-    return rows.join(flags, "repo_id", "left"), F.col("_big").isNull()
-
-
-def _listed(item: Column, inline: Column) -> Column:
-    """Sorted list of items; rows of oversized lists add nothing to it."""
-    return F.array_sort(F.collect_list(F.when(inline, item)))
-
-
-def _dependency_item() -> Column:
-    return F.struct(*[F.col(c).alias(n) for c, n in DEPENDENCY_FIELDS])
-
-
-def dependency_section(deps: DataFrame, oversized: DataFrame | None, order: Sequence[str]) -> DataFrame:
-    rows, inline = _inline(deps, oversized, "Dependencies")
+def dependency_section(deps: DataFrame, order: Sequence[str]) -> DataFrame:
     framework = non_empty(strip(F.col("framework")))
-    return rows.groupBy("repo_id").agg(
-        _listed(_dependency_item(), inline).alias("dependencies"),
+    return deps.groupBy("repo_id").agg(
         F.count(F.lit(1)).alias("n_dependencies"),
         # as long as the rule vocabulary at most
         F.array_sort(F.collect_set(framework)).alias("frameworks"),
@@ -194,35 +179,22 @@ def dependency_section(deps: DataFrame, oversized: DataFrame | None, order: Sequ
     )
 
 
-def runtime_section(build_tools: DataFrame, oversized: DataFrame | None) -> DataFrame:
-    rows, inline = _inline(runtime_entries(build_tools), oversized, "Runtime Version")
-    return rows.groupBy("repo_id").agg(
-        F.array_join(_listed(F.col("entry"), inline), ", ").alias("runtime_version"),
-        F.count(F.lit(1)).alias("n_runtimes"),
-    )
-
-
-def security_section(vulnerabilities: DataFrame, oversized: DataFrame | None) -> DataFrame:
-    rows, inline = _inline(vulnerabilities, oversized, "Vulnerabilities")
-    return rows.groupBy("repo_id").agg(
-        _listed(F.struct(*VULNERABILITY_FIELDS), inline).alias("vulnerabilities"),
+def security_section(vulnerabilities: DataFrame) -> DataFrame:
+    return vulnerabilities.groupBy("repo_id").agg(
         F.count(F.lit(1)).alias("n_vulnerabilities"),
         F.count_if(F.col("severity") == "Critical").alias("n_critical"),
     )
 
 
-def eol_section(eol: DataFrame, oversized: DataFrame | None) -> DataFrame:
-    rows, inline = _inline(eol, oversized, "EOL Results")
-    return rows.groupBy("repo_id").agg(
-        _listed(F.struct(*EOL_FIELDS), inline).alias("eol"), F.count(F.lit(1)).alias("n_eol")
-    )
+def eol_section(eol: DataFrame) -> DataFrame:
+    return eol.groupBy("repo_id").agg(F.count(F.lit(1)).alias("n_eol"))
 
 
-def semgrep_section(findings: DataFrame, oversized: DataFrame | None) -> DataFrame:
-    rows, inline = _inline(findings, oversized, "Semgrep Findings")
-    return rows.groupBy("repo_id").agg(
-        _listed(F.struct(*SEMGREP_FIELDS), inline).alias("findings"), F.count(F.lit(1)).alias("n_findings")
-    )
+def runtime_versions(build_tools: DataFrame) -> DataFrame:
+    """(repo_id, runtime_version): the entries of every repository, sorted and joined."""
+    parts = list_parts(runtime_entries(build_tools), ["entry"])
+    text = F.array_join("entries", ", ").alias("runtime_version")
+    return whole_lists(parts, "entries").select("repo_id", text)
 
 
 def iac_section(components: DataFrame) -> DataFrame:
@@ -232,12 +204,20 @@ def iac_section(components: DataFrame) -> DataFrame:
 
 # --- assembly ---------------------------------------------------------------
 
+# The field of a document that each list section follows.
+LIST_PLACES = {
+    "Recent Commit Dates": "Commits by Top 3 Contributors",
+    "Dependencies": "Classification Label",
+    "Runtime Version": "Build Tool",
+    "Vulnerabilities": "Build Tool",
+    "EOL Results": "Vulnerable Dependencies %",
+    "Semgrep Findings": "EOL Packages Found",
+}
 
-def _list_sources(tables: ProfileTables) -> dict[str, tuple[DataFrame, list]]:
-    vulnerabilities = deduplicated_vulnerabilities(
-        combined_vulnerabilities(tables.grype_results, tables.trivy_vulnerability)
-    )
+
+def _list_sources(tables: ProfileTables, vulnerabilities: DataFrame) -> dict[str, tuple[DataFrame, list]]:
     return {
+        "Recent Commit Dates": (tables.recent_commits, ["committed_at"]),
         "Dependencies": (tables.syft_dependencies, [F.col(c).alias(n) for c, n in DEPENDENCY_FIELDS]),
         "Runtime Version": (runtime_entries(tables.build_tools), ["entry"]),
         "Vulnerabilities": (vulnerabilities, VULNERABILITY_FIELDS),
@@ -246,102 +226,77 @@ def _list_sources(tables: ProfileTables) -> dict[str, tuple[DataFrame, list]]:
     }
 
 
-def _find_oversized(tables: ProfileTables, max_items: int) -> DataFrame | None:
-    """(repo_id, section, n_items) of list sections that outgrow a document.
-
-    Counts raw rows, which needs only the ``repo_id`` columns; vulnerabilities
-    are counted after deduplication, and only for repositories that may exceed.
-    """
-    raw = {
-        "Dependencies": tables.syft_dependencies,
-        "Runtime Version": tables.build_tools,
-        "EOL Results": tables.xeol_results,
-        "Semgrep Findings": tables.semgrep_results,
-        "Vulnerabilities": tables.grype_results.select("repo_id").unionByName(
-            tables.trivy_vulnerability.select("repo_id")
-        ),
-    }
-    counts = reduce(DataFrame.unionByName, [section_counts(s, rows) for s, rows in raw.items()])
-    candidates = find_oversized(counts, max_items)
-    if candidates is None:
-        return None
-    suspects = candidates.where(F.col("section") == "Vulnerabilities").select("repo_id")
-    distinct = deduplicated_vulnerabilities(
-        combined_vulnerabilities(
-            tables.grype_results.join(suspects, "repo_id", "left_semi"),
-            tables.trivy_vulnerability.join(suspects, "repo_id", "left_semi"),
-        )
-    )
-    exact = candidates.where(F.col("section") != "Vulnerabilities").unionByName(
-        section_counts("Vulnerabilities", distinct)
-    )
-    return find_oversized(exact, max_items)
-
-
 def build_profiles(
     tables: ProfileTables,
-    max_items: int = MAX_LIST_ITEMS,
+    part_items: int = PART_ITEMS,
     language_order: str | None = None,
-    dependency_order: Sequence[str] = ("package_name", "version"),
-) -> tuple[DataFrame, DataFrame]:
-    """(profiles, parts).
+    dependency_order: Sequence[str] | None = None,
+) -> Profiles:
+    """The profiles of all repositories with inventory and metrics, in one layout at every size.
 
-    ``profiles`` holds repo_id, the nested ``profile`` and ``overflow``, the
-    names of list sections that are too long for it.  ``parts`` holds exactly
-    those: (repo_id, section, part, n_parts, items_json).
+    ``dependency_order`` decides which dependency names the build tool first: the stored ``ord`` of
+    the SBOM, or name and version where a table has none.
     """
-    oversized = _find_oversized(tables, max_items)
-    sources = _list_sources(tables)
+    if dependency_order is None:
+        dependency_order = ["ord"] if "ord" in tables.syft_dependencies.columns else ["package_name", "version"]
+    vulnerabilities = deduplicated_vulnerabilities(
+        combined_vulnerabilities(tables.grype_results, tables.trivy_vulnerability)
+    )
     lizard = tables.lizard_summary.select("repo_id", F.struct(F.col("*")).alias("lizard"))
     joined = (
         basic_section(tables.inventory, tables.repo_metrics)
         .join(language_section(tables.languages, language_order), "repo_id", "left")
         .join(lizard, "repo_id", "left")
         .join(loc_totals(tables.cloc_metrics), "repo_id", "left")
-        .join(dependency_section(tables.syft_dependencies, oversized, dependency_order), "repo_id", "left")
-        .join(runtime_section(tables.build_tools, oversized), "repo_id", "left")
-        .join(security_section(sources["Vulnerabilities"][0], oversized), "repo_id", "left")
-        .join(eol_section(tables.xeol_results, oversized), "repo_id", "left")
-        .join(semgrep_section(tables.semgrep_results, oversized), "repo_id", "left")
+        .join(dependency_section(tables.syft_dependencies, dependency_order), "repo_id", "left")
+        .join(security_section(vulnerabilities), "repo_id", "left")
+        .join(eol_section(tables.xeol_results), "repo_id", "left")
         .join(iac_section(tables.iac_components), "repo_id", "left")
     )
-    if tables.recent_commit_parts is None:
-        joined = joined.withColumn("_dates_cut", F.lit(False))
-    else:
-        cut = tables.recent_commit_parts.select("repo_id", F.lit(True).alias("_dates_cut")).distinct()
-        joined = joined.join(cut, "repo_id", "left")
-    profiles = joined.select(
-        "repo_id", F.struct(*_profile_fields()).alias("profile"), _overflow(max_items).alias("overflow")
-    )
-    return profiles, _profile_parts(tables, sources, oversized, max_items)
-
-
-def _profile_parts(
-    tables: ProfileTables, sources: dict, oversized: DataFrame | None, max_items: int
-) -> DataFrame:
-    """(repo_id, section, part, n_parts, items_json) of the oversized sections."""
     # only for repositories that have a document
     known = tables.inventory.join(tables.repo_metrics, "repo_id", "left_semi").select("repo_id")
-    schema = "repo_id string, section string, part int, n_parts int, items_json string"
-    cut = [tables.inventory.sparkSession.createDataFrame([], schema)]
+    sections = {
+        name: list_parts(rows.join(known, "repo_id", "left_semi"), items, part_items)
+        for name, (rows, items) in _list_sources(tables, vulnerabilities).items()
+    }
+    return Profiles(joined.select("repo_id", F.struct(*_profile_fields()).alias("profile")), sections)
 
-    def add(section: str, parts: DataFrame, items: Column) -> None:
-        columns = ["repo_id", F.lit(section).alias("section"), "part", "n_parts"]
-        cut.append(parts.select(*columns, F.to_json(items).alias("items_json")))
 
-    if oversized is not None:
-        oversized = oversized.join(known, "repo_id", "left_semi")
-        for section, (rows, items) in sources.items():
-            big = oversized.where(F.col("section") == section).drop("section")
-            add(section, list_parts(rows, items, big, max_items), F.col("items"))
-    if tables.recent_commit_parts is not None:
-        dates = tables.recent_commit_parts.join(known, "repo_id", "left_semi")
-        add("Recent Commit Dates", dates, F.transform("items", iso_timestamp))
-    return reduce(DataFrame.unionByName, cut)
+def section_rows(profiles: Profiles) -> DataFrame:
+    """(repo_id, section, part, items_json) of all list sections; items are (item, copies)."""
+    rows = [
+        parts.select("repo_id", F.lit(name).alias("section"), "part", F.to_json("items").alias("items_json"))
+        for name, parts in profiles.sections.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def assembled(profiles: Profiles, repos: DataFrame | None = None) -> DataFrame:
+    """(repo_id, profile) with every list in its place, for the repositories in ``repos`` (all without).
+
+    A nested document holds its lists whole, so it is as long as its repository.
+    """
+
+    def chosen(rows: DataFrame) -> DataFrame:
+        return rows if repos is None else rows.join(repos.select("repo_id").distinct(), "repo_id", "left_semi")
+
+    rows = chosen(profiles.scalars)
+    lists = {}
+    for number, (name, parts) in enumerate(profiles.sections.items()):
+        rows = rows.join(whole_lists(chosen(parts), f"_list{number}"), "repo_id", "left")
+        lists[name] = F.coalesce(F.col(f"_list{number}"), F.array())
+    lists["Recent Commit Dates"] = F.transform(F.reverse(lists["Recent Commit Dates"]), iso_timestamp)
+    runtime = lists["Runtime Version"]
+    lists["Runtime Version"] = F.when(F.size(runtime) > 0, F.array_join(runtime, ", "))
+    fields: list[Column] = []
+    for name in rows.schema["profile"].dataType.names:
+        fields.append(F.col("profile").getField(name).alias(name))
+        fields += [lists[after].alias(after) for after, before in LIST_PLACES.items() if before == name]
+    return rows.select("repo_id", F.struct(*fields).alias("profile"))
 
 
 def _profile_fields() -> list[Column]:
-    """All sections as flat fields, in document order."""
+    """All fields but the lists, in document order."""
 
     def zero(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(0))
@@ -375,47 +330,24 @@ def _profile_fields() -> list[Column]:
         "Comment Lines": zero("comment"),
         "total_loc": loc,
         "Classification Label": size_class(F.col("_size"), loc),
-        "Dependencies": listed("dependencies"),
         "Total Dependencies": zero("n_dependencies"),
         "Frameworks": listed("frameworks"),
         "Build Tool": F.coalesce(F.col("build_tool"), F.lit("Unknown")),
-        "Runtime Version": F.col("runtime_version"),
-        "Vulnerabilities": listed("vulnerabilities"),
         "Critical Vuln Count": zero("n_critical"),
         "Vulnerable Dependencies %": share,
-        "EOL Results": listed("eol"),
         "EOL Packages Found": zero("n_eol"),
-        "Semgrep Findings": listed("findings"),
         "Modernization Signals": flags,
         "IaC Frameworks": listed("iac_frameworks"),
     }
     return [F.col("basic.*"), *[e.alias(n) for n, e in fields.items()]]
 
 
-def _overflow(max_items: int) -> Column:
-    counts = {
-        "Dependencies": "n_dependencies",
-        "Runtime Version": "n_runtimes",
-        "Vulnerabilities": "n_vulnerabilities",
-        "EOL Results": "n_eol",
-        "Semgrep Findings": "n_findings",
-    }
-    dates = F.when(F.col("_dates_cut"), "Recent Commit Dates")
-    return F.array_compact(F.array(dates, *[F.when(F.col(c) > max_items, s) for s, c in counts.items()]))
-
-
-def profile_documents(profiles: DataFrame) -> DataFrame:
-    """The ``profile_cache`` rows: (repo_id, profile_json).
-
-    A document whose long sections are parts names them under ``Overflow``.
-    """
-    options = {"ignoreNullFields": "false"}
-    whole = F.to_json("profile", options)
-    cut = F.to_json(F.struct(F.col("profile.*"), F.col("overflow").alias("Overflow")), options)
-    text = F.when(F.size("overflow") > 0, cut).otherwise(whole)
-    return profiles.select("repo_id", text.alias("profile_json"))
+def profile_documents(profiles: Profiles, repos: DataFrame | None = None) -> DataFrame:
+    """The ``profile_cache`` rows: (repo_id, profile_json)."""
+    text = F.to_json("profile", {"ignoreNullFields": "false"})
+    return assembled(profiles, repos).select("repo_id", text.alias("profile_json"))
 
 
-def cache_profiles(profiles: DataFrame, cache: KeyedTable) -> None:
+def cache_profiles(profiles: Profiles, cache: KeyedTable) -> None:
     """Store the documents, replacing those of the same repositories."""
     cache.upsert(profile_documents(profiles))

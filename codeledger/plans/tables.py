@@ -89,6 +89,12 @@ def build_tools_table(
     return reduce(DataFrame.unionByName, stages)
 
 
+def build_tool_failures(repo_files: DataFrame) -> DataFrame:
+    """(repo_id, message, error, duration) of detections that failed, for ``execution_log_rows``."""
+    failed = b.gradle_versions(build_file_subset(repo_files)).where(F.col("error").isNotNull())
+    return failed.select("repo_id", F.lit(None).cast("string").alias("message"), "error", F.lit(0.0).alias("duration"))
+
+
 def merged_artifacts(syft_reports: DataFrame, repo_files: DataFrame) -> DataFrame:
     """SBOM artifacts with those of unlocked Gradle modules; only for scanned repositories."""
     gradle = sbom.gradle_artifacts(sbom.gradle_dependencies(sbom.gradle_build_files(repo_files)))

@@ -21,9 +21,9 @@ REPO_METRICS = (
     "repo_id string, repo_size_bytes double, code_size_bytes double, file_count int, "
     "total_commits int, number_of_contributors int, activity_status string, "
     "last_commit_date timestamp, repo_age_days int, active_branch_count int, "
-    "top_contributor_commits int, commits_by_top_3_contributors int, "
-    "recent_commit_dates array<timestamp>, updated_at timestamp"
+    "top_contributor_commits int, commits_by_top_3_contributors int, updated_at timestamp"
 )
+RECENT_COMMITS = "repo_id string, committed_at timestamp"
 LIZARD_SUMMARY = (
     "repo_id string, total_nloc int, avg_ccn double, total_token_count int, "
     "function_count int, total_ccn int"
@@ -57,7 +57,8 @@ CHECKOV_SUMMARY = (
 SYFT_DEPENDENCIES = (
     "repo_id string, package_name string, version string, package_type string, "
     "licenses string, locations string, language string, category string, "
-    "sub_category string, framework string"
+    "sub_category string, framework string, "
+    "ord struct<name_key: string, source_ord: int, path: string, pos: int>"
 )
 DEPENDENCIES = (
     "repo_id string, name string, version string, package_type string, category string, "

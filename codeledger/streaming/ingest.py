@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from codeledger import schemas
+from codeledger.functions.patterns import literal_map
 from codeledger.operators import reports as r
 from codeledger.operators.dependencies import syft_dependencies
 from codeledger.operators.status import execution_log_rows
+from codeledger.plans.tables import dependency_table
 from codeledger.sinks.tables import KeyedTable
 from codeledger.sources.reports import report_columns
 from codeledger.sources.rules import CategoryRule
@@ -47,60 +49,65 @@ TARGETS = {
 
 @dataclass
 class ReportIngest:
-    """Writes batches of reports to the keyed tables under ``tables_root``."""
+    """Writes batches of reports to the keyed tables under ``tables_root``.
+
+    With ``repo_files`` the dependencies are those of the SBOM merged with the
+    Gradle build files of the same repositories.
+    """
 
     spark: SparkSession
     tables_root: str
     rules: Sequence[CategoryRule] = field(default_factory=tuple)
-    buckets: int = 256
     run_name: str = "ingest"
+    repo_files: DataFrame | None = None
+
+    def _dependencies(self, reports: DataFrame) -> DataFrame:
+        if self.repo_files is None:
+            return syft_dependencies(reports, self.rules)
+        scanned = reports.select("repo_id").distinct()
+        return dependency_table(reports, self.repo_files.join(scanned, "repo_id", "left_semi"), self.rules)
 
     def _target(self, tool: str) -> Target | None:
         if tool == "syft":
-            return Target(
-                "syft_dependencies",
-                schemas.SYFT_DEPENDENCIES,
-                lambda reports: syft_dependencies(reports, self.rules),
-                "keep",
-            )
+            return Target("syft_dependencies", schemas.SYFT_DEPENDENCIES, self._dependencies, "keep")
         return TARGETS.get(tool)
 
     def table(self, tool: str) -> KeyedTable:
         target = self._target(tool)
-        path = f"{self.tables_root.rstrip('/')}/{target.table}"
-        return KeyedTable(self.spark, path, target.schema, buckets=self.buckets)
+        return KeyedTable(self.spark, f"{self.tables_root.rstrip('/')}/{target.table}", target.schema)
 
     def log(self) -> KeyedTable:
-        """The execution log; keyed by run, so a repeated batch is logged once."""
-        path = f"{self.tables_root.rstrip('/')}/analysis_execution_log"
-        return KeyedTable(self.spark, path, schemas.EXECUTION_LOG, key="run_id", buckets=self.buckets)
+        """The execution log; a repeated batch is logged once."""
+        return KeyedTable(self.spark, f"{self.tables_root.rstrip('/')}/analysis_execution_log", schemas.EXECUTION_LOG)
 
     def write_batch(self, reports: DataFrame, batch_id: int = 0) -> None:
         """Parse and store one batch of (repo_id, tool, body[, modified]), and log it.
 
-        Writing the same batch again changes nothing: rows are replaced by key.
+        Each table gets the batch once, under its run's name: writing the same batch
+        again adds nothing.  The cost is that of the batch, not of the tables.
         """
-        reports = newest_reports(reports).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            known = [*TARGETS, "syft"]
-            tools = reports.where(F.col("tool").isin(known)).select("tool").distinct().collect()
-            for tool in sorted(row[0] for row in tools):
-                target = self._target(tool)
-                valid = r.valid_reports(reports.where(F.col("tool") == tool))
-                new = target.parse(valid)
-                self.table(tool).replace(new, valid.select("repo_id"), target.on_empty)
-            outcomes = reports.where(F.col("tool").isin(known)).select(
-                "repo_id",
-                "tool",
-                F.lit("stored").alias("message"),
-                r.unreadable_reason().alias("error"),
-                F.lit(0.0).alias("duration"),
-            )
-            run_id = f"{self.run_name}-{batch_id}"
-            entries = execution_log_rows(outcomes, "ingest", F.col("tool"), run_id, F.current_timestamp())
-            self.log().replace(entries)
-        finally:
-            reports.unpersist()
+        run_id = f"{self.run_name}-{batch_id}"
+        known = [*TARGETS, "syft"]
+        reports = newest_reports(reports.where(F.col("tool").isin(known)))
+        tools = sorted(row[0] for row in reports.select("tool").distinct().collect())
+        seconds = {}
+        for tool in tools:
+            start = time.perf_counter()
+            target = self._target(tool)
+            valid = r.valid_reports(reports.where(F.col("tool") == tool))
+            self.table(tool).replace(target.parse(valid), valid.select("repo_id"), target.on_empty, run_id)
+            seconds[tool] = time.perf_counter() - start
+        if not tools:
+            return
+        outcomes = reports.select(
+            "repo_id",
+            "tool",
+            F.lit("stored").alias("message"),
+            r.unreadable_reason().alias("error"),
+            literal_map([(tool, str(s)) for tool, s in seconds.items()])[F.col("tool")].cast("double").alias("duration"),
+        )
+        entries = execution_log_rows(outcomes, "ingest", F.col("tool"), run_id, F.current_timestamp())
+        self.log().append(entries, run_id)
 
     def start(self, incoming: DataFrame, checkpoint: str) -> StreamingQuery:
         """Ingest everything ``incoming`` (a stream of reports) has not delivered yet, then stop."""
@@ -135,13 +142,10 @@ def report_table_stream(spark: SparkSession, path: str, max_files: int = 1_000)
 
 
 def newest_reports(reports: DataFrame) -> DataFrame:
-    """The newest report per repository and tool; without times, all of them.
+    """One report per repository and tool: the newest, of equal times the last path, then the greatest body.
 
-    Only times and paths are aggregated; bodies meet the result in a semi join.
+    An aggregate: copies are reduced before the shuffle.
     """
     order = [c for c in ("modified", "path") if c in reports.columns]
-    if not order:
-        return reports
-    newest = reports.groupBy("repo_id", "tool").agg(F.max(F.struct(*order)).alias("_newest"))
-    newest = newest.select("repo_id", "tool", *[F.col("_newest").getField(c).alias(c) for c in order])
-    return reports.join(newest, ["repo_id", "tool", *order], "left_semi")
+    newest = F.max_by(F.struct("body"), F.struct(*order, F.xxhash64("body"), F.col("body"))).alias("_newest")
+    return reports.groupBy("repo_id", "tool").agg(newest).select("repo_id", "tool", "_newest.body")

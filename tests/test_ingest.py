@@ -3,9 +3,11 @@ import time
 
 from codeledger.sources.files import read_repo_files
 from codeledger.sources.rules import CategoryRule
-from codeledger.streaming.ingest import ReportIngest, report_file_stream
+from codeledger.operators.dependencies import infer_build_tool
+from codeledger.operators.reports import report_errors
+from codeledger.streaming.ingest import ReportIngest, newest_reports, report_file_stream
 
-from helpers import reports, rows
+from helpers import repo_files, reports, rows
 
 
 def trivy(*ids):
@@ -21,7 +23,7 @@ def test_files_arrive_in_two_runs(spark, tmp_path):
     (root / "syft" / "b.json").write_text('{"artifacts":[{"name":"kafka","version":"1","type":"python"}]}')
     (root / "unknown" / "b.json").write_text("whatever")
     rules = [CategoryRule("python", 0, "kafka", "Msg", "Q", "K")]
-    ingest = ReportIngest(spark, str(tmp_path / "tables"), rules, buckets=4)
+    ingest = ReportIngest(spark, str(tmp_path / "tables"), rules)
 
     def run():
         ingest.start(report_file_stream(spark, str(root)), checkpoint).awaitTermination()
@@ -45,25 +47,70 @@ def test_files_arrive_in_two_runs(spark, tmp_path):
 
 
 def test_repeated_batches_change_nothing(spark, tmp_path):
-    ingest = ReportIngest(spark, str(tmp_path / "tables"), buckets=4)
+    ingest = ReportIngest(spark, str(tmp_path / "tables"))
     enry = reports(spark, "enry", "70%\tJava\n30%\tGo", "100% C")
-    for _ in range(2):
+    for _ in range(2):  # the same batch, then the same reports in a later one
         ingest.write_batch(enry)
+        ingest.write_batch(enry, 1)
         assert rows(ingest.table("enry").read(), "repo_id", "language", "percent_usage") == [
             ("r0", "Go", 30.0), ("r0", "Java", 70.0), ("r1", "C", 100.0),
         ]
 
 
 def test_empty_results_clear_or_keep(spark, tmp_path):
-    ingest = ReportIngest(spark, str(tmp_path / "tables"), buckets=4)
-    ingest.write_batch(reports(spark, "trivy", trivy("CVE-1")))
-    ingest.write_batch(reports(spark, "grype", '{"matches":[{"vulnerability":{"id":"CVE-1"}}]}'))
-    ingest.write_batch(reports(spark, "trivy", trivy()))
-    ingest.write_batch(reports(spark, "grype", '{"matches":[]}'))
+    ingest = ReportIngest(spark, str(tmp_path / "tables"))
+    ingest.write_batch(reports(spark, "trivy", trivy("CVE-1")), 0)
+    ingest.write_batch(reports(spark, "grype", '{"matches":[{"vulnerability":{"id":"CVE-1"}}]}'), 1)
+    ingest.write_batch(reports(spark, "trivy", trivy()), 2)
+    ingest.write_batch(reports(spark, "grype", '{"matches":[]}'), 3)
     assert ingest.table("trivy").read().count() == 0
     assert rows(ingest.table("grype").read(), "cve") == [("CVE-1",)]
 
 
+def test_wrong_shapes_keep_older_rows(spark, tmp_path):
+    ingest = ReportIngest(spark, str(tmp_path / "tables"))
+    ingest.write_batch(reports(spark, "trivy", trivy("CVE-1")), 0)
+    ingest.write_batch(reports(spark, "cloc", '{"C": {"nFiles": 1, "blank": 2, "comment": 3, "code": 4}}'), 0)
+    wrong = {
+        "trivy": ['{"Results": {}}', "[]", '{"Results": [1]}'],
+        "cloc": ["[1,2]", '{"C": {"nFiles": "3", "blank": 1, "comment": 1, "code": 1}}', '{"C": 5}'],
+        "grype": ['{"matches": "x"}', "7"],
+        "syft": ['{"artifacts": {"a": 1}}'],
+        "checkov": ["[1]", '"text"'],
+    }
+    for tool, bodies in wrong.items():
+        found = report_errors(reports(spark, tool, *bodies)).collect()
+        assert [r["reason"] for r in found] == ["unexpected shape"] * len(bodies), tool
+    ingest.write_batch(reports(spark, "trivy", '{"Results": {}}'), 1)
+    ingest.write_batch(reports(spark, "cloc", "[1,2]"), 2)
+    assert rows(ingest.table("trivy").read(), "vulnerability_id") == [("CVE-1",)]
+    assert rows(ingest.table("cloc").read(), "code") == [(4,)]
+    fine = {"trivy": ["{}", '{"Results": null}'], "cloc": ['{"header": {"x": 1}, "SUM": {}}'], "checkov": ['{"passed": 1}', '[{"check_type": "x"}]']}
+    for tool, bodies in fine.items():
+        assert report_errors(reports(spark, tool, *bodies)).count() == 0, tool
+
+
+def test_one_of_equal_reports_counts(spark, tmp_path):
+    bodies = [trivy("CVE-1"), trivy("CVE-2"), trivy("CVE-2")]
+    same = spark.createDataFrame([("r", "trivy", b, 7) for b in bodies], "repo_id string, tool string, body string, modified int")
+    assert newest_reports(same).count() == 1
+    assert newest_reports(same.drop("modified")).count() == 1
+    ingest = ReportIngest(spark, str(tmp_path / "tables"))
+    ingest.write_batch(same)
+    assert ingest.table("trivy").read().count() == 1
+
+
+def test_merged_dependencies_and_their_order(spark, tmp_path):
+    """The first package by lower-case name decides the build tool, also after it was stored."""
+    body = json.dumps({"artifacts": [{"name": "Zlib", "version": "1", "type": "python"}, {"name": "axios", "version": "1", "type": "npm"}]})
+    files = repo_files(spark, ("build.gradle", "dependencies { implementation 'g:a:1' }", "r0"))
+    ingest = ReportIngest(spark, str(tmp_path / "tables"), repo_files=files)
+    ingest.write_batch(reports(spark, "syft", body))
+    stored = ingest.table("syft").read()
+    assert {"Zlib", "axios"} <= {r["package_name"] for r in stored.collect()}
+    assert rows(infer_build_tool(stored), "build_tool") == [("node",)]
+
+
 def test_file_corpus(spark, tmp_path):
     (tmp_path / "org%2Fa" / "src").mkdir(parents=True)
     (tmp_path / "b").mkdir()

@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from codeledger import schemas
 from codeledger.operators import keyed, status
-from codeledger.operators.lists import find_oversized, inline_lists, keep_first, list_parts, section_counts
+from codeledger.operators.lists import keep_first, list_parts, whole_lists
 from codeledger.operators.vulnerabilities import combined_vulnerabilities, deduplicated_vulnerabilities, vulnerability_metrics
-from codeledger.sinks.tables import KeyedTable
+from codeledger.sinks.tables import DerivedTable, KeyedTable
 
 from helpers import rows
 
@@ -98,7 +98,7 @@ def test_keep_first_treats_null_keys_as_equal(spark):
 
 @pytest.fixture
 def table(spark, tmp_path):
-    return KeyedTable(spark, str(tmp_path / "t"), KV, buckets=4)
+    return KeyedTable(spark, str(tmp_path / "t"), KV)
 
 
 def test_table_replace(spark, table):
@@ -123,8 +123,55 @@ def test_table_clears_buckets_that_become_empty(spark, table):
     assert rows(table.read()) == [("a", "3")]
 
 
+def test_keys_outside_the_processed_ones_and_other_types(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), KV)
+    table.append(frame(spark, KV, *[(str(i), "old") for i in range(200)]))
+    table.replace(frame(spark, KV, ("1", "a"), ("new", "b")), frame(spark, "repo_id string", ("1",)))
+    assert len(rows(table.read())) == 201
+    numbers = KeyedTable(spark, str(tmp_path / "n"), "repo_id bigint, v string")
+    numbers.append(frame(spark, "repo_id bigint, v string", *[(i, "old") for i in range(200)]))
+    numbers.replace(frame(spark, "repo_id bigint, v string"), frame(spark, "repo_id int", (1,), (None,)))
+    assert len(rows(numbers.read())) == 199
+
+
+def test_a_failed_write_is_not_seen_and_a_label_counts_once(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), KV)
+    table.append(frame(spark, KV, ("a", "1")), label="first")
+    broken = frame(spark, KV, ("a", "x")).select("repo_id", F.raise_error(F.lit("stop")).cast("string").alias("v"))
+    with pytest.raises(Exception):
+        table.replace(broken)
+    assert rows(table.read()) == [("a", "1")]
+    table.append(frame(spark, KV, ("a", "2")), label="first")
+    assert rows(table.read()) == [("a", "1")]
+    table.replace(frame(spark, KV, ("a", "3"), ("b", "4")))
+    table.compact()
+    table.append(frame(spark, KV, ("b", "5")))
+    assert rows(table.read()) == [("a", "3"), ("b", "4"), ("b", "5")]
+    table.replace(frame(spark, KV), frame(spark, "repo_id string", ("b",)))
+    assert rows(table.read()) == [("a", "3")]
+
+
+def test_null_keys_are_replaced_as_one_key(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), KV)
+    table.append(frame(spark, KV, (None, "1"), ("a", "2")))
+    table.replace(frame(spark, KV, (None, "3")))
+    assert rows(table.read()) == [(None, "3"), ("a", "2")]
+
+
+def test_derived_table_versions(spark, tmp_path):
+    table = DerivedTable(spark, str(tmp_path / "d"))
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    for n in (3, 2):
+        table.refresh(spark.range(n))
+        assert table.read().count() == n
+    with pytest.raises(Exception):
+        table.refresh(spark.range(5).select(F.raise_error(F.lit("stop"))))
+    assert table.read().count() == 2
+
+
 def test_table_insert_ignore(spark, tmp_path):
-    table = KeyedTable(spark, str(tmp_path / "tools"), schemas.BUILD_TOOLS, buckets=4)
+    table = KeyedTable(spark, str(tmp_path / "tools"), schemas.BUILD_TOOLS)
     new = frame(spark, schemas.BUILD_TOOLS, PIP, MAVEN)
     for _ in range(2):
         table.insert_ignore(new, KEY)
@@ -178,18 +225,15 @@ def test_dedup_does_not_depend_on_row_order(spark):
 # --- bounded lists ----------------------------------------------------------
 
 
-def test_one_repository_with_most_rows_is_cut_into_parts(spark):
-    data = [("hot", "same")] * 700 + [("hot", str(i)) for i in range(300)] + [("cold", "x"), ("cold", "x")]
+def test_one_repository_with_most_rows_comes_in_parts(spark):
+    data = [("hot", "same")] * 700 + [("hot", str(i)) for i in range(1000)] + [("cold", "x"), ("cold", "x"), ("cold", None)]
     df = frame(spark, KV, *data)
-    oversized = find_oversized(section_counts("s", df), 100)
-    assert rows(oversized, "repo_id", "n_items") == [("hot", 1000)]
-    assert rows(inline_lists(df, ["v"], "items", oversized)) == [("cold", ["x", "x"])]
-    parts = list_parts(df, ["v"], oversized, 100).collect()
-    assert sorted(v for p in parts for v in p["items"]) == sorted(v for k, v in data if k == "hot")
-    assert max(len(p["items"]) for p in parts) <= 100 and {p["n_parts"] for p in parts} == {20}
-
-
-def test_no_oversized_key(spark):
-    df = frame(spark, KV, ("a", "1"))
-    assert find_oversized(section_counts("s", df), 1) is None
-    assert list_parts(df, ["v"], None, 1).count() == 0
+    parts = list_parts(df, ["v"], 100)
+    assert max(len(p["items"]) for p in parts.collect()) <= 100
+    assert parts.where("repo_id = 'hot'").count() == 21
+    found = {r["repo_id"]: r["all"] for r in whole_lists(parts, "all").collect()}
+    order = lambda v: (v is not None, v or "")
+    assert {k: sorted(v, key=order) for k, v in found.items()} == {
+        key: sorted((v for k, v in data if k == key), key=order) for key in ("hot", "cold")
+    }
+    assert list_parts(df.limit(0), ["v"]).count() == 0

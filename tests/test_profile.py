@@ -21,6 +21,7 @@ TABLES = {
     "xeol_results": schemas.XEOL_RESULTS,
     "semgrep_results": schemas.SEMGREP_RESULTS,
     "iac_components": schemas.IAC_COMPONENTS,
+    "recent_commits": schemas.RECENT_COMMITS,
 }
 
 
@@ -36,17 +37,17 @@ def tables(spark):
             ("no-metrics", "N", "K", "n", None, None, None, None, None, None, None, None, at),
         ],
         "repo_metrics": [
-            ("r1", 2_675_000.0, 125_000.0, 7, 11, 4, "ACTIVE", commit, 730, 2, 5, 10, [commit, at], at),
-            ("r2", 10.0, 0.0, 0, 1, 1, None, None, 0, 0, None, None, None, at),
-            ("no-inventory", 1.0, 1.0, 1, 1, 1, "ACTIVE", commit, 1, 1, 1, 1, [], at),
+            ("r1", 2_675_000.0, 125_000.0, 7, 11, 4, "ACTIVE", commit, 730, 2, 5, 10, at),
+            ("r2", 10.0, 0.0, 0, 1, 1, None, None, 0, 0, None, None, at),
+            ("no-inventory", 1.0, 1.0, 1, 1, 1, "ACTIVE", commit, 1, 1, 1, 1, at),
         ],
         "lizard_summary": [("r1", 30, 2.675, 140, 2, 6)],
         "languages": [("r1", "Java", 50.004, at), ("r1", "Go", 49.996, at), ("r1", "C", 50.001, at)],
         "cloc_metrics": [("r1", "Java", 1, 5, 4, 90), ("r1", "C", 1, 1, 1, 10)],
         "syft_dependencies": [
-            ("r1", "b", "1", "npm", "MIT", "/p", "js", "UI", "x", " React "),
-            ("r1", "a", "2", "python", "", "", "py", "Other", "", ""),
-            ("r1", "c", "2", "python", "", "", "py", "UI", "x", "React"),
+            ("r1", "b", "1", "npm", "MIT", "/p", "js", "UI", "x", " React ", ("b", 0, None, 1)),
+            ("r1", "a", "2", "python", "", "", "py", "Other", "", "", ("a", 0, None, 2)),
+            ("r1", "c", "2", "python", "", "", "py", "UI", "x", "React", ("c", 0, None, 0)),
         ],
         "build_tools": [("r1", "gradle", "8", "17"), ("r1", "Go Modules", None, "1.21"), ("r1", "pip", None, None)],
         "grype_results": [("r1", "CVE", "d", "Critical", "js", "b", "1", "2", "fixed", "/p", None)],
@@ -61,6 +62,7 @@ def tables(spark):
             ("r1", "one", "One", "Dockerfile", "Container Platform", "Image", "Dockerfile", at),
             ("r1", "one", "One", "x", "Container Platform", "Image", "Dockerfile", at),
         ],
+        "recent_commits": [("r1", commit), ("r1", at), ("no-inventory", at)],
     }
     return p.ProfileTables(**{n: spark.createDataFrame(data[n], schema) for n, schema in TABLES.items()})
 
@@ -72,7 +74,7 @@ FULL = {
     "Total Commits": 11, "Contributors": 4, "Activity Status": "ACTIVE",
     "Last Commit Date": "2024-12-31T08:00:00.000500", "Repo Age (Years)": 2.0, "Active Branch Count": 2,
     "Top Contributor Commits": 5, "Commits by Top 3 Contributors": 10,
-    "Recent Commit Dates": ["2024-12-31T08:00:00.000500", "2025-01-01T00:00:00"],
+    "Recent Commit Dates": ["2025-01-01T00:00:00", "2024-12-31T08:00:00.000500"],
     "Language Percentages": {"C": 50.0, "Go": 50.0, "Java": 50.0}, "Main Language": "C",
     "Other Languages": ["Go", "Java"], "Total NLOC": 30, "Avg Cyclomatic Complexity": 2.67, "Total Tokens": 140,
     "Total Functions": 2, "Total Cyclomatic Complexity": 6, "Lines of Code": 100, "Blank Lines": 6, "Comment Lines": 5,
@@ -102,12 +104,11 @@ FULL = {
 
 
 def test_documents(tables):
-    profiles, parts = p.build_profiles(tables)
+    profiles = p.build_profiles(tables)
     documents = {r["repo_id"]: json.loads(r["profile_json"]) for r in p.profile_documents(profiles).collect()}
     assert set(documents) == {"r1", "r2"}
     assert documents["r1"] == FULL
     assert list(documents["r1"]) == list(FULL)
-    assert parts.count() == 0 and rows(profiles, "overflow") == [([],), ([],)]
     bare = documents["r2"]
     assert (bare["Status"], bare["Activity Status"], bare["Last Commit Date"]) == ("NEW", "Unknown", None)
     assert (bare["Language Percentages"], bare["Main Language"], bare["Other Languages"]) == ({}, None, [])
@@ -125,45 +126,40 @@ def test_rejects(tables):
     ]
 
 
-def test_long_sections_come_as_parts(tables):
-    whole, _ = p.build_profiles(tables)
-    expected = {r["repo_id"]: r["profile"] for r in whole.collect()}["r1"]
-    profiles, parts = p.build_profiles(tables, max_items=2)
-    found = {r["repo_id"]: r for r in profiles.collect()}["r1"]
-    assert found["overflow"] == ["Dependencies", "Runtime Version"]
-    assert found["profile"]["Dependencies"] == [] and found["profile"]["Total Dependencies"] == 3
-    assert found["profile"]["Vulnerabilities"] == expected["Vulnerabilities"]
-    assert found["profile"]["Build Tool"] == "python" and found["profile"]["Frameworks"] == ["React"]
-    by_section = {}
-    for r in parts.collect():
-        by_section.setdefault(r["section"], []).extend(json.loads(r["items_json"]))
-    assert sorted(by_section) == ["Dependencies", "Runtime Version"]
-    assert sorted(d["name"] for d in by_section["Dependencies"]) == ["a", "b", "c"]
-    assert sorted(by_section["Runtime Version"]) == ["Java:17", "Python:Unknown", "Unknown:1.21"]
-
-
-def test_cut_commit_dates_are_parts_too(spark, tables):
+def test_layout_and_documents_do_not_depend_on_the_size_of_parts(spark, tables):
+    whole = {r["repo_id"]: r["profile"] for r in p.assembled(p.build_profiles(tables)).collect()}
+    profiles = p.build_profiles(tables, part_items=1)
+    assert {r["repo_id"]: r["profile"] for r in p.assembled(profiles).collect()} == whole
+    one = p.profile_documents(profiles, spark.createDataFrame([("r1",)], "repo_id string")).collect()
+    assert [json.loads(r["profile_json"]) for r in one] == [FULL]
+    assert "Dependencies" not in profiles.scalars.schema["profile"].dataType.names
+    found = {}
+    for r in p.section_rows(profiles).collect():
+        for entry in json.loads(r["items_json"]):
+            found.setdefault((r["repo_id"], r["section"]), []).extend([entry["item"]] * entry["copies"])
+    assert sorted(d["name"] for d in found["r1", "Dependencies"]) == ["a", "b", "c"]
+    assert sorted(found["r1", "Runtime Version"]) == ["Java:17", "Python:Unknown", "Unknown:1.21"]
+    assert {k[0] for k in found} == {"r1"}
+
+
+def test_a_repository_with_most_rows(spark, tables):
     from dataclasses import replace
     from datetime import datetime
 
-    days = [datetime(2024, 1, i + 1) for i in range(4)]
-    cut = spark.createDataFrame(
-        [("r2", 0, 2, days[:2]), ("r2", 1, 2, days[2:]), ("gone", 0, 1, days)],
-        "repo_id string, part int, n_parts int, items array<timestamp>",
-    )
-    profiles, parts = p.build_profiles(replace(tables, recent_commit_parts=cut))
-    assert dict(rows(profiles, "repo_id", "overflow")) == {"r1": [], "r2": ["Recent Commit Dates"]}
-    dates = [d for r in parts.collect() for d in json.loads(r["items_json"])]
-    assert sorted(dates) == [f"2024-01-0{i + 1}T00:00:00" for i in range(4)]
-    documents = {r["repo_id"]: json.loads(r["profile_json"]) for r in p.profile_documents(profiles).collect()}
-    assert documents["r2"]["Overflow"] == ["Recent Commit Dates"] and documents["r1"] == FULL
+    hot = spark.range(9000).selectExpr("'r2' as repo_id", "timestamp_seconds(id % 100) as committed_at")
+    profiles = p.build_profiles(replace(tables, recent_commits=tables.recent_commits.unionByName(hot)), part_items=10)
+    parts = profiles.sections["Recent Commit Dates"].where("repo_id = 'r2'").collect()
+    assert sum(i["copies"] for r in parts for i in r["items"]) == 9000 and max(len(r["items"]) for r in parts) <= 20
+    document = p.assembled(profiles, spark.createDataFrame([("r2",)], "repo_id string")).first()["profile"]
+    assert len(document["Recent Commit Dates"]) == 9000
+    assert document["Recent Commit Dates"][0] == datetime(1970, 1, 1, 0, 1, 39).isoformat()
 
 
 def test_cached_documents_are_replaced(spark, tables, tmp_path):
     from codeledger.sinks.tables import KeyedTable
 
-    cache = KeyedTable(spark, str(tmp_path / "cache"), schemas.PROFILE_CACHE, buckets=4)
-    profiles, _ = p.build_profiles(tables)
+    cache = KeyedTable(spark, str(tmp_path / "cache"), schemas.PROFILE_CACHE)
+    profiles = p.build_profiles(tables)
     for _ in range(2):
         p.cache_profiles(profiles, cache)
     assert rows(cache.read(), "repo_id") == [("r1",), ("r2",)]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from codeledger.functions.patterns import java_regex, search
 from codeledger.operators.build_tools import UNKNOWN_JDK, jdk_for_gradle, jdk_lookup
+from codeledger.operators import dependencies
 from codeledger.operators.dependencies import categorize_dependencies
 from codeledger.operators.iac import iac_matches
 from codeledger.sources import rules as R
@@ -33,7 +34,7 @@ def test_first_rule_wins_in_any_case(spark):
     assert rows(categorize_dependencies(deps(spark, "kafka"), []), *LABELS) == [("kafka", "Other", "", "")]
 
 
-def test_case_and_join_equal_a_plain_loop(spark):
+def test_few_and_many_cases_equal_a_plain_loop(spark, monkeypatch):
     rng = random.Random(3)
     words = ["kafka", "spring", "boot", "core", "io", "web", "net", "data"]
     patterns = [f".*{a}.*{b}.*" for a in words for b in words]
@@ -47,8 +48,9 @@ def test_case_and_join_equal_a_plain_loop(spark):
         hit = next((r for r in rules if re.search(r.pattern, name, re.IGNORECASE)), None)
         expected[name] = (hit.category, hit.sub_category, hit.framework) if hit else ("Other", "", "")
     given = deps(spark, *names, package_type="Java-Archive")
-    for limit in (10_000, 0):
-        found = categorize_dependencies(given, rules, max_literal_rules=limit)
+    for limit in (10_000, 3):
+        monkeypatch.setattr(dependencies, "CASE_RULES", limit)
+        found = categorize_dependencies(given, rules)
         assert found.count() == len(names)
         assert {r["package_name"]: tuple(r)[3:] for r in found.collect()} == expected
 
