@@ -6,7 +6,7 @@ from importlib import import_module
 
 from codeledger.catalog.registry import ORACLE, QUERIES
 
-for _module in ("portfolio", "scanners", "contents", "assembly", "storage"):
+for _module in ("portfolio", "scanners", "contents", "assembly", "storage", "configuration"):
     import_module(f"codeledger.catalog.{_module}")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codeledger.sources.tables import spread
+from codeledger.sources.tables import read_table, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -19,7 +19,7 @@ class Tables:
         self.spark, self._dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return read_table(self.spark, f"{self._dir}/{name}.parquet")
 
     def wide(self, name: str) -> DataFrame:
         """A table for jobs heavy per row: at least one partition per core."""

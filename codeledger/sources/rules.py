@@ -265,7 +265,7 @@ IAC_RULES_SCHEMA = (
 
 
 def _parse_document(name: str, text: str):
-    if name.endswith(".json"):
+    if name.endswith(".json") or text.lstrip().startswith("{"):
         return json.loads(text)
     try:
         import yaml
@@ -326,8 +326,12 @@ def load_category_rules(spark: SparkSession, root: str, package_type: str) -> li
     return category_rules_from_trees(package_type, trees)
 
 
+def load_all_category_rules_of(spark: SparkSession, root: str, package_types: Iterable[str]) -> list[CategoryRule]:
+    return [rule for package_type in package_types for rule in load_category_rules(spark, root, package_type)]
+
+
 def load_all_category_rules(spark: SparkSession, root: str) -> list[CategoryRule]:
-    return [rule for package_type in RULE_FOLDERS for rule in load_category_rules(spark, root, package_type)]
+    return load_all_category_rules_of(spark, root, RULE_FOLDERS)
 
 
 def iac_rules_from_trees(trees: Iterable[dict]) -> list[IacRule]:
