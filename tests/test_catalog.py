@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as contract
+from codeledger import catalog as contract
 from oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
