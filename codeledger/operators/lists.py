@@ -39,16 +39,17 @@ def list_parts(
 ) -> DataFrame:
     """(key, part, items): all rows, as sorted lists of (item, copies).
 
-    Equal rows are one item with a count, so a value repeated any number of times is
-    one entry.  The number of parts of a key follows from its number of
-    distinct items; it is joined to them, a join that adaptive execution splits
-    for a key with very many.
+    Equal rows are one item with a count, reduced before the shuffle, so a value repeated any
+    number of times is one entry.  The number of parts of a key follows from its
+    number of rows, joined to them: a row per key, broadcast or split by adaptive
+    execution as it is small or the key large.
     """
-    single = rows.select(key, _item(items).alias("item")).groupBy(key, "item").agg(F.count(F.lit(1)).alias("copies"))
-    sizes = single.groupBy(key).agg(F.ceil(F.count(F.lit(1)) * 2 / F.lit(part_items)).cast("int").alias("_parts"))
-    dealt = single.join(sizes, key).withColumn("part", F.pmod(F.xxhash64("item"), F.col("_parts")).cast("int"))
-    entry = F.struct("item", "copies")
-    return dealt.groupBy(key, "part").agg(F.array_sort(F.collect_list(entry)).alias("items"))
+    items = rows.select(key, _item(items).alias("item"))
+    sizes = items.groupBy(key).agg(F.ceil(F.count(F.lit(1)) * 2 / F.lit(part_items)).cast("int").alias("_parts"))
+    part = F.pmod(F.xxhash64("item"), F.col("_parts")).cast("int").alias("part")
+    dealt = items.join(sizes, key).select(key, part, "item")
+    single = dealt.groupBy(key, "part", "item").agg(F.count(F.lit(1)).alias("copies"))
+    return single.groupBy(key, "part").agg(F.array_sort(F.collect_list(F.struct("item", "copies"))).alias("items"))
 
 
 def whole_lists(parts: DataFrame, name: str, key: str = "repo_id") -> DataFrame:

