@@ -2,6 +2,7 @@
 
 import pytest
 
+import __spark_entry__
 from codeledger import catalog as contract
 from oracle import compare, connect
 
@@ -22,5 +23,5 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_entry(spark):
-    df = contract.entry(spark)
+    df = __spark_entry__.entry(spark)
     assert df.count() > 0 and "repo_id" in df.columns
