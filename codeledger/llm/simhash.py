@@ -60,16 +60,6 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, blocks:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame, shingle: int = 3, radius: int = 3, blocks: int = 5) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: that with the least ``doc_id``.
-
-    All rows of that id stay, and rows of a null id.
-    """
-    groups = near_duplicates(docs, shingle, radius, blocks)
-    gone = checkpointed(groups.where("component_id < doc_id").select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-
-
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, print): the fingerprint as a signed 64-bit number.  No shuffle."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -160,17 +150,24 @@ def _whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray,
 
 def spanning_links(runs: np.ndarray, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of one run within ``radius`` bits, without those that earlier pairs join already."""
+    left, right = spanning_rows(runs, prints, radius)
+    return prints[left], prints[right]
+
+
+def spanning_rows(runs: np.ndarray, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of these pairs; a fingerprint is a number, or a row of several."""
+    none = np.zeros(0, np.int64)
     starts = np.concatenate([[0], np.flatnonzero(runs[1:] != runs[:-1]) + 1])
     sizes = np.diff(np.append(starts, len(runs)))
     if not (sizes > 1).any():
-        return prints[:0], prints[:0]
+        return none, none
     # largest runs first: for a shift, the rows that still have a partner stand in front
     order = np.argsort(-sizes, kind="stable")
     order = order[sizes[order] > 1]
     starts, sizes = starts[order], sizes[order]
     rows = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
     prints, run = prints[rows], np.repeat(np.arange(len(sizes)), sizes)
-    planes = _planes(prints)
+    planes = bit_planes(prints)
     ends = np.cumsum(sizes)
     label = np.arange(len(prints))
     left, right = [], []
@@ -186,19 +183,23 @@ def spanning_links(runs: np.ndarray, prints: np.ndarray, radius: int) -> tuple[n
                 low, high = _range_of_run(ends, sizes, run[i])
                 part = label[low:high]
                 part[part == max(a, b)] = min(a, b)
-    return prints[left], prints[right]
+    return rows[np.array(left, np.int64)], rows[np.array(right, np.int64)]
 
 
 def _range_of_run(ends: np.ndarray, sizes: np.ndarray, run: int) -> tuple[int, int]:
     return int(ends[run] - sizes[run]), int(ends[run])
 
 
-def _planes(prints: np.ndarray) -> np.ndarray:
+def bits_of(prints: np.ndarray) -> np.ndarray:
+    """A row of zeros and ones for each fingerprint."""
+    return np.unpackbits(prints.astype("<u8").view(np.uint8).reshape(len(prints), -1), axis=1, bitorder="little")
+
+
+def bit_planes(prints: np.ndarray) -> np.ndarray:
     """Bit planes: row b holds bit b of all fingerprints, 64 to a word, with a word to spare."""
-    bits = np.unpackbits(prints.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    packed = np.packbits(bits.T, axis=1, bitorder="little")
+    packed = np.packbits(bits_of(prints).T, axis=1, bitorder="little")
     words = -(-len(prints) // 64) + 2
-    planes = np.zeros((BITS, words * 8), np.uint8)
+    planes = np.zeros((len(packed), words * 8), np.uint8)
     planes[:, : packed.shape[1]] = packed
     return planes.view("<u8")
 
@@ -214,23 +215,32 @@ def _near(planes: np.ndarray, most: int, shift: int, radius: int) -> np.ndarray:
     far = np.zeros(words, np.uint64)
     if most % 64:
         far[-1] = ~np.uint64(0) << np.uint64(most % 64)
-    for bit in range(BITS):
-        row = planes[bit]
+    every = len(planes) // 16
+    for bit, row in enumerate(planes):
         moved = row[skip : skip + words]
         if low:
             moved = (moved >> low) | (row[skip + 1 : skip + 1 + words] << (np.uint64(64) - low))
-        carry = row[:words] ^ moved
-        for i, digit in enumerate(digits):
-            digits[i], carry = digit ^ carry, digit & carry
-        far |= carry  # a count of 2 ** len(digits)
-        if radius + 1 < 1 << len(digits):
-            far |= _above(digits, radius)
-        if bit >= radius and bit % 4 == 3 and (far == ~np.uint64(0)).all():
+        count_bit(digits, far, row[:words] ^ moved)
+        if bit % every == every - 1 and all_far(digits, far, radius):
             break
     near = np.unpackbits((~far).astype("<u8").view(np.uint8), bitorder="little")
     return near[:most].astype(bool)
 
 
+def count_bit(digits: list[np.ndarray], far: np.ndarray, carry: np.ndarray) -> None:
+    """Add one to the counts of the lanes in ``carry``, digit by digit."""
+    for i, digit in enumerate(digits):
+        digits[i], carry = digit ^ carry, digit & carry
+    far |= carry  # a count of 2 ** len(digits)
+
+
+def all_far(digits: list[np.ndarray], far: np.ndarray, radius: int) -> bool:
+    """Bring ``far`` up to date; whether every lane has passed the radius."""
+    if radius + 1 < 1 << len(digits):
+        far |= _above(digits, radius)
+    return bool((far == ~np.uint64(0)).all())
+
+
 def _above(digits: list[np.ndarray], radius: int) -> np.ndarray:
     """Lanes whose count is more than ``radius``."""
     above = np.zeros_like(digits[0])

@@ -14,7 +14,7 @@ import sentencepiece
 import xxhash
 from pyspark.sql import functions as F
 
-from codeledger.llm import decontamination, lm_scores, quality, sentencepiece_codec, simhash, substring_dedup
+from codeledger.llm import decontamination, lm_scores, near_copies, quality, sentencepiece_codec, simhash, substring_dedup
 from codeledger.llm.packing import cut, distinct, pack, pack_sorted, rolling, unpack, unpack_sorted
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
@@ -243,6 +243,79 @@ def test_simhash_groups(documents):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
 
 
+def wide_by_hand(text):
+    w = words((text or "").translate({c: c + 32 for c in range(65, 91)}))
+    grams = [" ".join(w[i : i + 5]) for i in range(len(w) - 4)] if len(w) >= 5 else [" ".join(w)] if w else []
+    hashes = [int.from_bytes(b"".join(xxhash.xxh3_128_digest(g.encode(), s) for s in (0, 1)), "little") for g in grams]
+    return sum(1 << b for b in range(256) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def near_groups_by_hand(rows):
+    """{doc_id: least doc_id of its group}: an equal key, and at most RADIUS bits apart."""
+    orders = [np.random.default_rng(k).permutation(256).tolist() for k in range(near_copies.SHUFFLES)]
+    masks = [sum(1 << b for b in order[i : i + 16]) for order in orders for i in range(0, 256, 16)]
+    rows = [(d, wide_by_hand(t)) for d, t in rows if d is not None]
+    least = {d: d for d, _ in rows}
+    for _ in rows:
+        before = dict(least)
+        for a, x in rows:
+            for b, y in rows:
+                if (x ^ y).bit_count() <= near_copies.RADIUS and any(not (x ^ y) & m for m in masks):
+                    least[a] = least[b] = min(least[a], least[b])
+        if least == before:
+            break
+    return least
+
+
+@pytest.mark.parametrize("small, most", [(64, 8192), (2, 8192), (2, 4)])
+def test_near_copies(documents, llm, monkeypatch, small, most):
+    """Copies with some words changed go; texts that share a passage, null ids and other texts stay."""
+    monkeypatch.setattr(near_copies, "SMALL_RUN", small)
+    monkeypatch.setattr(near_copies, "MOST_ROWS", most)
+    monkeypatch.setattr(near_copies, "PLANE_ROWS", 50)
+    monkeypatch.setattr(near_copies, "BLOCK", 3)
+    base, passage = prose(300), prose(100)
+    rows = [(100 + i, prose(60)) for i in range(10)] + [(200 + i, f"{prose(100)} {passage}") for i in range(4)]
+    for i in range(12):
+        changed = base.split()
+        for at in range(i % 4):
+            changed[20 + 70 * at + i] = f"new{i}"
+        rows.append((300 + i, " ".join(changed)))
+    rows += [(1, None), (2, ""), (3, " \n"), (4, "few words"), (5, "FEW words"), (None, base), (None, None), (300, base)]
+    docs = documents(rows).withColumn("component", F.lit(0)).withColumn("p0", F.lit("clash"))
+    want = near_groups_by_hand(rows)
+    got = near_copies.near_copies(docs).collect()
+    assert sorted(tuple(r) for r in got) == sorted((d, want[d]) for d, _ in rows if d is not None)
+    kept = near_copies.keep_first(docs)
+    assert kept.columns == docs.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert sorted(map(str, ids)) == sorted(str(d) for d, _ in rows if d is None or want[d] == d)
+    assert sorted(i for i in ids if i is not None) == [1, 4, *range(100, 110), *range(200, 204), 300, 300]
+
+
+def test_joined_rows_lose_no_group():
+    """Large runs: clusters of several sizes, copies, and rows near to none."""
+    numbers = np.random.default_rng(5)
+    centres = numbers.integers(0, 2, (6, 256), np.uint8)
+    bits = centres[numbers.choice(6, 700, p=[0.6, 0.2, 0.1, 0.05, 0.03, 0.02])] ^ (numbers.random((700, 256)) < 0.07)
+    bits = np.concatenate([bits, numbers.integers(0, 2, (30, 256), np.uint8), bits[:5]]).astype(np.uint8)
+    prints = np.packbits(bits, axis=1, bitorder="little").view("<u8").astype(np.uint64)
+    numbers_of = [int.from_bytes(p.tobytes(), "little") for p in prints]
+    runs = np.repeat(np.arange(3), [40, 600, len(prints) - 640])
+    left, right = near_copies.linked_rows(runs, prints, 42)
+    assert (runs[left] == runs[right]).all()
+    assert all((numbers_of[a] ^ numbers_of[b]).bit_count() <= 42 for a, b in zip(left, right, strict=True))
+    for run in range(3):
+        places = np.flatnonzero(runs == run).tolist()
+        group = {p: p for p in places}
+        for a, b in zip(left.tolist(), right.tolist(), strict=True):
+            if runs[a] == run:
+                low, high = sorted((group[a], group[b]))
+                group = {p: low if g == high else g for p, g in group.items()}
+        want = groups_by_hand([numbers_of[p] for p in places], 42)
+        assert [group[p] - places[0] for p in places] == want
+
+
 @pytest.mark.parametrize("radius, blocks, most", [(3, 5, 8192), (3, 5, 16), (2, 4, 64), (1, 2, 64), (4, 6, 64)])
 def test_links_lose_no_component(llm, monkeypatch, radius, blocks, most):
     """Clusters around a few centres, also with keys that are dealt to pairs of pieces."""
@@ -394,7 +467,9 @@ def test_empty_tables(documents, llm):
     assert substring_dedup.remove_repeats(docs).count() == 0
     assert sentencepiece_codec.encode(docs).count() == 0
     assert simhash.near_duplicates(docs).count() == 0
-    assert simhash.keep_first(docs).count() == 0
+    assert near_copies.near_copies(docs).count() == 0
+    assert near_copies.keep_first(docs).columns == docs.columns
+    assert near_copies.keep_first(docs).count() == 0
     assert decontamination.contaminated(docs, benchmark).count() == 0
     assert decontamination.remove_contaminated(documents([(1, prose(30))]), benchmark).count() == 1
     assert quality.keep_good(docs).count() == 0
