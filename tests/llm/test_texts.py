@@ -243,24 +243,29 @@ def test_simhash_groups(documents):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
 
 
-def wide_by_hand(text):
+def grams_by_hand(text):
     w = words((text or "").translate({c: c + 32 for c in range(65, 91)}))
-    grams = [" ".join(w[i : i + 5]) for i in range(len(w) - 4)] if len(w) >= 5 else [" ".join(w)] if w else []
+    return {" ".join(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {" ".join(w)} if w else set()
+
+
+def wide_by_hand(text):
+    grams = grams_by_hand(text)
     hashes = [int.from_bytes(b"".join(xxhash.xxh3_128_digest(g.encode(), s) for s in (0, 1)), "little") for g in grams]
     return sum(1 << b for b in range(256) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
 def near_groups_by_hand(rows):
-    """{doc_id: least doc_id of its group}: an equal key, and at most RADIUS bits apart."""
+    """{doc_id: least doc_id of its group}: an equal key, at most RADIUS bits apart, and 0.8 of the shingles shared."""
     orders = [np.random.default_rng(k).permutation(256).tolist() for k in range(near_copies.SHUFFLES)]
     masks = [sum(1 << b for b in order[i : i + 16]) for order in orders for i in range(0, 256, 16)]
-    rows = [(d, wide_by_hand(t)) for d, t in rows if d is not None]
-    least = {d: d for d, _ in rows}
+    rows = [(d, wide_by_hand(t), grams_by_hand(t)) for d, t in rows if d is not None]
+    least = {d: d for d, _, _ in rows}
     for _ in rows:
         before = dict(least)
-        for a, x in rows:
-            for b, y in rows:
-                if (x ^ y).bit_count() <= near_copies.RADIUS and any(not (x ^ y) & m for m in masks):
+        for a, x, p in rows:
+            for b, y, q in rows:
+                near = (x ^ y).bit_count() <= near_copies.RADIUS and any(not (x ^ y) & m for m in masks)
+                if x == y or near and 5 * len(p & q) >= 4 * len(p | q):
                     least[a] = least[b] = min(least[a], least[b])
         if least == before:
             break
@@ -293,6 +298,36 @@ def test_near_copies(documents, llm, monkeypatch, small, most):
     assert sorted(i for i in ids if i is not None) == [1, 4, *range(100, 110), *range(200, 204), 300, 300]
 
 
+@pytest.mark.parametrize("pieces", [256, 3])
+def test_only_similar_links_stand(documents, llm, monkeypatch, pieces):
+    """Every pair that is near by its bits is given; what stays are the groups by exact similarity."""
+    monkeypatch.setattr(near_copies, "SET_ROWS", pieces)
+    rows, base = [], prose(200).split()
+    for i in range(24):  # each text is further from the first
+        base[8 * i] = f"other{i}"
+        rows.append((i, " ".join(base)))
+    rows += [(50 + i, " ".join(base[: 100 + 12 * i])) for i in range(6)]
+    docs = documents(rows)
+    prints = near_copies.wide_prints(docs, 5)
+    nodes = prints.withColumnRenamed("doc_id", "first").withColumn("node", F.xxhash64(*near_copies.PRINT)).cache()
+    name = {r.node: r.first_ for r in nodes.select("node", F.col("first").alias("first_")).collect()}
+    left, right = nodes.select(F.col("node").alias("a")), nodes.select(F.col("node").alias("b"))
+    got = near_copies.similar_links(docs, nodes, left.join(right, F.col("a") < F.col("b")), 5, 0.8).collect()
+    sets = {d: grams_by_hand(t) for d, t in rows}
+    alike = {(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    found = {tuple(sorted((name[r.a], name[r.b]))) for r in got}
+    assert found <= alike and len(alike) < len(sets) * (len(sets) - 1) // 2
+
+    def groups(links):
+        least = {d: d for d in sets}
+        for _ in sets:
+            for a, b in links:
+                least[a] = least[b] = min(least[a], least[b])
+        return least
+
+    assert groups(found) == groups(alike) and len(set(groups(found).values())) > 1
+
+
 def test_joined_rows_lose_no_group():
     """Large runs: clusters of several sizes, copies, and rows near to none."""
     numbers = np.random.default_rng(5)
