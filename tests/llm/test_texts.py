@@ -328,6 +328,70 @@ def test_only_similar_links_stand(documents, llm, monkeypatch, pieces):
     assert groups(found) == groups(alike) and len(set(groups(found).values())) > 1
 
 
+def template_family(texts=50):
+    """Texts of one template, similar by less than 0.8, and for each a copy that shares more than 0.8 of its shingles."""
+    numbers, rows = random.Random(2), []
+    template = numbers.choices(VOCABULARY, k=200)
+    for i in range(texts):
+        places = numbers.sample(range(4, 196, 6), 6)
+        own = list(template)
+        for at in places[:3]:
+            own[at] = f"own{i}at{at}"
+        twin = list(own)
+        for at in places[3:]:
+            twin[at] = f"twin{i}at{at}"
+        rows += [(i, " ".join(own)), (1000 - i, " ".join(twin))]
+    return rows
+
+
+@pytest.mark.parametrize("group_rows", [2048, 30])
+def test_pairs_of_a_family_below_the_similarity_are_found(documents, monkeypatch, group_rows):
+    """The texts are near by their bits, so that most pairs met are refused: the groups are those of plain similarity."""
+    monkeypatch.setattr(near_copies, "GROUP_ROWS", group_rows)
+    rows = template_family()
+    sets = {d: grams_by_hand(t) for d, t in rows}
+    alike = {(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    assert {(i, 1000 - i) for i in range(50)} <= alike
+    want = {d: d for d in sets}
+    for _ in sets:
+        for a, b in alike:
+            want[a] = want[b] = min(want[a], want[b])
+    assert len(set(want.values())) > 4
+    got = near_copies.near_copies(documents(rows)).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
+def test_rows_alike_are_all_joined():
+    """Large groups of random sets, some joined before, in one piece and in two."""
+    numbers = np.random.default_rng(2)
+    bases = [numbers.choice(200, 40, replace=False) for _ in range(9)]
+    sets = [np.sort(numbers.choice(bases[i % 9], 40 - i % 8, replace=False)) for i in range(200)] + [np.zeros(0, np.int64)]
+    prints = np.zeros((len(sets), 4), np.uint64)
+    prints[::7, 1] = 2**64 - 1
+    given = pa.array([s.tolist() for s in sets], pa.list_(pa.int64()))
+    for own in (np.zeros(len(sets), np.int32), np.arange(len(sets), dtype=np.int32) % 2):
+        for groups in (np.arange(len(sets)), np.arange(len(sets)) // 20):
+            left, right = near_copies.alike_rows(prints, given, groups, own, 0.8, 50)
+            known = [set(s.tolist()) for s in sets]
+            near = {
+                (a, b)
+                for a in range(len(sets))
+                for b in range(len(sets))
+                if (prints[a] == prints[b]).all() and (own[0] == own[1] or own[a] != own[b])
+                if 5 * len(known[a] & known[b]) >= 4 * len(known[a] | known[b])
+            }
+            found = set(zip(left.tolist(), right.tolist(), strict=True))
+            assert found and found <= near
+
+            def joined(links, groups=groups):
+                label = groups.copy()
+                for a, b in links:
+                    label[label == label[b]] = label[a]
+                return {tuple(np.flatnonzero(label == g).tolist()) for g in label}
+
+            assert joined(found) == joined(near)
+
+
 def test_joined_rows_lose_no_group():
     """Large runs: clusters of several sizes, copies, and rows near to none."""
     numbers = np.random.default_rng(5)
