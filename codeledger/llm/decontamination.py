@@ -15,6 +15,9 @@ from codeledger.session import checkpointed
 #: Shown offsets of each mask.  Together they find every window of 13 words with
 #: up to two words replaced: for any two places, one mask fits beside them.
 MASKS = ((0, 1, 2, 3, 6, 7), (0, 1, 3, 5, 6, 7))
+#: More masks for items of SPAN to 12 words, where a window has fewer places to slide to: with
+#: them, any one replaced word of 8 or 9, and any two of 10 to 12, leave a mask that fits.
+SHORT_MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 2, 3, 4, 6), (0, 1, 3, 4, 5, 6), (0, 1, 4, 5, 7, 8))
 SPAN = 8
 WINDOW = 13
 SIMILARITY = 0.8
@@ -29,18 +32,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     when 13 consecutive words of it stand against 13 consecutive words of an item
     and at least ``similarity`` of them are equal, place by place; for an item
     of 8 to 12 words the whole item is the window.  Every such window with up to two
-    replaced words is found.  n_equal is the most equal words of a window.
+    replaced words is found, of 8 or 9 words with up to one.  n_equal is the most equal words of a window.
 
     Shorter items, null and empty texts match nothing.  Each pair of ids comes
     once, whatever the number of passages, ties or repeated rows; null ids are
     ids of their own.  Other columns are not read.  Empty tables: no rows.
     """
     items = checkpointed(_hashed(benchmark.select("item_id", "text")).distinct())
-    tests = _seeds(items, "item_id").select("item_id", "seed", F.col("at").alias("item_at"))
-    tests = checkpointed(tests.distinct())
+    short = F.size("words").between(SPAN, WINDOW - 1)
+    tests = _seeds(items, "item_id", MASKS)
+    masks = MASKS
+    if items.where(short).limit(1).count():
+        masks = MASKS + SHORT_MASKS
+        tests = _seeds(items.where(~short), "item_id", MASKS).union(_seeds(items.where(short), "item_id", masks))
+    tests = checkpointed(tests.select("item_id", "seed", F.col("at").alias("item_at")).distinct())
     if tests.count() <= BROADCAST_SEEDS:
         tests = F.broadcast(tests)
-    hits = _seeds(_hashed(docs.select("doc_id", "text")), "doc_id").join(tests, "seed")
+    hits = _seeds(_hashed(docs.select("doc_id", "text")), "doc_id", masks).join(tests, "seed")
     hits = checkpointed(hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct())
     return _verified(docs, items, hits, similarity)
 
@@ -57,16 +65,23 @@ def _hashed(rows: DataFrame) -> DataFrame:
     return rows.withColumn("words", F.transform(F.split(F.trim(clean), " "), lambda w: F.xxhash64(w))).drop("text")
 
 
-def _seeds(rows: DataFrame, key: str) -> DataFrame:
-    """(key, seed, at) for every mask and place."""
+def _seeds(rows: DataFrame, key: str, masks: tuple[tuple[int, ...], ...]) -> DataFrame:
+    """(key, seed, at) for every mask and place; a mask that reaches past the last word gives no seed."""
+
+    def seed(i: int, mask: tuple[int, ...], at: Column) -> Column:
+        return F.xxhash64(F.lit(i), *(F.get("words", at + o) for o in mask))
+
+    spans = [mask[-1] + 1 for mask in masks]
 
     def seeds(at: Column) -> Column:
-        return F.array(*(F.xxhash64(F.lit(i), *(F.get("words", at + o) for o in mask)) for i, mask in enumerate(MASKS)))
+        each = ((span, seed(i, mask, at)) for i, (span, mask) in enumerate(zip(spans, masks, strict=True)))
+        return F.array(*(s if span == min(spans) else F.when(at + span <= F.size("words"), s) for span, s in each))
 
-    places = F.when(F.size("words") >= SPAN, F.sequence(F.lit(0), F.size("words") - SPAN)).otherwise(F.array().cast("array<int>"))
+    places = F.sequence(F.lit(0), F.size("words") - min(spans))
+    places = F.when(F.size("words") >= SPAN, places).otherwise(F.array().cast("array<int>"))
     # no filter on the length: it would be pushed down and cut every text into words once more
     rows = rows.select(key, F.posexplode(F.flatten(F.transform(places, seeds))).alias("at", "seed"))
-    return rows.select(key, "seed", F.floor(F.col("at") / len(MASKS)).cast("int").alias("at"))
+    return rows.select(key, "seed", F.floor(F.col("at") / len(masks)).cast("int").alias("at"))
 
 
 def _verified(docs: DataFrame, items: DataFrame, hits: DataFrame, similarity: float) -> DataFrame:

@@ -5,6 +5,7 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -492,6 +493,28 @@ def test_masks_fit_beside_any_two_replaced_words():
             assert any(not {a, b} & {s + o for o in mask} for mask in decontamination.MASKS for s in places)
 
 
+def test_masks_fit_beside_the_replaced_words_of_short_items():
+    masks = decontamination.MASKS + decontamination.SHORT_MASKS
+    for n in range(decontamination.SPAN, decontamination.WINDOW):
+        for hidden in combinations(range(n), n - math.ceil(n * decontamination.SIMILARITY)):
+            assert any(not {*hidden} & {s + o for o in mask} for mask in masks for s in range(n - mask[-1]))
+
+
+def test_decontamination_finds_every_replacement_in_short_items(documents, llm):
+    numbers = random.Random(11)
+    items = [(n, " ".join(numbers.sample(VOCABULARY, n))) for n in (7, 8, 9, 10, 11, 12, 20)]
+    rows = []
+    for n, text in items:
+        for hidden in combinations(range(n), min(2, n - math.ceil(n * 0.8))):
+            changed = ["other" if i in hidden else w for i, w in enumerate(text.split())]
+            rows.append((len(rows), " ".join([*["left"] * (len(rows) % 3), *changed, *["right"] * (len(rows) % 4)])))
+    benchmark = llm.createDataFrame(items, "item_id long, text string")
+    got = decontamination.contaminated(documents(rows), benchmark).collect()
+    assert sorted((str(r.doc_id), str(r.item_id), r.n_equal) for r in got) == leaks_by_hand(rows, items)
+    found = Counter(r.item_id for r in got)
+    assert [found[n] for n in (7, 8, 9, 10, 11, 12)] == [0, 8, 9, 45, 55, 66]
+
+
 def quality_by_hand(text):
     w = words(text)
     lines = [x for x in (text or "").split("\n") if words(x)]
