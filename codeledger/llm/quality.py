@@ -93,12 +93,20 @@ def sketches(rows: DataFrame) -> DataFrame:
 
 def _bin(value: Column) -> Column:
     """The least number of the bin that holds ``value``: its five leading binary digits."""
-    low = F.greatest(F.char_length(F.bin(value)) - 5, F.lit(0))
-    return F.when(value < EXACT_BELOW, value).otherwise(value - value % F.pow(F.lit(2), low).cast("long"))
+    return F.when(value < EXACT_BELOW, value).otherwise(value - value % _width(value))
+
+
+def _width(value: Column) -> Column:
+    """How many numbers the bin of ``value`` holds."""
+    return F.pow(F.lit(2), F.greatest(F.char_length(F.bin(value)) - 5, F.lit(0))).cast("long")
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
-    """(lang, source) and, for each measure, its low and high limit."""
+    """(lang, source) and, for each measure, its low and high limit.
+
+    The quartiles are lower edges of bins, so a limit lies at least a bin's width beyond: all of the
+    bin that holds the upper quartile is within.
+    """
     group = ["lang", "source", "measure"]
     so_far = Window.partitionBy(*group).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     rows = sketch.withColumn("below", F.sum("n").over(so_far))
@@ -108,7 +116,7 @@ def thresholds(sketch: DataFrame) -> DataFrame:
         F.min(F.expr("if(4 * below >= 3 * total, bin, null)")).alias("q3"),
     )
     floor = F.expr("case measure " + " ".join(f"when '{m}' then {v}" for m, v in MEASURES.items()) + " end")
-    spread = REACH * F.greatest(F.col("q3") - F.col("q1"), floor)
+    spread = F.greatest(REACH * F.greatest(F.col("q3") - F.col("q1"), floor), _width(F.col("q3")))
     rows = rows.select(*group, (F.col("q1") - spread).alias("low"), (F.col("q3") + spread).alias("high"))
     limits = [
         F.max(F.when(F.col("measure") == m, F.col(side))).alias(f"__{m}_{side}") for m in MEASURES for side in ("low", "high")

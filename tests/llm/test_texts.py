@@ -542,6 +542,25 @@ def test_quality_follows_each_source(llm):
     assert kept == set(range(40)) | set(range(100, 140)) | {201}
 
 
+def test_quality_keeps_the_middle_of_wide_bins(llm):
+    """Unspaced scripts: words of 50 characters and more, where a bin is wider than the least reach."""
+    rows = []
+
+    def add(source, total):
+        parts = [total // 25 + (i < total % 25) for i in range(25)]
+        rows.append((len(rows), " ".join(f"{i:02d}".ljust(n, "字") for i, n in enumerate(parts)), "zh", source))
+
+    for length in (5100, 10000):
+        add(f"one {length}", length // 4)
+        low = {5100: 4864, 10000: 9728}[length]
+        for i in range(40):
+            add(f"uniform {length}", (low + 4 + i * (low // 19 - 8) // 40) // 4)
+    normal = len(rows)
+    add("uniform 5100", 10000)
+    docs = llm.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert {r.doc_id for r in quality.keep_good(docs).collect()} == set(range(normal))
+
+
 def test_sketches_merge(documents):
     rows = quality.measured(documents(corpus()))
     halves = quality.sketches(rows.where("doc_id % 2 = 0")).union(quality.sketches(rows.where("doc_id % 2 = 1 or doc_id is null")))
