@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from codeledger.llm import (
+    collocations,
+    conversation_repair,
     decontamination,
+    license_scan,
     lm_scores,
     quality,
     quotes,
@@ -201,6 +204,99 @@ select doc_id, len(w)::bigint as n_words, coalesce(a, 0)::bigint as n_unigram, c
 from d left join z using (doc_id)
 """
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair(conversation_repair.damage(conversations), conversations)
+
+
+#: Ways to go on from a state (0 nothing, 1 system, 2 user, 3 assistant) before a row: inserts, their letters, lines and cost.
+_INSERTS = """(0, 0, '', '', 0), (1, 1, '', '', 0), (2, 2, '', '', 0), (3, 3, '', '', 0),
+  (0, 2, 'I', chr(10) || 'user:', 5), (1, 2, 'I', chr(10) || 'user:', 5), (3, 2, 'I', chr(10) || 'user:', 5),
+  (2, 3, 'I', chr(10) || 'assistant:', 5),
+  (0, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:', 10), (1, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:', 10)"""
+#: crc32 byte by byte, from a table of 256 made bit by bit; the cheapest edits as a recursion over rows and states.
+OP11_SQL = rf"""
+with recursive
+o as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+  coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as key from conversations),
+z as (select list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+  lambda c, x: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
+f as (select o.*, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(key, ''), lambda x: ord(x)::bigint)),
+  lambda c, b: xor(c >> 8, z.t[(xor(c, b) & 255) + 1]))) % 20 as fault from o, z),
+d as (select conv_id, turn, case when fault = 4 then 'user' else role end as role,
+    case when fault = 1 then '' when fault = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(case when fault = 3 then [0, 1] else [0] end) as copy
+  from f where fault <> 0),
+n as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as i from d),
+g as (select *, row_number() over (partition by conv_id, role, text order by i) as seen, left(role, 1) as r,
+    lag(left(role, 1)) over (partition by conv_id order by i) as before, right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) as ends
+  from n),
+h as (select *, case when ends = '' then 'blank' when seen > 1 then 'duplicate' when ends not in ('.', '!', '?') then 'truncated' end as fault from g),
+ins(p, q, letters, lines, c) as (values {_INSERTS}),
+nxt(q, role, s) as (values (0, 'user', 2), (1, 'user', 2), (2, 'assistant', 3), (3, 'user', 2)),
+keep(q, r, s) as (values (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)),
+m as (
+  select conv_id, i, q, q as s, 'D' as letter, '' as line, 2 as c from h, nxt
+  union all
+  select conv_id, i, q, s, 'K', chr(10) || role || ':' || text, if(fault is null, 0, 5) from h join keep using (r)
+  where fault is null or fault = 'truncated'
+  union all
+  select conv_id, i, q, s, 'R', chr(10) || nxt.role || ':' || text, 1 + if(fault is null, 0, 5) from h, nxt
+  where fault is null or fault = 'truncated'),
+w(conv_id, i, q, b) as (
+  select distinct conv_id, 0::bigint, 0, {{'c': 0, 'audit': '', 'lines': ''}} from d
+  union all
+  select w.conv_id, m.i, m.s, min({{'c': b.c + ins.c + m.c, 'audit': b.audit || letters || letter, 'lines': b.lines || ins.lines || line}})
+  from w join ins on ins.p = w.q join m on m.conv_id is not distinct from w.conv_id and m.i = w.i + 1 and m.q = ins.q
+  group by w.conv_id, m.i, m.s),
+e as (select w.conv_id, min({{'c': b.c + ins.c, 'audit': b.audit || letters, 'lines': b.lines || ins.lines}}) as b
+  from w join ins on ins.p = w.q join (select conv_id, max(i) as i from h group by 1) x
+    on x.conv_id is not distinct from w.conv_id and x.i = w.i
+  where ins.q in (0, 3) group by w.conv_id),
+k as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'blank') as blank,
+    count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated,
+    count(*) filter (before is not null and before || r not in ('su', 'ua', 'au')) as illegal
+  from h group by 1)
+select i.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+  coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(b.c, 0)::bigint as cost,
+  coalesce(b.audit, '') as audit, sha256(coalesce(b.lines[2:], '')) as repaired_sha256
+from (select distinct conv_id from conversations) i
+left join k on k.conv_id is not distinct from i.conv_id left join e on e.conv_id is not distinct from i.conv_id
+"""
+
+
+def op12_stripe_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+with p as (select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) as piece from documents),
+w as (select lang, regexp_extract_all(piece, '[^ 	]+') as w from p),
+g as (select lang, unnest(w) as phrase, 1 as k from w
+  union all select lang, unnest([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]), 2 from w
+  union all select lang, unnest([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)]), 3 from w),
+f as (select lang, phrase, k, count(*) as c from g group by all),
+t as (select lang, sum(c)::bigint as n from f where k = 1 group by lang),
+c as (select lang, phrase, k, c as a, string_split(phrase, ' ') as w from f where k > 1 and c >= 10),
+i as (select lang, phrase, max(a) as most from (
+    select lang, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) as phrase, a from c where k = 3) group by all),
+s as (select lang, phrase, a, w, k, unnest(range(1, k)) as cut from c left join i using (lang, phrase)
+  where most is null or 100 * most < 50 * a),
+x as (select s.lang, s.phrase, a, cut, l.c as l, r.c as r, (1000000::hugeint * a * a // (l.c::hugeint * r.c))::bigint as score
+  from s join f l on l.lang = s.lang and l.phrase = array_to_string(w[1:cut], ' ')
+    join f r on r.lang = s.lang and r.phrase = array_to_string(w[cut + 1:], ' ')),
+b as (select * from x qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+q as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from b)
+select lang, rank, phrase, a, l, r, n, score from q join t using (lang) where rank <= 2000
+"""
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licences(table(spark, sf_dir, "documents")).drop("spans")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -214,6 +310,9 @@ QUERIES = {
         op8_adaptive_quality,
         op9_seekable_token_frames,
         op10_stupid_backoff,
+        op11_conversation_repair,
+        op12_stripe_collocations,
+        op13_license_scan,
     )
 }
 ORACLE = {
@@ -223,4 +322,6 @@ ORACLE = {
     "op7_spaced_seed_decontamination": OP7_SQL,
     "op8_adaptive_quality": OP8_SQL,
     "op10_stupid_backoff": OP10_SQL,
+    "op11_conversation_repair": OP11_SQL,
+    "op12_stripe_collocations": OP12_SQL,
 }
