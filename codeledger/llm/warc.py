@@ -23,6 +23,9 @@ from codeledger.session import checkpointed, ensure_checkpoint_dir
 #: Bytes in an archive on average, and index rows in a range of the merge.
 ARCHIVE_BYTES = 32 << 20
 RANGE_ROWS = 100_000
+#: What the decisions on revisits may hold to be broadcast, and bytes of one.
+BROADCAST_BYTES = 64 << 20
+DECISION_BYTES = 128
 #: Shorter payloads are always stored in full.
 LEAST_REVISIT = 100
 #: Pages without a time were captured a second apart, by page id, from here.
@@ -58,12 +61,7 @@ def write_archives(pages: DataFrame) -> str:
         F.sha2(html, 256).alias("digest"),
     )
     size = rows.agg(F.avg(F.octet_length("html")).alias("n")).first()["n"] or 0
-    keys = rows.select("page_id", "digest", F.octet_length("html").alias("n")).where(F.col("n") >= LEAST_REVISIT)
-    stored = keys.groupBy("digest").agg(F.min("page_id").alias("first"))
-    # decided on narrow rows, once per page; equal payloads meet as their least id before the join
-    revisits = keys.join(stored, "digest").where("first is not null and (page_id is null or page_id > first)")
-    revisits = revisits.select(F.col("page_id").alias("id"), F.col("digest").alias("same"), "first").distinct()
-    rows = rows.join(revisits, F.col("page_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("same")), "left")
+    rows = _decided(rows)
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     # written where the join leaves them: an archive is a partition, or a piece of a large one
     writer = rows.select(_record().alias("record")).write.option("maxRecordsPerFile", max(1, int(ARCHIVE_BYTES / (size + 500))))
@@ -71,6 +69,23 @@ def write_archives(pages: DataFrame) -> str:
     return folder
 
 
+def _decided(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``first``, the id of the page that a revisit refers to.
+
+    Decided on narrow rows, once per page, and written, so that the size is known before the join is planned: up to
+    BROADCAST_BYTES go to the pages where they are, beyond that the pages are shuffled to them by id and digest.
+    """
+    keys = rows.select("page_id", F.unhex("digest").alias("digest"), F.octet_length("html").alias("n"))
+    keys = keys.where(F.col("n") >= LEAST_REVISIT)
+    stored = keys.groupBy("digest").agg(F.min("page_id").alias("first"))
+    revisits = keys.join(stored, "digest").where("first is not null and (page_id is null or page_id > first)")
+    revisits = checkpointed(revisits.select(F.col("page_id").alias("id"), F.col("digest").alias("same"), "first").distinct())
+    if revisits.count() * DECISION_BYTES <= BROADCAST_BYTES:
+        revisits = F.broadcast(revisits)
+    same = F.col("page_id").eqNullSafe(F.col("id")) & (F.unhex("digest") == F.col("same"))
+    return rows.join(revisits, same, "left").drop("id", "same")
+
+
 def _captured() -> Column:
     return F.timestamp_seconds(F.unix_timestamp(F.lit(EPOCH).cast("timestamp")) + F.coalesce("page_id", F.lit(0)))
 

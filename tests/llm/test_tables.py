@@ -128,6 +128,22 @@ def test_archives(llm, monkeypatch):
         assert record.startswith(b"WARC/1.1\r\n") and record.endswith(b"\r\n\r\n")
 
 
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_decisions_reach_the_pages_without_a_shuffle_of_html(llm, monkeypatch, limit):
+    monkeypatch.setattr(warc, "BROADCAST_BYTES", limit)
+    threshold = llm.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    llm.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold if limit else "-1")
+    pages = [(i, f"http://a.net/{i}", "x" * 90 + str(i % 3) * 20) for i in range(9)] + [(None, None, "x" * 90 + "0" * 20)]
+    frame = llm.createDataFrame(pages, "page_id long, url string, html string").withColumn("digest", F.sha2("html", 256))
+    decided = warc._decided(frame)
+    assert sorted((str(r.page_id), r.first) for r in decided.collect()) == sorted(
+        [(str(i), None if i < 3 else i % 3) for i in range(9)] + [("None", 0)]
+    )
+    plan = decided._jdf.queryExecution().executedPlan().toString()
+    llm.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert ("Exchange hashpartitioning" in plan) == (not limit) and ("BroadcastExchange" in plan) == bool(limit)
+
+
 @pytest.mark.parametrize("seed", range(30))
 def test_loser_tree(seed):
     numbers = random.Random(seed)
