@@ -1,8 +1,8 @@
 """Phrases that occur together, from stripes: a counter of next words for each prefix.
 
-One level for each length of prefix, none to the longest.  A task keeps the stripes of its documents in a
-dictionary of counters and sends them on when they fill; stripes of one prefix are then merged element by
-element, in a stream sorted by prefix.  The merged stripes of all levels hold every count that scores
+One level for each length of prefix, none to the longest.  A task counts the stripes of its documents, millions of
+words at a time, and sends them on; stripes of one prefix are then merged element by element, in a stream sorted
+by prefix.  The merged stripes of all levels hold every count that scores
 need: an entry is the count of prefix and next word, which is the total of that longer prefix one level on.
 
 A phrase is no more frequent than its parts, so the next level counts only phrases whose two parts are frequent.
@@ -12,10 +12,11 @@ The stripe of a hot prefix is dealt out in parts by its next word, as many as it
 
 from __future__ import annotations
 
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,19 +24,21 @@ from pyspark.sql.window import Window
 
 from codeledger.session import checkpointed
 
-#: Ends of a piece become line ends, other characters stay; A to Z are lower-cased.
-_CUTS = bytes(10 if c in b".,;:!?\n\x0b\x0c\r" else c + 32 if 65 <= c <= 90 else c for c in range(256))
+#: Ends of a piece become full stops, other characters stay; A to Z are lower-cased.
+_CUTS = bytes(46 if c in b".,;:!?\n\x0b\x0c\r" else c + 32 if 65 <= c <= 90 else c for c in range(256))
 MAX_WORDS = 3
 MIN_COUNT = 10
 #: A longer phrase with this share of the occurrences of a shorter one stands for it.
 SUBSUMED_PERCENT = 50
 TOP = 2_000
-#: Entries in a task's stripes before they are sent on.
-HELD = 300_000
+#: Words that a task holds, as numbers, before it sends their stripes on.
+HELD = 3_000_000
 #: A prefix with over one in this many occurrences is hot, so there are fewer hot ones than that.
 SHARES = 1_024
 #: Bits that tell frequent phrases, 2 to the power of this: 16 MB, whatever the input.
 FILTER_BITS = 27
+#: Joins the hashes of a phrase's words to one.
+_FACTOR = 1_000_003
 #: Candidates are first ranked in this many parts of a language.
 RANK_PARTS = 64
 
@@ -85,8 +88,8 @@ def _hot(level: DataFrame, total: int) -> dict[tuple[str, str], int]:
 def _frequent(level: DataFrame, filter_bits: int) -> bytes:
     """A bit for each frequent phrase, by its hash: 2^filter_bits bits, gathered in buckets of 4 kB."""
     # bitmap functions count bits, and buckets of 2^15 of them, from 1
-    slot = F.crc32(F.concat_ws(" ", "lang", "phrase")) % (1 << filter_bits) + 1
-    slots = _entries(level).select(slot.alias("slot"))
+    hashed = f"aggregate(split(phrase, ' '), crc32(lang), (h, w) -> (h * {_FACTOR} + crc32(w)) % {1 << filter_bits}) + 1"
+    slots = _entries(level).select(F.expr(hashed).alias("slot"))
     buckets = slots.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
     )
@@ -99,22 +102,25 @@ def _frequent(level: DataFrame, filter_bits: int) -> bytes:
 def _merge(min_count: int):
     """Stripes of one key, which lie side by side, added element by element."""
 
-    def done(key: tuple, counter: Counter) -> tuple:
-        kept = sorted((w, n) for w, n in counter.items() if n >= min_count)
-        return *key[:2], sum(counter.values()), [w for w, _ in kept], [n for _, n in kept]
+    def done(key: tuple, stripe: dict[str, int]) -> tuple:
+        kept = sorted((w, n) for w, n in stripe.items() if n >= min_count)
+        return *key[:2], sum(stripe.values()), [w for w, _ in kept], [n for _, n in kept]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        key, counter = None, Counter()
+        key, stripe = None, {}
         for batch in batches:
             for lang, prefix, part, words, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if key != (lang, prefix, part):
                     if key is not None:
-                        yield done(key, counter)
-                    key, counter = (lang, prefix, part), Counter()
-                for word, n in zip(words.split(" "), counts.split(" "), strict=True):
-                    counter[word] += int(n)
+                        yield done(key, stripe)
+                    key, stripe = (lang, prefix, part), {}
+                if not stripe:
+                    stripe = dict(zip(words.split(" "), map(int, counts.split(" ")), strict=True))
+                    continue
+                for word, n in zip(words.split(" "), map(int, counts.split(" ")), strict=True):
+                    stripe[word] = stripe.get(word, 0) + n
         if key is not None:
-            yield done(key, counter)
+            yield done(key, stripe)
 
     types = [pa.string(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64())]
     return lambda batches: _batches(rows(batches), ["lang", "prefix", "total", "words", "counts"], types)
@@ -132,22 +138,23 @@ def _local_stripes(texts: DataFrame, length: int, hot: dict, bits: bytes, filter
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         hot, bits = shared.value
-        held: dict[str, dict[bytes, dict[bytes, int]]] = {}
+        filled = np.frombuffer(bits, np.uint8)
+        held: dict[str, _Words] = {}
         size = 0
+
+        def sent() -> Iterator[tuple]:
+            for lang, words in held.items():
+                yield from words.stripes(lang, length, hot, filled, filter_bits)
+
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                of_lang = held.setdefault(lang, {})
-                for piece in text.as_py().translate(_CUTS).split(b"\n"):
-                    words = piece.split()
-                    if length == 0:
-                        size += _count(of_lang.setdefault(b"", {}), words)
-                    elif len(words) > length:
-                        size += _extend(of_lang, words, length, lang.encode() + b" ", bits, filter_bits)
-                    if size >= HELD:
-                        yield from _sent(held, hot)
-                        held, size = {}, 0
-                        of_lang = held.setdefault(lang, {})
-        yield from _sent(held, hot)
+                if lang not in held:
+                    held[lang] = _Words()
+                size += held[lang].add(text.as_py())
+                if size >= HELD:
+                    yield from sent()
+                    held, size = {}, 0
+        yield from sent()
 
     types = [pa.string(), pa.string(), pa.int32(), pa.string(), pa.string()]
     return texts.mapInArrow(
@@ -155,51 +162,79 @@ def _local_stripes(texts: DataFrame, length: int, hot: dict, bits: bytes, filter
     )
 
 
-def _count(stripe: dict[bytes, int], words: list[bytes]) -> int:
-    before = len(stripe)
-    for word in words:
-        stripe[word] = stripe.get(word, 0) + 1
-    return len(stripe) - before
-
-
-def _extend(stripes: dict, words: list[bytes], length: int, lang: bytes, bits: bytes, filter_bits: int) -> int:
-    """Count each word after the ``length`` words before it, where both parts of the phrase can be frequent."""
-    new = 0
-    mask = (1 << filter_bits) - 1
-    prefix, known = None, False
-    for i in range(len(words) - length + 1):
-        phrase = words[i] if length == 1 else b" ".join(words[i : i + length])
-        slot = crc32(lang + phrase) & mask
-        frequent = bits[slot >> 3] >> (slot & 7) & 1
-        if frequent and known:
-            stripe = stripes.get(prefix)
-            if stripe is None:
-                stripe = stripes[prefix] = {}
-            word = words[i + length - 1]
-            n = stripe.get(word)
-            if n is None:
-                new += 1
-                stripe[word] = 1
-            else:
-                stripe[word] = n + 1
-        prefix, known = phrase, frequent
-    return new
-
-
-def _sent(held: dict, hot: dict) -> Iterator[tuple]:
-    """Stripes as rows; that of a hot prefix, and of none, in parts by the hash of the next word."""
-    for lang, of_lang in held.items():
-        for prefix, stripe in of_lang.items():
-            prefix = prefix.decode()
-            parts = SHARES if not prefix else hot.get((lang, prefix), 1)
-            if parts == 1:
-                split = {0: list(stripe)}
-            else:
-                split = {}
-                for word in stripe:
-                    split.setdefault(crc32(word) % parts, []).append(word)
-            for part, words in split.items():
-                yield lang, prefix, part, b" ".join(words).decode(), " ".join(str(stripe[w]) for w in words)
+class _Numbers(dict):
+    """A number for each word, as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
+class _Words:
+    """The words of texts of one language, as numbers; 0 ends a piece."""
+
+    def __init__(self) -> None:
+        self.numbers = _Numbers({b".": 0})
+        self.places = array("i")
+
+    def add(self, text: bytes) -> int:
+        before = len(self.places)
+        # no word holds a full stop, so one alone is the end of a piece
+        self.places.extend(map(self.numbers.__getitem__, text.translate(_CUTS).replace(b".", b" . ").split()))
+        self.places.append(0)
+        return len(self.places) - before
+
+    def stripes(self, lang: str, length: int, hot: dict, filled: np.ndarray, filter_bits: int) -> Iterator[tuple]:
+        """The stripe of each prefix of ``length`` words, in parts if it is hot, as rows."""
+        words = list(self.numbers)
+        at = np.frombuffer(self.places, np.int32).astype(np.int64)
+        if not length:
+            counts = np.bincount(at, minlength=len(words))
+            counts[0] = 0
+            found = np.flatnonzero(counts)
+            yield from _dealt(lang, b"", [words[i] for i in found.tolist()], counts[found].tolist(), SHARES)
+            return
+        # phrases of ``length`` words that can be frequent, by their first place
+        hashes = np.fromiter(map(crc32, words), np.int64, len(words))[at]
+        n = max(0, len(at) - length + 1)
+        slot = np.full(n, crc32(lang.encode()), np.int64)
+        known = np.ones(n, bool)
+        for k in range(length):
+            slot = (slot * _FACTOR + hashes[k : k + n]) & ((1 << filter_bits) - 1)
+            known &= at[k : k + n] != 0
+        known &= (filled[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+        # a longer phrase can only be where two such follow each other
+        place = np.flatnonzero(known[:-1] & known[1:])
+        prefix, first = at[place], None
+        for k in range(1, length):
+            _, first, prefix = np.unique(prefix << 32 | at[place + k], return_index=True, return_inverse=True)
+        pairs, counts = np.unique(prefix << 32 | at[place + length], return_counts=True)
+        if not len(pairs):
+            return
+        starts = np.flatnonzero(np.diff(pairs >> 32, prepend=-1)).tolist()
+        prefixes = (pairs >> 32)[starts]
+        if first is None:
+            named = [words[i] for i in prefixes.tolist()]
+        else:
+            begin = place[first[prefixes]]
+            named = [b" ".join(words[i] for i in numbers) for numbers in at[begin[:, None] + np.arange(length)].tolist()]
+        following = [words[i] for i in (pairs & 0xFFFFFFFF).tolist()]
+        times = counts.tolist()
+        for prefix, start, end in zip(named, starts, [*starts[1:], len(times)], strict=True):
+            yield from _dealt(lang, prefix, following[start:end], times[start:end], hot.get((lang, prefix.decode()), 1))
+
+
+def _dealt(lang: str, prefix: bytes, words: list[bytes], counts: list[int], parts: int) -> Iterator[tuple]:
+    """A stripe as a row for each of its parts, told by the hash of the next word."""
+    name = prefix.decode()
+    if parts == 1:
+        yield lang, name, 0, b" ".join(words).decode(), " ".join(map(str, counts))
+        return
+    split: dict[int, list[int]] = {}
+    for i, word in enumerate(words):
+        split.setdefault(crc32(word) % parts, []).append(i)
+    for part, chosen in split.items():
+        yield lang, name, part, b" ".join([words[i] for i in chosen]).decode(), " ".join([str(counts[i]) for i in chosen])
 
 
 def collocations(
