@@ -468,6 +468,47 @@ def q_category_first_match(t: Tables) -> DataFrame:
     )
 
 
+def generated_rules(count: int) -> list[CategoryRule]:
+    """Rules of several forms; one in a hundred holds no text that an index could use."""
+
+    def pattern(i: int) -> str:
+        code = f"k{i:04d}"
+        forms = (f"widget-{code}$", f"^(red|blue).*{code}", rf"{code.upper()}|gizmo-k0{i % 1000:03d}", rf"{code}\b")
+        return rf"k\d\d{i % 50:02d}$" if i % 100 == 3 else forms[i % 4]
+
+    kinds = ("python", "npm", "java-archive")
+    return [CategoryRule(kinds[i % 3], i, pattern(i), f"Category {i}", f"Sub {i % 7}", f"Frame {i % 11}") for i in range(count)]
+
+
+def coded_dependencies(t: Tables) -> DataFrame:
+    name = F.concat(F.replace("p_name", lit(" "), lit("-")), lit("-k"), F.lpad(text("p_partkey"), 4, "0"))
+    return t.part.select(text("p_partkey").alias("repo_id"), kind_of_part().alias("package_type"), name.alias("package_name"))
+
+
+@query(
+    "q_category_index",
+    f"""with n as (select p_partkey::varchar repo_id, {_KIND_SQL} package_type,
+                          replace(p_name, ' ', '-') || '-k' || case when p_partkey < 10000 then lpad(p_partkey::varchar, 4, '0')
+                            else left(p_partkey::varchar, 4) end package_name
+                     from part),
+        r as (select i, case i % 3 when 0 then 'python' when 1 then 'npm' else 'java-archive' end kind,
+                case when i % 100 = 3 then printf('k\\d\\d%02d$', i % 50) when i % 4 = 0 then printf('widget-k%04d$', i)
+                  when i % 4 = 1 then printf('^(red|blue).*k%04d', i)
+                  when i % 4 = 2 then printf('K%04d|gizmo-k0%03d', i, i % 1000) else printf('k%04d\\b', i) end as p
+              from (select unnest(range(2000)) i)),
+        m as (select package_type, package_name, min(i) i from (select distinct package_type, package_name from n) d
+              join r on kind = package_type and regexp_matches(package_name, p, 'i') group by all)
+        select repo_id, package_type, package_name, coalesce('Category ' || i, 'Other') category,
+               coalesce('Sub ' || (i % 7), '') sub_category, coalesce('Frame ' || (i % 11), '') framework
+        from n left join m using (package_type, package_name)""",
+)
+def q_category_index(t: Tables) -> DataFrame:
+    """Two thousand rules, found by their index."""
+    return categorize_dependencies(coded_dependencies(t), generated_rules(2_000)).select(
+        "repo_id", "package_type", "package_name", "category", "sub_category", "framework"
+    )
+
+
 def syft_reports(t: Tables) -> DataFrame:
     """One SBOM per ordered item, with a second copy of its artifact."""
     pom = F.when(

@@ -83,13 +83,19 @@ def search_sql(column: str, pattern: str, *, ignore_case: bool = False, multilin
     a regex; the rest keep Unicode classes and newline-only line ends.  Text,
     not Columns: a rule table of a thousand patterns is parsed in one call.
     """
-    text = _plain_text(pattern)
+    text, regex = search_parts(pattern, ignore_case=ignore_case, multiline=multiline)
     if text is None:
-        flags = "dU" + ("i" if ignore_case else "") + ("m" if multiline else "")
-        return f"{column} RLIKE {sql_text(f'(?{flags}){java_regex(pattern)}')}"
-    if ignore_case:
-        return f"contains(lower({column}), {sql_text(text.lower())})"
-    return f"contains({column}, {sql_text(text)})"
+        return f"{column} RLIKE {sql_text(regex)}"
+    return f"contains({f'lower({column})' if ignore_case else column}, {sql_text(text)})"
+
+
+def search_parts(pattern: str, *, ignore_case: bool = False, multiline: bool = False) -> tuple[str | None, str | None]:
+    """(text to look for, None) or (None, Java regex); the text is in lower case if case does not matter."""
+    text = _plain_text(pattern)
+    if text is not None:
+        return text.lower() if ignore_case else text, None
+    flags = "dU" + ("i" if ignore_case else "") + ("m" if multiline else "")
+    return None, f"(?{flags}){java_regex(pattern)}"
 
 
 def search(column: str, pattern: str, **flags: bool) -> Column:

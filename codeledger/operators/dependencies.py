@@ -7,14 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codeledger.functions.patterns import search_sql, sql_text
 from codeledger.functions.scalars import non_empty, runtime_entry, strip
 from codeledger.operators.lists import keep_first
 from codeledger.operators.reports import artifact_columns, syft_artifacts
+from codeledger.operators.rule_index import RuleIndex, first_by_case
 from codeledger.sources.rules import CategoryRule
 
-# Rules of one CASE; more rules are more of them, tried in order.
-CASE_RULES = 200
+INDEXED_RULES = 100
 LABEL = "struct<category: string, sub_category: string, framework: string>"
 
 
@@ -28,21 +27,12 @@ def sbom_dependencies(artifacts: DataFrame, order: Sequence[str | Column] = ("po
     return keep_first(rows, ["repo_id", "package_name", "version"], ["ord"])
 
 
-def _match_by_case(names: DataFrame, rules: list[CategoryRule]) -> DataFrame:
-    """The first rule that hits, by CASEs per package type that stop there.
-
-    A CASE has at most CASE_RULES rules, so that its generated code stays small; COALESCE tries
-    the next only where the one before found none.
-    """
-    by_type: dict[str, list[str]] = {}
-    for number, rule in enumerate(rules):
-        hit = search_sql("package_name", rule.pattern, ignore_case=True)
-        by_type.setdefault(rule.package_type, []).append(f"WHEN {hit} THEN {number}")
-    types = []
-    for kind, whens in by_type.items():
-        cases = [f"CASE {' '.join(whens[i : i + CASE_RULES])} END" for i in range(0, len(whens), CASE_RULES)]
-        types.append(f"WHEN {sql_text(kind)} THEN COALESCE({', '.join(cases)})")
-    picked = names.withColumn("_rule", F.expr(f"CASE ptype {' '.join(types)} END"))
+def _labelled(names: DataFrame, rules: list[CategoryRule], indexed: bool) -> DataFrame:
+    """(ptype, package_name, label) of the first rule that hits, for the names that one hits."""
+    if indexed:
+        picked = RuleIndex(names.sparkSession, rules).first_matches(names)
+    else:
+        picked = names.withColumn("_rule", F.expr(first_by_case(list(enumerate(rules)))))
     labels = names.sparkSession.createDataFrame(
         [(number, (r.category, r.sub_category, r.framework)) for number, r in enumerate(rules)],
         f"_rule int, label {LABEL}",
@@ -50,10 +40,13 @@ def _match_by_case(names: DataFrame, rules: list[CategoryRule]) -> DataFrame:
     return picked.join(labels, "_rule").select("ptype", "package_name", "label")
 
 
-def categorize_dependencies(deps: DataFrame, rules: Sequence[CategoryRule]) -> DataFrame:
+def categorize_dependencies(
+    deps: DataFrame, rules: Sequence[CategoryRule], indexed: bool | None = None
+) -> DataFrame:
     """Adds category, sub_category and framework of the first rule that matches.
 
-    Rules run once per distinct (package type, name), not once per row; the
+    A list of more than INDEXED_RULES is looked up by an inverted index, a shorter one is tried in order;
+    ``indexed`` decides otherwise.  Both find the same.  Rules run once per distinct (package type, name), not once per row; the
     labels then join back, and adaptive execution broadcasts or splits that join
     by the sizes it measures.  No rule: ``Other`` and empty text.
     """
@@ -69,7 +62,8 @@ def categorize_dependencies(deps: DataFrame, rules: Sequence[CategoryRule]) -> D
         labelled = rows.withColumn("label", F.lit(None).cast(LABEL))
     else:
         names = rows.where(F.col("ptype").isin(types)).select("ptype", "package_name").distinct()
-        labelled = rows.join(_match_by_case(names, ordered), ["ptype", "package_name"], "left")
+        indexed = len(ordered) > INDEXED_RULES if indexed is None else indexed
+        labelled = rows.join(_labelled(names, ordered, indexed), ["ptype", "package_name"], "left")
     return labelled.select(
         *plain,
         F.coalesce("label.category", F.lit("Other")).alias("category"),
