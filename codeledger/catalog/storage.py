@@ -112,6 +112,29 @@ def q_incremental_ingest(t: Tables) -> DataFrame:
     ).unionByName(grype.select("repo_id", F.lit("grype").alias("tool"), F.col("cve").alias("finding")))
 
 
+@query(
+    "q_late_reports",
+    """with d as (select s_suppkey k, unnest([0, 1, 2]) batch from supplier),
+       r as (select k, batch, case batch when 0 then 10 when 1 then 5 + k % 11 else 8 + k % 5 end as day from d where batch = 0 or k % (batch + 1) = 0)
+       select k::varchar repo_id, 'CVE-' || batch || '-' || k finding from r
+       qualify row_number() over (partition by k order by day desc, batch desc) = 1""",
+)
+def q_late_reports(t: Tables) -> DataFrame:
+    """Three deliveries, each read by a stream started anew; many reports are older than the stored ones."""
+    incoming, tables, checkpoint = (folder(t, n) for n in ("incoming", "tables", "ingest"))
+    key = F.col("s_suppkey")
+    for batch, day in enumerate((F.lit(10), 5 + key % 11, 8 + key % 5)):
+        t.supplier.where(key % (batch + 1) == 0).select(
+            text("s_suppkey").alias("repo_id"),
+            F.lit("trivy").alias("tool"),
+            _vulnerabilities(_cve(f"CVE-{batch}-")).alias("body"),
+            F.make_timestamp(F.lit(2024), F.lit(1), day.cast("int"), F.lit(0), F.lit(0), F.lit(0)).alias("modified"),
+        ).write.mode("append").parquet(incoming)
+        ReportIngest(t.spark, tables).start(report_table_stream(t.spark, incoming), checkpoint).awaitTermination()
+    stored = ReportIngest(t.spark, tables).table("trivy").read()
+    return stored.select("repo_id", F.col("vulnerability_id").alias("finding"))
+
+
 @query(
     "q_keyed_table",
     f"""{_HALVES}, seen as (select repo_id from o where o_orderkey % 2 = 1)

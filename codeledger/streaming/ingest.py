@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from codeledger.operators import reports as r
 from codeledger.operators.dependencies import syft_dependencies
 from codeledger.operators.status import execution_log_rows
 from codeledger.plans.tables import dependency_table
+from codeledger.session import checkpointed, ensure_checkpoint_dir
 from codeledger.sinks.tables import KeyedTable
 from codeledger.sources.reports import report_columns
 from codeledger.sources.rules import CategoryRule
@@ -47,6 +50,9 @@ TARGETS = {
 }
 
 
+REPORT_TIME = "repo_id string, modified timestamp"
+
+
 @dataclass
 class ReportIngest:
     """Writes batches of reports to the keyed tables under ``tables_root``.
@@ -80,34 +86,57 @@ class ReportIngest:
         """The execution log; a repeated batch is logged once."""
         return KeyedTable(self.spark, f"{self.tables_root.rstrip('/')}/analysis_execution_log", schemas.EXECUTION_LOG)
 
+    def newest(self, tool: str) -> KeyedTable:
+        """When the report that ``tool``'s table holds of a repository was written."""
+        return KeyedTable(self.spark, f"{self.tables_root.rstrip('/')}/report_times/{tool}", REPORT_TIME)
+
     def write_batch(self, reports: DataFrame, batch_id: int = 0) -> None:
         """Parse and store one batch of (repo_id, tool, body[, modified]), and log it.
 
-        Each table gets the batch once, under its run's name: writing the same batch
-        again adds nothing.  The cost is that of the batch, not of the tables.
+        The batch is reduced and written once, in a folder per tool, and every table reads its own part.  A report
+        that is older than the one stored, by ``modified``, changes nothing and is logged as such; of equal times, and
+        without times, the later batch counts.  Each table gets the batch once, under its run's name: writing the same
+        batch again adds nothing.  The cost is that of the batch, not of the tables, but for the times of
+        the reports before it.
         """
         run_id = f"{self.run_name}-{batch_id}"
         known = [*TARGETS, "syft"]
-        reports = newest_reports(reports.where(F.col("tool").isin(known)))
-        tools = sorted(row[0] for row in reports.select("tool").distinct().collect())
-        seconds = {}
+        written = _by_tool(newest_reports(reports.where(F.col("tool").isin(known))))
+        tools = sorted(row[0] for row in written.select("tool").distinct().collect())
+        seconds, outcomes = {}, []
         for tool in tools:
             start = time.perf_counter()
             target = self._target(tool)
-            valid = r.valid_reports(reports.where(F.col("tool") == tool))
-            self.table(tool).replace(target.parse(valid), valid.select("repo_id"), target.on_empty, run_id)
+            of_tool = written.where(F.col("tool") == tool)
+            late = self._late(tool, of_tool)
+            fresh = of_tool.where("error is null")
+            if late is not None:
+                fresh = fresh.join(late, "repo_id", "left_anti")
+            self.table(tool).replace(target.parse(fresh), fresh.select("repo_id"), target.on_empty, run_id)
+            # last, so that a batch that broke off before is not taken for a late one
+            self.newest(tool).upsert(fresh.select("repo_id", "modified"), run_id)
             seconds[tool] = time.perf_counter() - start
+            message = F.lit("stored")
+            told = of_tool.select("repo_id", "tool", "error")
+            if late is not None:
+                told = told.join(late.withColumn("_late", F.lit(True)), "repo_id", "left")
+                message = F.when(F.col("_late"), "older than the stored report").otherwise(message)
+            outcomes.append(told.select("repo_id", "tool", message.alias("message"), "error"))
         if not tools:
             return
-        outcomes = reports.select(
-            "repo_id",
-            "tool",
-            F.lit("stored").alias("message"),
-            r.unreadable_reason().alias("error"),
-            literal_map([(tool, str(s)) for tool, s in seconds.items()])[F.col("tool")].cast("double").alias("duration"),
-        )
-        entries = execution_log_rows(outcomes, "ingest", F.col("tool"), run_id, F.current_timestamp())
-        self.log().append(entries, run_id)
+        took = literal_map([(tool, str(s)) for tool, s in seconds.items()])[F.col("tool")].cast("double")
+        rows = reduce(DataFrame.union, outcomes).withColumn("duration", took)
+        self.log().append(execution_log_rows(rows, "ingest", F.col("tool"), run_id, F.current_timestamp()), run_id)
+
+    def _late(self, tool: str, reports: DataFrame) -> DataFrame | None:
+        """(repo_id) of readable reports older than the stored ones; None if there are none.
+
+        Times alone are read and joined.  The ids are written, so that the join with the reports is planned with their size.
+        """
+        now = reports.where("error is null").select("repo_id", "modified")
+        stored = self.newest(tool).read().withColumnRenamed("modified", "_stored")
+        late = checkpointed(now.join(stored, "repo_id").where("modified < _stored or (modified is null and _stored is not null)").select("repo_id"))
+        return None if late.isEmpty() else late
 
     def start(self, incoming: DataFrame, checkpoint: str) -> StreamingQuery:
         """Ingest everything ``incoming`` (a stream of reports) has not delivered yet, then stop."""
@@ -141,11 +170,22 @@ def report_table_stream(spark: SparkSession, path: str, max_files: int = 1_000)
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
+def _by_tool(reports: DataFrame) -> DataFrame:
+    """``reports`` with ``error``, why one cannot be read, as a table in the shared folder with a part per tool."""
+    path = f"{ensure_checkpoint_dir(reports.sparkSession).rstrip('/')}/codeledger-batch-{uuid.uuid4().hex}"
+    told = reports.withColumn("error", r.unreadable_reason())
+    told.write.partitionBy("tool").parquet(path)
+    return told.sparkSession.read.schema(told.schema).parquet(path).select(*told.columns)
+
+
 def newest_reports(reports: DataFrame) -> DataFrame:
     """One report per repository and tool: the newest, of equal times the last path, then the greatest body.
 
     An aggregate: copies are reduced before the shuffle.
     """
-    order = [c for c in ("modified", "path") if c in reports.columns]
-    newest = F.max_by(F.struct("body"), F.struct(*order, F.xxhash64("body"), F.col("body"))).alias("_newest")
-    return reports.groupBy("repo_id", "tool").agg(newest).select("repo_id", "tool", "_newest.body")
+    time = F.col("modified").cast("timestamp") if "modified" in reports.columns else F.lit(None).cast("timestamp")
+    path = ["path"] if "path" in reports.columns else []
+    timed = reports.withColumn("modified", time)
+    newest = F.max_by(F.struct("body", "modified"), F.struct("modified", *path, F.xxhash64("body"), F.col("body")))
+    found = timed.groupBy("repo_id", "tool").agg(newest.alias("_newest"))
+    return found.select("repo_id", "tool", "_newest.body", "_newest.modified")

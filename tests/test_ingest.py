@@ -1,11 +1,14 @@
+import datetime
 import json
 import time
 
+import pytest
+
 from codeledger.sources.files import read_repo_files
 from codeledger.sources.rules import CategoryRule
 from codeledger.operators.dependencies import infer_build_tool
 from codeledger.operators.reports import report_errors
-from codeledger.streaming.ingest import ReportIngest, newest_reports, report_file_stream
+from codeledger.streaming.ingest import ReportIngest, newest_reports, report_file_stream, report_table_stream
 
 from helpers import repo_files, reports, rows
 
@@ -100,6 +103,69 @@ def test_one_of_equal_reports_counts(spark, tmp_path):
     assert ingest.table("trivy").read().count() == 1
 
 
+TIMED = "repo_id string, tool string, body string, modified timestamp"
+
+
+def timed(spark, *entries):
+    rows = [(repo, tool, body, day and datetime.datetime(2024, 1, day)) for repo, tool, body, day in entries]
+    return spark.createDataFrame(rows, TIMED)
+
+
+def test_late_reports_change_nothing(spark, tmp_path):
+    ingest = ReportIngest(spark, str(tmp_path / "tables"))
+    match = '{"matches":[{"vulnerability":{"id":"%s"}}]}'
+    ingest.write_batch(timed(spark, ("a", "trivy", trivy("A5"), 5), ("b", "trivy", trivy("B2"), 2), ("a", "grype", match % "G1", 1), ("n", "trivy", trivy("N0"), None)), 0)
+    late = timed(spark, ("a", "trivy", trivy("A1"), 1), ("b", "trivy", trivy("B3"), 3), ("a", "grype", match % "G2", 2), ("n", "trivy", trivy("N1"), None), ("c", "trivy", trivy("C1"), 1))
+    for _ in range(2):  # delivered twice
+        ingest.write_batch(late, 1)
+    # an unreadable report does not make an older one late; of equal times the later batch counts; no time comes before any
+    ingest.write_batch(timed(spark, ("c", "trivy", "{broken", 9), ("a", "trivy", trivy("A5b"), 5)), 2)
+    ingest.write_batch(timed(spark, ("c", "trivy", trivy("C4"), 4), ("b", "trivy", trivy("B0"), None)), 3)
+    assert rows(ingest.table("trivy").read(), "repo_id", "vulnerability_id") == [("a", "A5b"), ("b", "B3"), ("c", "C4"), ("n", "N1")]
+    assert rows(ingest.table("grype").read(), "cve") == [("G2",)]
+    log = rows(ingest.log().read().where("message <> 'stored'"), "run_id", "repo_id", "stage", "status", "message")
+    assert log == [
+        ("ingest-1", "a", "trivy", "SUCCESS", "older than the stored report"),
+        ("ingest-2", "c", "trivy", "FAILURE", "not valid JSON"),
+        ("ingest-3", "b", "trivy", "SUCCESS", "older than the stored report"),
+    ]
+
+
+def test_a_batch_that_broke_off_is_no_late_one(spark, tmp_path, monkeypatch):
+    ingest = ReportIngest(spark, str(tmp_path / "tables"))
+    batch = timed(spark, ("a", "trivy", trivy("A5"), 5), ("a", "grype", '{"matches":[{"vulnerability":{"id":"G"}}]}', 5))
+    real = ReportIngest.table
+
+    def fails(self, tool):
+        if tool == "trivy":
+            raise OSError("lost")
+        return real(self, tool)
+
+    monkeypatch.setattr(ReportIngest, "table", fails)
+    with pytest.raises(OSError):
+        ingest.write_batch(batch, 0)
+    monkeypatch.setattr(ReportIngest, "table", real)
+    ingest.write_batch(batch, 0)
+    assert rows(ingest.table("trivy").read(), "vulnerability_id") == [("A5",)]
+    assert rows(ingest.table("grype").read(), "cve") == [("G",)]
+
+
+def test_bodies_are_scanned_once_for_all_tools(spark, tmp_path):
+    bodies = {
+        "cloc": '{"C": {"nFiles": 1, "blank": 2, "comment": 3, "code": 4}}', "lizard": "1,2,3,4,5,6,7,8,9,10,11", "enry": "100% C",
+        "trivy": trivy("T"), "grype": '{"matches": []}', "xeol": '{"matches": []}', "semgrep": '{"results": []}',
+        "checkov": '{"passed": 1}', "syft": '{"artifacts": []}',
+    }
+    path = str(tmp_path / "incoming")
+    timed(spark, *((f"r{i}", tool, body, 1) for tool, body in bodies.items() for i in range(20))).write.parquet(path)
+    ingest = ReportIngest(spark, str(tmp_path / "tables"))
+    run = ingest.start(report_table_stream(spark, path), str(tmp_path / "checkpoint"))
+    run.awaitTermination()
+    # a source that is scanned again for a sink counts its rows again
+    assert sum(p.numInputRows for p in run.recentProgress) == 180
+    assert ingest.log().read().count() == 180
+
+
 def test_merged_dependencies_and_their_order(spark, tmp_path):
     """The first package by lower-case name decides the build tool, also after it was stored."""
     body = json.dumps({"artifacts": [{"name": "Zlib", "version": "1", "type": "python"}, {"name": "axios", "version": "1", "type": "npm"}]})
