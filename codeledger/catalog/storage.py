@@ -8,15 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codeledger import schemas
-from codeledger.catalog.portfolio import _HALVES, _TOOL_KEY, _TOOLS, _halves, _tools, text
+from codeledger.catalog.portfolio import _HALVES, _ROLLUP_SQL, _TOOL_KEY, _TOOLS, _halves, _tools, execution_log, text
 from codeledger.catalog.registry import Tables, query
 from codeledger.operators import reports as r
 from codeledger.operators.history import size_totals
 from codeledger.session import ensure_checkpoint_dir
+from codeledger.sinks.pages import paged
 from codeledger.sinks.tables import DerivedTable, KeyedTable
 from codeledger.sources.files import read_repo_files
 from codeledger.sources.reports import read_reports
 from codeledger.streaming.ingest import ReportIngest, report_table_stream
+from codeledger.streaming.status import StatusStream, log_table_stream
 
 
 def folder(t: Tables, name: str) -> str:
@@ -112,6 +114,28 @@ def q_incremental_ingest(t: Tables) -> DataFrame:
     ).unionByName(grype.select("repo_id", F.lit("grype").alias("tool"), F.col("cve").alias("finding")))
 
 
+@query("q_status_stream", _ROLLUP_SQL)
+def q_status_stream(t: Tables) -> DataFrame:
+    """The log in three deliveries, out of order and a third of it twice, each read by a stream started anew."""
+    log = execution_log(t)
+    incoming, root, checkpoint = (folder(t, n) for n in ("log", "status", "status-checkpoint"))
+    delivery = F.pmod(F.xxhash64(*log.columns), F.lit(3))
+    statuses = StatusStream(t.spark, root, delay="3650 days")
+    for batch in range(3):
+        log.where((delivery == batch) | (delivery == (batch + 1) % 3)).write.mode("append").parquet(incoming)
+        statuses.start(log_table_stream(t.spark, incoming), checkpoint).awaitTermination()
+    return statuses.rollup()
+
+
+@query(
+    "q_page_by_range",
+    "select o_orderkey, o_custkey, o_orderstatus from orders order by o_orderkey limit 2000 offset 11000",
+)
+def q_page_by_range(t: Tables) -> DataFrame:
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    return paged(orders, folder(t, "pages"), "o_orderkey", part_rows=2_500).page(11_000, 2_000)
+
+
 @query(
     "q_late_reports",
     """with d as (select s_suppkey k, unnest([0, 1, 2]) batch from supplier),

@@ -26,15 +26,14 @@ def rollup_status(log: DataFrame, targets: DataFrame | None = None) -> DataFrame
     if targets is not None:
         wanted = targets.select("run_id", "repo_id").distinct()
         seen = wanted.join(seen, ["run_id", "repo_id"], "left").na.fill(0, ["n", "failed", "succeeded"])
-    status = (
-        F.when(F.col("n") == 0, "ERROR")
-        .when(F.col("failed") > 0, "FAILURE")
-        .when(F.col("succeeded") == F.col("n"), "SUCCESS")
-        .otherwise("UNKNOWN")
-    )
-    comment = F.when(F.col("n") == 0, "No analysis records.").when(
-        (F.col("failed") == 0) & (F.col("succeeded") == F.col("n")), "All steps completed."
-    )
+    passed = (F.col("failed") == 0) & (F.col("succeeded") == F.col("n"))
+    return status_of(seen, F.col("n") == 0, F.col("failed") > 0, passed)
+
+
+def status_of(seen: DataFrame, none: Column, failed: Column, passed: Column) -> DataFrame:
+    """(run_id, repo_id, status, comment) from whether no row counts, one failed, all succeeded."""
+    status = F.when(none, "ERROR").when(failed, "FAILURE").when(passed, "SUCCESS").otherwise("UNKNOWN")
+    comment = F.when(none, "No analysis records.").when(passed, "All steps completed.")
     return seen.select("run_id", "repo_id", status.alias("status"), comment.alias("comment"))
 
 
