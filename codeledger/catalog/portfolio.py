@@ -569,7 +569,7 @@ def q_last_writer(t: Tables) -> DataFrame:
 # --- derived tables ---------------------------------------------------------
 
 
-def _combined_from_tables(t: Tables) -> DataFrame:
+def combined_inputs(t: Tables) -> dict[str, DataFrame]:
     metrics = history.commit_stats(commits(t), AS_OF).select(
         "repo_id",
         "activity_status",
@@ -581,7 +581,11 @@ def _combined_from_tables(t: Tables) -> DataFrame:
         F.count(F.lit(1)).cast("double").alias("percent_usage")
     )
     cloc = t.orders.select(text("o_custkey").alias("repo_id"), (F.col("o_orderkey") % 50).cast("int").alias("code"))
-    return derived.combined_repo_metrics(inventory(t), metrics, spoken, cloc)
+    return {"inventory": inventory(t), "metrics": metrics, "languages": spoken, "cloc": cloc}
+
+
+def _combined_from_tables(t: Tables) -> DataFrame:
+    return derived.combined_repo_metrics(**combined_inputs(t))
 
 
 _COMBINED_FULL = f"""

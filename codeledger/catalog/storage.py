@@ -8,10 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codeledger import schemas
-from codeledger.catalog.portfolio import _HALVES, _ROLLUP_SQL, _TOOL_KEY, _TOOLS, _halves, _tools, execution_log, text
+from codeledger.catalog.portfolio import (
+    _COMBINED_FULL,
+    _HALVES,
+    _ROLLUP_SQL,
+    _TOOL_KEY,
+    _TOOLS,
+    _halves,
+    _tools,
+    combined_inputs,
+    execution_log,
+    text,
+)
 from codeledger.catalog.registry import Tables, query
 from codeledger.operators import reports as r
 from codeledger.operators.history import size_totals
+from codeledger.plans import derived
+from codeledger.plans.refresh import IncrementalTable
 from codeledger.session import ensure_checkpoint_dir
 from codeledger.sinks.pages import paged
 from codeledger.sinks.tables import DerivedTable, KeyedTable
@@ -202,6 +215,27 @@ def q_refresh_table(t: Tables) -> DataFrame:
     return table.read()
 
 
+@query(
+    "q_incremental_refresh",
+    f"""{_COMBINED_FULL} select c.*,
+          case when repo_id::bigint % 5 = 0 and number_of_contributors is not null then 2 when repo_id::bigint % 7 = 0 then 1 else 0 end as refresh from c""",
+)
+def q_incremental_refresh(t: Tables) -> DataFrame:
+    """Three refreshes: in the second a seventh of the inventory is new, in the third a fifth has other metrics."""
+    inputs = combined_inputs(t)
+    number = F.col("repo_id").cast("bigint")
+    older = {**inputs, "metrics": inputs["metrics"].withColumn("number_of_contributors", F.when(number % 5 == 0, -1).otherwise(F.col("number_of_contributors")))}
+    gone = {name: df.where(number % 7 != 0) for name, df in older.items()}
+    extra = gone["inventory"].limit(1).withColumn("repo_id", F.lit("999999999"))  # a repository that is dropped later
+    gone["inventory"] = gone["inventory"].unionByName(extra)
+    # a repository without metrics has nothing that changes in the third
+    table = IncrementalTable(DerivedTable(t.spark, folder(t, "incremental")), lambda i: derived.combined_repo_metrics(**i))
+    for state in (gone, older, inputs):
+        table.refresh(state)
+    rows = table.read(with_refresh=True).withColumnRenamed("_refresh", "refresh").drop("updated_at")
+    return rows.withColumn("number_of_contributors", F.col("number_of_contributors").cast("bigint"))
+
+
 @query(
     "q_keyed_foreign_keys",
     """select o_custkey k, o_orderkey v from orders where o_custkey % 3 = 0
