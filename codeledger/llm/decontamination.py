@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from codeledger.llm.tables import aside, small
 from codeledger.session import checkpointed
 
 #: Shown offsets of each mask.  Together they find every window of 13 words with
@@ -54,9 +55,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` without the documents that hold a passage of a test item."""
-    found = contaminated(docs, benchmark, similarity).select(F.col("doc_id").alias("__found")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__found")), "left_anti")
+    """``docs`` without the documents that hold a passage of a test item; all columns stay as they are, whatever their names.
+
+    All rows of a contaminated id go, null ids are one id.  A null or empty text holds nothing.  An empty benchmark keeps
+    all rows, an empty table gives none.  The ids are written, and come to the texts if they are few.
+    """
+    hidden, back = aside(docs, "doc_id", "text")
+    found = checkpointed(contaminated(hidden, benchmark, similarity).select(F.col("doc_id").alias("__found")).distinct())
+    return back(hidden.join(small(found), F.col("doc_id").eqNullSafe(F.col("__found")), "left_anti"))
 
 
 def _hashed(rows: DataFrame) -> DataFrame:

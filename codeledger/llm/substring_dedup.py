@@ -39,7 +39,7 @@ from codeledger.llm.packing import (
     unpack,
     unpack_sorted,
 )
-from codeledger.llm.tables import pieces, text_bytes, with_fields
+from codeledger.llm.tables import aside, pieces, text_bytes, with_fields
 
 #: Bytes of text in a shard and window keys in a part: what a task holds.
 SHARD_BYTES = 8 << 20
@@ -73,6 +73,12 @@ def remove_repeats(docs: DataFrame, window: int = 13, keep_text: bool = True) ->
     later than every other and not earlier than another null.  Other columns
     pass through; one named like a result is replaced.  Empty table: no rows.
     """
+    if {SHARD, PART} & {c.lower() for c in docs.columns}:
+        # the caller uses the names that are used here: its columns stand aside under others
+        given = docs.drop(*[c for c in docs.columns if c.lower() in RESULT.fieldNames()])
+        hidden, _ = aside(given, "doc_id", "text")
+        rows = remove_repeats(hidden, window, keep_text)
+        return rows.withColumnsRenamed(dict(zip(hidden.columns, given.columns, strict=True)))
     size = text_bytes(docs)
     shards = pieces(size, SHARD_BYTES)
     parts = pieces(size // 6, PART_KEYS)

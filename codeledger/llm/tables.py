@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from math import ceil
 from pathlib import Path
 
@@ -14,6 +15,8 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 GAP = "[\\x20\\x09-\\x0D]+"
 
 
+#: Rows of ids or limits that go to the other side of a join as a broadcast, 20 MB or so; more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -43,6 +46,21 @@ def pieces(total: int, each: int) -> int:
     return max(1, ceil(total / each))
 
 
+def aside(docs: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with its columns but ``used`` under names that no operator takes, and a function that gives rows their own names back."""
+    names = [c if c.lower() in used else f"_extra_{i}" for i, c in enumerate(docs.columns)]
+
+    def back(rows: DataFrame) -> DataFrame:
+        return rows.select(*[F.col(new).alias(old) for new, old in zip(names, docs.columns, strict=True)])
+
+    return docs.toDF(*names), back
+
+
+def small(written: DataFrame) -> DataFrame:
+    """``written``, a stored table, to be broadcast if it has BROADCAST_ROWS rows or fewer."""
+    return F.broadcast(written) if written.count() <= BROADCAST_ROWS else written
+
+
 def with_fields(schema: T.StructType, new: T.StructType) -> T.StructType:
     """``schema`` with the fields of ``new`` at its end; a field of that name is replaced."""
     names = {f.name.lower() for f in new}
