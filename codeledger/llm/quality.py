@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from codeledger.llm.tables import aside, small
+from codeledger.session import checkpointed
+
 SPACES = " \t\n\x0b\x0c\r"
 GAP = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -139,6 +142,12 @@ def judged(rows: DataFrame, limits: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that the rules keep, with the columns of ``docs``."""
-    rows = measured(docs)
-    return judged(rows, thresholds(sketches(rows))).where("kept").select(*docs.columns)
+    """The documents that the rules keep, with the columns of ``docs`` as they are, whatever their names.
+
+    A null or empty text has no words and goes.  Repeated rows are judged one by one, and alike.  An empty table gives no rows.
+    The measures are taken once and written beside the texts; the limits, a row per language and source, come to them.
+    """
+    hidden, back = aside(docs, "text", "lang", "source")
+    rows = checkpointed(measured(hidden))
+    limits = checkpointed(thresholds(sketches(rows)))
+    return back(judged(rows, small(limits)).where("kept"))
