@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from codeledger.catalog.contents import _JDK_VALUES, files
 from codeledger.catalog.portfolio import _LANGUAGES_SQL, languages, text
 from codeledger.catalog.registry import Tables, query
 from codeledger.catalog.scanners import named
@@ -14,6 +15,8 @@ from codeledger.operators import reports as r
 from codeledger.operators import selection
 from codeledger.operators.dependencies import categorize_dependencies
 from codeledger.operators.iac import iac_matches
+from codeledger.operators.status import execution_log_rows
+from codeledger.plans.tables import build_tool_failures
 from codeledger.sources import rules as R
 
 
@@ -89,6 +92,46 @@ def q_jdk_file(t: Tables) -> DataFrame:
     return t.part.select(text("p_partkey").alias("repo_id"), b.jdk_for_gradle(version, jdks).alias("jdk"))
 
 
+def _gradle_files(t: Tables) -> DataFrame:
+    """Per part a properties file in a folder of its own number, that states a version there and nowhere else."""
+    number = (F.col("p_size") % 50).cast("string")
+    path = F.concat(F.lit("n"), number, F.lit("/gradle.properties"))
+    return files(t.part, text("p_partkey"), (path, F.concat(F.lit("v"), number, F.lit("=7."), (F.col("p_size") % 6).cast("string"))))
+
+
+@query(
+    "q_gradle_rules_file",
+    f"""with jdks(known, jdk) as (values {_JDK_VALUES}),
+        p as (select p_partkey::varchar repo_id, case when p_size % 50 < 25 then '7.' || (p_size % 6) end v from part)
+        select repo_id, v tool_version, case when v is not null then coalesce(jdk, 'JDK version unknown') end runtime_version,
+               case when v is null then 'Gradle version detection failed' end error
+        from p left join jdks on known = v""",
+)
+def q_gradle_rules_file(t: Tables) -> DataFrame:
+    """A file of version rules, one per folder, loaded and applied; half of the folders have none."""
+    number = text("n_nationkey")
+    rule = F.struct(
+        F.concat(F.lit("n"), number, F.lit("/gradle.properties")).alias("file"),
+        F.concat(F.lit("v"), number, F.lit(r"=(\d+(?:\.\d+)*)")).alias("regex"),
+    )
+    root = _stored(t, t.nation.agg(F.collect_list(rule).alias("extraction_rules")), "gradle")
+    found = b.gradle_versions(_gradle_files(t), R.load_gradle_rules(t.spark, root))
+    return found.select("repo_id", "tool_version", "runtime_version", "error")
+
+
+@query(
+    "q_build_tool_failures",
+    """select 'gradle' method_name, p_partkey::varchar repo_id, 'FAILURE' status, 'Gradle version detection failed' message
+       from part where p_size % 3 <> 0""",
+)
+def q_build_tool_failures(t: Tables) -> DataFrame:
+    """Log rows of the repositories whose Gradle files state no version by the usual rules."""
+    content = F.when(F.col("p_size") % 3 == 0, F.lit("gradleVersion = 7.1")).otherwise("org.gradle.daemon=true")
+    failures = build_tool_failures(files(t.part, text("p_partkey"), ("gradle.properties", content), ("docs/a.md", "gradleVersion = 7.2")))
+    log = execution_log_rows(failures, "gradle", "build_tools", "run", "2024-01-16 00:00:00")
+    return log.select("method_name", "repo_id", "status", "message")
+
+
 @query(
     "q_ruleset_file",
     """select p_partkey::varchar repo_id, 'path-' || (p_size % 25) ruleset from part where p_size % 25 <> 24""",

@@ -12,7 +12,7 @@ from codeledger.sources.rules import IacRule
 
 SF_DIR = "/root/testdata/sf0.001"
 STORING = {"q_incremental_ingest", "q_keyed_table", "q_keyed_insert", "q_keyed_foreign_keys", "q_upsert_table", "q_refresh_table", "q_late_reports", "q_status_stream", "q_page_by_range", "q_incremental_refresh", "q_report_files", "q_file_corpus",
-           "q_rule_files", "q_iac_rule_files", "q_jdk_file", "q_ruleset_file"} | {q for q in contract.queries() if q.startswith("op") or q == "pipeline"}
+           "q_rule_files", "q_iac_rule_files", "q_jdk_file", "q_ruleset_file", "q_gradle_rules_file"} | {q for q in contract.queries() if q.startswith("op") or q == "pipeline"}
 
 
 def plan_of(df):
