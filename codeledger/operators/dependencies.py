@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from codeledger.functions.scalars import non_empty, runtime_entry, strip
 from codeledger.operators.lists import keep_first
 from codeledger.operators.reports import artifact_columns, syft_artifacts
-from codeledger.operators.rule_index import RuleIndex, first_by_case
+from codeledger.operators.rule_index import CASE_RULES, RuleIndex, first_by_case
 from codeledger.sources.rules import CategoryRule
 
+# Rules beyond which looking them up is cheaper than trying them in order.
 INDEXED_RULES = 100
 LABEL = "struct<category: string, sub_category: string, framework: string>"
 
@@ -32,7 +33,7 @@ def _labelled(names: DataFrame, rules: list[CategoryRule], indexed: bool) -> Dat
     if indexed:
         picked = RuleIndex(names.sparkSession, rules).first_matches(names)
     else:
-        picked = names.withColumn("_rule", F.expr(first_by_case(list(enumerate(rules)))))
+        picked = names.withColumn("_rule", F.expr(first_by_case(list(enumerate(rules)), CASE_RULES)))
     labels = names.sparkSession.createDataFrame(
         [(number, (r.category, r.sub_category, r.framework)) for number, r in enumerate(rules)],
         f"_rule int, label {LABEL}",

@@ -21,10 +21,10 @@ INDEX = "kind string, gram string, factor string, _rule int, plain string, regex
 CASE_RULES = 200
 
 
-def first_by_case(rules: Sequence[tuple[int, CategoryRule]]) -> str:
+def first_by_case(rules: Sequence[tuple[int, CategoryRule]], case_rules: int = CASE_RULES) -> str:
     """SQL for the number of the first rule that hits ``package_name`` of the package type ``ptype``.
 
-    A CASE has at most CASE_RULES rules, so that its generated code stays small; COALESCE tries
+    A CASE has at most ``case_rules`` rules, so that its generated code stays small; COALESCE tries
     the next only where the one before found none.
     """
     by_type: dict[str, list[str]] = {}
@@ -33,7 +33,7 @@ def first_by_case(rules: Sequence[tuple[int, CategoryRule]]) -> str:
         by_type.setdefault(rule.package_type, []).append(f"WHEN {hit} THEN {number}")
     types = []
     for kind, whens in by_type.items():
-        cases = [f"CASE {' '.join(whens[i : i + CASE_RULES])} END" for i in range(0, len(whens), CASE_RULES)]
+        cases = [f"CASE {' '.join(whens[i : i + case_rules])} END" for i in range(0, len(whens), case_rules)]
         types.append(f"WHEN {sql_text(kind)} THEN COALESCE({', '.join(cases)})")
     return f"CASE ptype {' '.join(types)} END"
 
