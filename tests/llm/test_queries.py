@@ -24,6 +24,7 @@ ROWS = {
     "op4_quotation_links": "conversations",
     "op5_bit_sliced_simhash": "documents",
     "op9_seekable_token_frames": "documents",
+    "op13_license_scan": "documents",
 }
 
 
