@@ -160,7 +160,8 @@ h as (select lang, source, m, least, if(v < 32, v, (v >> (length(bin(v)) - 5)) <
 k as (select *, sum(n) over (partition by lang, source, m order by bin) as below, sum(n) over (partition by lang, source, m) as total from h),
 q as (select lang, source, m, any_value(least) as least, min(bin) filter (4 * below >= total) as q1,
     min(bin) filter (4 * below >= 3 * total) as q3 from k group by all),
-z as (select lang, source, m, q1 - 3 * greatest(q3 - q1, least) as low, q3 + 3 * greatest(q3 - q1, least) as high from q),
+u as (select *, greatest(3 * greatest(q3 - q1, least), 1 << greatest(length(bin(q3)) - 5, 0)) as reach from q),
+z as (select lang, source, m, q1 - reach as low, q3 + reach as high from u),
 o as (
   select y.doc_id, count(*) filter (case m when 'symbols' then symbols when 'dup_lines' then dup_lines when 'repeats' then repeats
     else word_length end between low and high) as good
@@ -272,7 +273,8 @@ def op12_stripe_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP12_SQL = r"""
 with p as (select coalesce(lang, 'und') as lang, unnest(string_split_regex(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')) as piece from documents),
+-
+]')) as piece from documents),
 w as (select lang, regexp_extract_all(piece, '[^ 	]+') as w from p),
 g as (select lang, unnest(w) as phrase, 1 as k from w
   union all select lang, unnest([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]), 2 from w
