@@ -6,8 +6,9 @@ hash range they belong to; each part answers which of them an earlier shard
 holds.  This confirms the recurring passages, runs of recurring windows.  Each
 shard then compiles phrases of its passages, spaced so that every window holds one
 whole, into Aho-Corasick automata of bounded size and streams all its documents
-through them.  Wherever a phrase occurs, the windows around it are looked up among
-the confirmed ones; the words they cover go.
+through them.  The matches decide what is looked at: around each, the windows that
+hold it are compared word by word with the confirmed window of their hash; the
+words of equal ones go.  A window without a match stays.
 
 A window is sent once per shard, whatever the number of its copies, so no
 phrase makes a task grow.  Texts are shuffled once, for both passes.
@@ -22,7 +23,6 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -130,13 +130,9 @@ class _Shard:
         self.at = np.flatnonzero(self.doc_of[:last] == self.doc_of[len(self.words) - last :])
         self.vocabulary = len(hashes)
         per_word = [np.ascontiguousarray(hashes[:, i])[self.words] for i in (0, 1)]
-        keys = rolling(per_word[0], window, BASES[0])[self.at]
-        checks = (rolling(per_word[1], window, BASES[1])[self.at] >> np.uint64(48)).astype(np.uint16)
-        whole = np.frombuffer(b"".join(xxhash.xxh3_128_digest(b"\n" + (t or b"")) for t in self.texts), ">u8")
-        whole = whole.astype(np.uint64).reshape(-1, 2)
-        self.keys = np.concatenate([keys, whole[:, 0]])
-        self.checks = np.concatenate([checks, (whole[:, 1] >> np.uint64(48)).astype(np.uint16)])
-        self.docs = np.concatenate([self.doc_of[self.at], np.arange(len(self.texts))])
+        self.keys = rolling(per_word[0], window, BASES[0])[self.at]
+        self.checks = (rolling(per_word[1], window, BASES[1])[self.at] >> np.uint64(48)).astype(np.uint16)
+        self.docs = self.doc_of[self.at]
         self.order, self.first = distinct(self.keys, self.checks)
 
 
@@ -232,27 +228,45 @@ def _answers(shard: _Shard, known: pa.Table, parts: int) -> np.ndarray:
 
 def _covered(shard: _Shard, earlier: np.ndarray, window: int) -> np.ndarray:
     """Per word, whether a recurring window of an earlier document covers it."""
-    group = np.cumsum(shard.first) - 1
-    docs = shard.docs[shard.order]
-    windows = shard.order < len(shard.at)
-    holder = shard.ids[docs[shard.first]]
-    repeat = earlier[group] | (holder[group] < shard.ids[docs])
-
-    copy = np.zeros(len(shard.texts), bool)
-    copy[docs[repeat & ~windows]] = True
-    gone = (copy & (shard.lengths >= window))[shard.doc_of]
-
-    # the recurring windows, each where it stands first, as passages: runs of places
-    wanted = np.unique(group[repeat & windows & ~copy[docs]])
-    begin = np.sort(shard.at[shard.order[shard.first][wanted]])
-    located = _occurrences(shard, _phrases(begin, window), _phrase_length(window))
-    near = np.concatenate([[0], np.cumsum(located)])
-    reach = window - _phrase_length(window) + 1
-    recurring = np.zeros(len(shard.at), bool)
-    recurring[shard.order[repeat & windows]] = True
-    start = shard.at[recurring & (near[np.minimum(shard.at + reach, len(near) - 1)] > near[shard.at])]
-    cover = np.bincount(start, minlength=len(shard.words) + 1) - np.bincount(start + window, minlength=len(shard.words) + 1)
-    return gone | (np.cumsum(cover)[:-1] > 0)
+    gone = np.zeros(len(shard.words), bool)
+    if not len(shard.at):
+        return gone
+    # the distinct windows, each where it stands first and last in the order of ids
+    starts = np.flatnonzero(shard.first)
+    first, last = shard.order[starts], shard.order[np.append(starts[1:], len(shard.order)) - 1]
+    holder = shard.ids[shard.docs[first]]
+    confirmed = earlier | (holder < shard.ids[shard.docs[last]])
+    keys, places = shard.keys[first][confirmed], shard.at[first[confirmed]]
+    # documents with a larger id lose the window
+    after = np.where(earlier, np.iinfo(np.int64).min, holder)[confirmed]
+
+    length = _phrase_length(window)
+    near = np.concatenate([[0], np.cumsum(_occurrences(shard, _phrases(np.sort(places), window), length))])
+    around = np.flatnonzero(near[shard.at + window - length + 1] > near[shard.at])
+    at = shard.at[_equal_windows(shard, around, keys, places, after, window)]
+    cover = np.bincount(at, minlength=len(gone) + 1) - np.bincount(at + window, minlength=len(gone) + 1)
+    return np.cumsum(cover)[:-1] > 0
+
+
+def _equal_windows(
+    shard: _Shard, around: np.ndarray, keys: np.ndarray, places: np.ndarray, after: np.ndarray, window: int
+) -> np.ndarray:
+    """Those of the windows ``around`` matches whose words are the words at one of ``places``, in a document after it.
+
+    ``keys``, in order, are the hashes of the windows at ``places``: they name the place to compare with, the words decide.
+    """
+    found, to = [around[:0]], np.searchsorted(keys, shard.keys[around])
+    while len(around):
+        held = np.flatnonzero(to < len(keys))
+        held = held[keys[to[held]] == shard.keys[around[held]]]
+        around, to = around[held], to[held]
+        equal = np.ones(len(around), bool)
+        for word in range(window):
+            equal &= shard.words[shard.at[around] + word] == shard.words[places[to] + word]
+        found.append(around[equal & (shard.ids[shard.docs[around]] > after[to])])
+        # another window of the same hash may follow
+        around, to = around[~equal], to[~equal] + 1
+    return np.concatenate(found)
 
 
 def _phrase_length(window: int) -> int:

@@ -121,6 +121,40 @@ def test_automata_find_every_occurrence(monkeypatch):
     assert substring_dedup._occurrences(shard, places, 7).tolist() == want
 
 
+def test_matches_decide_what_is_removed(monkeypatch):
+    rows = [(d, t) for d, t in corpus() if d is not None]
+    table = pa.table({"doc_id": [d for d, _ in rows], "text": [t for _, t in rows]})
+    shard = substring_dedup._Shard(substring_dedup._in_order(table), 13)
+    looked = []
+
+    def equal(shard, around, *rest):
+        looked.append(len(around))
+        return compare(shard, around, *rest)
+
+    compare, locate = substring_dedup._equal_windows, substring_dedup._occurrences
+    monkeypatch.setattr(substring_dedup, "_equal_windows", equal)
+    none = np.zeros(int(shard.first.sum()), bool)
+    gone = []
+    for found in (locate, lambda s, *_: np.ones(len(s.words), bool), lambda s, *_: np.zeros(len(s.words), bool)):
+        monkeypatch.setattr(substring_dedup, "_occurrences", found)
+        gone.append(substring_dedup._covered(shard, none, 13))
+    # without matches nothing is compared and nothing goes; with matches everywhere all is compared and no more goes
+    assert gone[0].any() and (gone[0] == gone[1]).all() and not gone[2].any()
+    assert looked[2] == 0 < looked[0] < looked[1] == len(shard.at)
+
+
+def test_words_decide_where_hashes_are_equal(monkeypatch):
+    monkeypatch.setattr(substring_dedup, "rolling", lambda hashes, width, base: np.zeros(max(0, len(hashes) - width + 1), np.uint64))
+    rows = [(1, prose(40)), (2, prose(60)), (3, prose(30))]
+    rows.append((4, " ".join(rows[1][1].split()[10:40])))
+    table = pa.table({"doc_id": [d for d, _ in rows], "text": [t for _, t in rows]})
+    shard = substring_dedup._Shard(substring_dedup._in_order(table), 13)
+    around, places = np.arange(len(shard.at)), shard.at[shard.docs == 1]
+    after = np.full(len(places), 2)
+    equal = substring_dedup._equal_windows(shard, around, np.zeros(len(places), np.uint64), places, after, 13)
+    assert sorted(equal.tolist()) == np.flatnonzero(shard.docs == 3).tolist()
+
+
 @pytest.mark.parametrize("window", [1, 2, 5, 8, 13])
 def test_every_window_of_a_passage_holds_a_phrase(window):
     begin = np.array([3, *range(20, 61), 70, 71, *range(100, 107)])
