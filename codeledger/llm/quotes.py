@@ -3,7 +3,8 @@
 Lines that begin with ``>`` are quotations, one level for each mark.  A passage is
 a run of lines of one level; its normalised hash, and those of its lines, are
 joined to the passages that messages say themselves.  What is left of a message
-without its quotations, put in order of replies, is the conversation.
+without its quotations, put in order of replies, is the conversation: every message
+has its place in a walk through the tree of replies, found by doubling pointers.
 """
 
 from __future__ import annotations
@@ -16,11 +17,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from codeledger.operators.selection import number_rows
 from codeledger.session import checkpointed
 
 MARKS = re.compile(r"(?:[ \t]{0,3}>)+")
-#: A line that announces a quotation, if a quotation follows it.
-ANNOUNCES = re.compile(r"[^\n]{0,200}(?:wrote|writes|schrieb|a écrit|escribió)\s*:\s*")
+#: How a line ends that announces the quotation below it, before its colon, and how such an announcement begins.
+ANNOUNCES = ("wrote", "writes", "schrieb", "a écrit", "escribió")
+BEGINS = re.compile(r"[ \t]*(?:On|Am|Le|El)[ \t]")
 MAX_ROUNDS = 64
 
 MESSAGE = "conv_id long, turn long, role string, body string, n_quotes int, max_level int, said array<long>, "
@@ -31,13 +34,14 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     """The messages without quotations, each with the one it replies to.
 
     Returns conv_id, turn, role, body, n_quotes (quoted passages), n_linked,
-    max_level, reply_conv, reply_turn, thread_conv, thread_turn, depth.  A passage
+    max_level, reply_conv, reply_turn, thread_conv, thread_turn, depth, position.  A passage
     belongs to the first message that says it: the first of its own conversation
     if that is earlier, else the first of all conversations with a smaller conv_id.
     The whole passage is looked up first, then its lines.  A message replies to the
     original of its first linked passage of the lowest level.  thread and depth lead
-    to the message at the start of the chain of replies, itself without one; sorted by
-    thread_conv, thread_turn, depth, conv_id and turn, replies follow what they answer.
+    to the message at the start of the chain of replies, itself without one.  position is
+    the place in reply order, 0 for the start: after a message come its replies by conv_id
+    and turn, each with all that follows it before the next.
 
     A null text is empty.  A message with a null conv_id or turn is linked to none.
     Repeated rows each give a row, and links are those of all rows with that
@@ -52,13 +56,12 @@ def link_quotes(messages: DataFrame) -> DataFrame:
         F.min(F.struct("level", "no", "to_conv", "to_turn")).alias("best"), F.count(F.lit(1)).alias("n")
     )
     first = first.select("conv_id", "turn", F.col("best.to_conv").alias("reply_conv"), F.col("best.to_turn").alias("reply_turn"))
-    chains = _chains(first)
+    replies = _positions(first.join(_chains(first), ["conv_id", "turn"]))
     copies = parsed.select("conv_id", "turn", F.explode("quotes").alias("q")).select("conv_id", "turn", "q.no", "q.passage")
     counts = linked.select("conv_id", "turn", "no", "passage").distinct()
     counts = copies.join(counts, ["conv_id", "turn", "no", "passage"]).distinct()
     counts = counts.groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("n_linked"))
-    out = parsed.drop("said", "quotes").join(first, ["conv_id", "turn"], "left").join(counts, ["conv_id", "turn"], "left")
-    out = out.join(chains, ["conv_id", "turn"], "left")
+    out = parsed.drop("said", "quotes").join(replies, ["conv_id", "turn"], "left").join(counts, ["conv_id", "turn"], "left")
     return out.select(
         "conv_id",
         "turn",
@@ -72,6 +75,7 @@ def link_quotes(messages: DataFrame) -> DataFrame:
         F.coalesce("thread_conv", "conv_id").alias("thread_conv"),
         F.coalesce("thread_turn", "turn").alias("thread_turn"),
         F.coalesce("depth", F.lit(0)).alias("depth"),
+        F.coalesce("position", F.lit(0)).cast("long").alias("position"),
     )
 
 
@@ -82,7 +86,8 @@ def _linked(parsed: DataFrame) -> DataFrame:
     # the first speaker of a passage: partial minima, so a common line is one row per task
     in_conv = said.groupBy("hash", "conv_id").agg(F.min("turn").alias("own_turn"))
     overall = in_conv.groupBy("hash").agg(F.min(F.struct("conv_id", "own_turn")).alias("of_all"))
-    asked = parsed.select("conv_id", "turn", F.explode("quotes").alias("q")).select("conv_id", "turn", "q.*")
+    asked = parsed.where("conv_id is not null and turn is not null")
+    asked = asked.select("conv_id", "turn", F.explode("quotes").alias("q")).select("conv_id", "turn", "q.*")
     # rank 0 is the whole passage, then its lines in order
     each = F.concat(F.array("passage"), "lines")
     asked = asked.select("conv_id", "turn", "no", "level", "passage", F.posexplode(each).alias("rank", "hash"))
@@ -132,6 +137,49 @@ def _chains(first: DataFrame) -> DataFrame:
     raise RuntimeError(f"reply chains do not end within {MAX_ROUNDS} rounds")
 
 
+def _positions(replies: DataFrame) -> DataFrame:
+    """``replies`` with their place in reply order, from 1 in each thread.
+
+    A walk around the tree enters and leaves every reply once.  Entries point to the
+    next one; every round doubles the length of the pointers and adds up how many replies
+    are entered from there on, until all have come to the end of their thread.  No task
+    holds a thread: entries are rows, whatever the number of replies to one message.
+    """
+    parent = ["reply_conv", "reply_turn"]
+    # replies to one message are numbered side by side, in the order in which they are read
+    keyed = replies.withColumn("edge", F.struct(*parent, "conv_id", "turn"))
+    edges = checkpointed(number_rows(keyed, "edge").drop("edge"))
+    ends = edges.groupBy(*parent).agg(F.min("row_no").alias("first_no"), F.max("row_no").alias("last_no"))
+    below = ends.select(F.col("reply_conv").alias("conv_id"), F.col("reply_turn").alias("turn"), "first_no")
+    above = edges.select(F.col("conv_id").alias("reply_conv"), F.col("turn").alias("reply_turn"), F.col("row_no").alias("parent_no"))
+    walk = edges.join(ends.drop("first_no"), parent).join(above, parent, "left").join(below, ["conv_id", "turn"], "left")
+    enter, leave = 2 * F.col("row_no"), 2 * F.col("row_no") + 1
+    on = F.when(F.col("row_no") < F.col("last_no"), enter + 2).otherwise(2 * F.col("parent_no") + 1)
+    entries = walk.select(
+        F.explode(
+            F.array(
+                F.struct(enter.alias("entry"), F.coalesce(2 * F.col("first_no"), leave).alias("next"), F.lit(1).cast("long").alias("after")),
+                F.struct(leave.alias("entry"), on.alias("next"), F.lit(0).cast("long").alias("after")),
+            )
+        ).alias("e")
+    ).select("e.*")
+    entries = checkpointed(entries)
+    for _ in range(MAX_ROUNDS):
+        running = entries.where("next is not null")
+        if running.isEmpty():
+            break
+        ahead = entries.select(F.col("entry").alias("next"), F.col("next").alias("next_but_one"), F.col("after").alias("more"))
+        moved = running.join(ahead, "next").select("entry", F.col("next_but_one").alias("next"), (F.col("after") + F.col("more")).alias("after"))
+        entries = checkpointed(moved.union(entries.where("next is null")))
+    else:
+        raise RuntimeError(f"reply order does not settle within {MAX_ROUNDS} rounds")
+    ranked = entries.where("entry % 2 = 0").select(F.expr("entry div 2").alias("row_no"), "after")
+    ranked = edges.join(ranked, "row_no").drop("row_no")
+    thread = ["thread_conv", "thread_turn"]
+    whole = ranked.groupBy(*thread).agg(F.max("after").alias("whole"))
+    return ranked.join(whole, thread).withColumn("position", F.col("whole") - F.col("after") + 1).drop("whole", "after")
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         parsed = [parse_message(t or "") for t in batch.column("text").to_pylist()]
@@ -165,9 +213,10 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def parse_message(text: str) -> tuple[str, list[tuple[int, list[str]]]]:
     """(what the message says itself, its quoted passages as (level, lines)).
 
-    Blank quoted lines part passages.  The line that announces a quotation goes with it.
+    Blank quoted lines part passages.  What announces a quotation goes with it: the line above, and
+    if an announcement begins further up in the same paragraph, all lines from there.
     """
-    body, found, level_before = [], [], 0
+    body, found, level_before, since = [], [], 0, 0
     for line in text.split("\n"):
         marks = MARKS.match(line)
         level = marks.group().count(">") if marks else 0
@@ -177,8 +226,8 @@ def parse_message(text: str) -> tuple[str, list[tuple[int, list[str]]]]:
             if not level_before:
                 while body and not body[-1].strip():
                     body.pop()
-                if body and ANNOUNCES.fullmatch(body[-1]):
-                    body.pop()
+                del body[_announcement(body, since) :]
+                since = len(body)
             content = line[marks.end() :].strip()
             if not content:
                 level_before = -level  # the passage is over, the quotation is not
@@ -190,6 +239,19 @@ def parse_message(text: str) -> tuple[str, list[tuple[int, list[str]]]]:
     return "\n".join(body).strip("\n"), found
 
 
+def _announcement(body: list[str], since: int) -> int:
+    """The line, from ``since`` on, where an announcement at the end of ``body`` begins; the end if there is none."""
+    line = body[-1].rstrip() if len(body) > since else ""
+    if not (line.endswith(":") and line[:-1].rstrip().endswith(ANNOUNCES)):
+        return len(body)
+    for at in range(len(body) - 1, since - 1, -1):
+        if not body[at].strip():
+            break
+        if BEGINS.match(body[at]):
+            return at
+    return len(body) - 1
+
+
 def passages(body: str) -> Iterator[str]:
     """What a quotation may repeat: the whole text, its paragraphs and its lines."""
     yield body

@@ -3,6 +3,7 @@
 import glob
 import hashlib
 import random
+import re
 import struct
 import zlib
 from collections import defaultdict
@@ -233,6 +234,111 @@ def test_quotes(llm):
     assert of(7, 3) == ("", 1, 1, 1, (1, 2), (1, 0), 3)
 
 
+def quotes_by_hand(rows):
+    """Plain links and reply order: passages as word lists, originals by search, a walk through each tree."""
+
+    def norm(text):
+        return tuple(re.findall(r"\w+", text.casefold()))
+
+    def split(text):
+        said, quoted, run = [], [], None
+        for line in (text or "").split("\n"):
+            marks = re.match(r"(?:[ \t]{0,3}>)*", line).group()
+            level, rest = marks.count(">"), line[len(marks) :].strip()
+            if not level:
+                said.append(line)
+                run = None
+            elif not rest:
+                run = None
+            elif run is not None and quoted[-1][0] == level:
+                quoted[-1][1].append(rest)
+            else:
+                quoted.append((level, [rest]))
+                run = level
+        return "\n".join(said).strip("\n"), quoted
+
+    speakers = defaultdict(set)
+    for conv, turn, _, text in rows:
+        if conv is not None and turn is not None:
+            said = split(text)[0]
+            for part in [said, *re.split(r"\n\s*\n", said), *said.split("\n")]:
+                speakers[norm(part)].add((conv, turn))
+
+    def original(conv, turn, lines):
+        for words in [norm(" ".join(lines)), *map(norm, lines)]:
+            by = speakers[words] if words else ()
+            own = [s for s in by if s[0] == conv and s[1] < turn]
+            of_all = min(by, default=None)
+            to = min(s for s in by if s[0] == conv) if own else of_all if of_all and of_all[0] < conv else None
+            if to:
+                return to
+        return None
+
+    reply = {}
+    for conv, turn, _, text in rows:
+        links = [(level, no, to) for no, (level, lines) in enumerate(split(text)[1]) if (to := original(conv, turn, lines))]
+        if links:
+            reply[conv, turn] = min(links)[2]
+    children = defaultdict(list)
+    for message in sorted(reply):
+        children[reply[message]].append(message)
+    order = {}
+    for start in set(children) - set(reply):
+        stack, n = [(start, 0)], 0
+        while stack:
+            message, depth = stack.pop()
+            order[message] = (*start, depth, n)
+            n += 1
+            stack += [(c, depth + 1) for c in reversed(children[message])]
+    return {(c, t): (split(x)[0], reply.get((c, t), (None, None)), order.get((c, t), (c, t, 0, 0))) for c, t, _, x in rows}
+
+
+def test_quotes_in_nested_threads(llm):
+    pick = random.Random(0)
+    texts, rows = {}, []
+    for conv in range(6):
+        for turn in range(25):
+            own = [f"say {pick.randrange(400)} of {pick.randrange(3)}" for _ in range(pick.choice([1, 1, 2, 3]))]
+            if pick.random() < 0.03:
+                own.append(" ".join(f"w{i}" for i in range(60_000)))
+            quoted = []
+            if texts and pick.random() < 0.85:
+                # one message is quoted again and again; others from anywhere, with their own quotations a level deeper
+                told = texts[0, 0] if (0, 0) in texts and pick.random() < 0.3 else texts[pick.choice(list(texts))]
+                quoted = [">" + (" " if not x.startswith(">") else "") + x for x in told.split("\n")]
+            lines = own + quoted if pick.random() < 0.5 else quoted + own
+            texts[conv, turn] = "\n".join(lines)
+            rows.append((conv, turn, "user", texts[conv, turn]))
+    # a thread as deep as it is long
+    rows += [(9, i, "x", f"deep {i} step" + (f"\n> deep {i - 1} step" if i else "")) for i in range(40)]
+    want = quotes_by_hand(rows)
+    frame = llm.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    found = quotes.link_quotes(frame).collect()
+    got = {
+        (r.conv_id, r.turn): (r.body, (r.reply_conv, r.reply_turn), (r.thread_conv, r.thread_turn, r.depth, r.position)) for r in found
+    }
+    assert got == want
+    assert sum(reply != (None, None) for _, reply, _ in want.values()) > 80 and max(o[2] for _, _, o in want.values()) == 39
+    assert max(len(v) for v in [[m for m in want if want[m][1] == to] for to in {w[1] for w in want.values()} - {(None, None)}]) > 10
+
+
+def test_announcements_go_whole():
+    long = "On " + "day " * 300 + "A wrote:"
+    for above, left in (
+        (long, ""),
+        ("Yes.\n\n" + long, "Yes."),
+        ("Yes.\n\nOn Monday, at noon,\nA B <a@b.org>\nwrote:", "Yes."),
+        ("Yes.\nOn Monday A\nwrote :\n", "Yes."),
+        ("On this I agree.\n\nA writes:", "On this I agree."),
+        ("Am Montag\nschrieb A:", "Am Montag\nschrieb A:"),
+        ("A wrote: no", "A wrote: no"),
+    ):
+        assert quotes.parse_message(above + "\n> Hello.") == (left, [(1, ["Hello."])])
+    # what stands above an earlier quotation is no part of a later announcement
+    assert quotes.parse_message("On it.\n> a\nwrote:\n> b") == ("On it.", [(1, ["a"]), (1, ["b"])])
+    assert quotes.parse_message("wrote:\n" * 3)[0] == "wrote:\n" * 2 + "wrote:"
+
+
 def brute_pipeline(rows, items, llm):
     """The stages in plain Python; the limits of the quality rules come from the operator's table."""
     docs = llm.createDataFrame([(i, t, "en", "src0", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
