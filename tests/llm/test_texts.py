@@ -15,7 +15,7 @@ import sentencepiece
 import xxhash
 from pyspark.sql import functions as F
 
-from codeledger.llm import decontamination, lm_scores, near_copies, quality, sentencepiece_codec, simhash, substring_dedup
+from codeledger.llm import backoff_join, decontamination, lm_scores, near_copies, quality, sentencepiece_codec, simhash, substring_dedup
 from codeledger.llm.packing import cut, distinct, pack, pack_sorted, rolling, unpack, unpack_sorted
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
@@ -636,6 +636,13 @@ def test_backoff(documents, monkeypatch, shard_bytes, order):
     assert sorted(str(tuple(r)) for r in got) == backoff_by_hand(rows, order)
 
 
+@pytest.mark.parametrize("order, min_count", [(3, 2), (3, 1), (1, 2), (5, 2)])
+def test_backoff_by_joins(documents, order, min_count):
+    rows = corpus()
+    got = backoff_join.score(documents(rows).withColumn("n_words", F.lit("clash")), order=order, min_count=min_count).collect()
+    assert sorted(str(tuple(r)) for r in got) == backoff_by_hand(rows, order, min_count)
+
+
 def test_empty_tables(documents, llm):
     docs = documents([])
     benchmark = llm.createDataFrame([], "item_id long, text string")
@@ -649,3 +656,4 @@ def test_empty_tables(documents, llm):
     assert decontamination.remove_contaminated(documents([(1, prose(30))]), benchmark).count() == 1
     assert quality.keep_good(docs).count() == 0
     assert lm_scores.score(docs).count() == 0
+    assert backoff_join.score(docs).count() == 0
