@@ -29,7 +29,7 @@ from codeledger.session import ensure_checkpoint_dir
 from codeledger.sinks.pages import paged
 from codeledger.sinks.tables import DerivedTable, KeyedTable
 from codeledger.sources.files import read_repo_files
-from codeledger.sources.reports import read_reports
+from codeledger.sources.reports import read_reports, write_report_files
 from codeledger.streaming.ingest import ReportIngest, report_table_stream
 from codeledger.streaming.status import StatusStream, log_table_stream
 
@@ -78,7 +78,7 @@ def q_report_files(t: Tables) -> DataFrame:
     root = folder(t, "reports")
     body = _vulnerabilities(_cve("CVE-a-"), _cve("CVE-b-"))
     reports = t.supplier.select(F.lit("trivy").alias("tool"), text("s_suppkey").alias("repo_id"), body.alias("body"))
-    reports.write.partitionBy("tool", "repo_id").text(root)
+    write_report_files(reports, root)
     return r.parse_trivy(read_reports(t.spark, root)).select("repo_id", "vulnerability_id", "target")
 
 

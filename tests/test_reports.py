@@ -4,6 +4,7 @@ from codeledger.operators import reports as r
 from codeledger.operators.dependencies import sbom_dependencies
 from codeledger.operators.reports import syft_artifacts
 from codeledger.plans.profile import loc_totals
+from codeledger.sources import reports as sources
 from codeledger.sources.reports import read_reports
 
 from helpers import reports, rows
@@ -176,3 +177,16 @@ def test_report_files(spark, tmp_path):
     (folder / "org%2Frepo one.json").write_text('{\n "Results": []\n}')
     found = read_reports(spark, str(tmp_path)).collect()
     assert [tuple(x) for x in found] == [("org/repo one", "trivy", '{\n "Results": []\n}')]
+
+
+def test_report_files_are_written_by_all_tasks(spark, tmp_path):
+    ids = [f"r{i}" for i in range(300)] + ["a/b c+d%41", "_x", ".y", "=", "é", None]
+    given = [("trivy", i, f'{{"id": "{i}"}}') for i in ids] + [("trivy", "r1", "again"), ("grype", "r1", None)]
+    df = spark.createDataFrame(given, "tool string, repo_id string, body string").coalesce(1)
+    sources.write_report_files(df, f"{tmp_path}/made")
+    found = {(r.tool, r.repo_id): sorted(r.body.split("\n")) for r in sources.read_reports(spark, f"{tmp_path}/made").collect()}
+    want = {("trivy", i or "__HIVE_DEFAULT_PARTITION__"): ["", f'{{"id": "{i}"}}'] for i in ids}
+    assert found == {**want, ("trivy", "r1"): ["", "again", '{"id": "r1"}'], ("grype", "r1"): ["", ""]}
+    # no folder for each report
+    assert sorted(p.name for p in (tmp_path / "made").iterdir()) == ["grype", "trivy"]
+    assert len([p for p in (tmp_path / "made" / "trivy").iterdir() if p.is_file()]) == len(ids)
