@@ -16,6 +16,10 @@ from codeledger.plans.tables import build_tools_table, dependency_table
 from codeledger.sources.rules import CategoryRule, IacRule, gradle_jdk_map
 
 
+#: Tasks a core that work on files made of parts.
+PART_TASKS = 4
+
+
 def lit(value) -> Column:
     return F.lit(value)
 
@@ -36,6 +40,14 @@ def files(rows: DataFrame, repo: Column, *entries: tuple) -> DataFrame:
     )
 
 
+def dealt_parts(t: Tables) -> DataFrame:
+    """Part rows dealt over all cores, for files that cost far more than the row they are made of.
+
+    The splits of a scan don't tell: a file of few row groups is read by as few tasks.
+    """
+    return t.part.repartition(PART_TASKS * t.spark.sparkContext.defaultParallelism)
+
+
 def part_no() -> Column:
     return F.col("p_partkey")
 
@@ -145,7 +157,7 @@ def _gradle_files(t: Tables) -> DataFrame:
         ":extra'\n  compile { group: 'm.", group, "', name: '", slug(), "', version: '", size,
         "' }\n  compileOnly {\n group : \"n\" , name : \"", slug(), "\" }\n  kapt 'not:counted:1'\n}\n",
     )
-    return files(t.part, text("p_partkey"), ("build.gradle", build))
+    return files(dealt_parts(t), text("p_partkey"), ("build.gradle", build))
 
 
 _GRADLE_DEPS_SQL = f"""
@@ -186,7 +198,7 @@ def _module_files(t: Tables) -> DataFrame:
     dep = concat("implementation 'g:", slug(), ":", part_size().cast("string"), "'")
     settings = concat("include ':lib:core', ':other'\ninclude 'gone.", key, "'\n")
     return files(
-        t.part,
+        dealt_parts(t),
         F.col("p_brand"),
         (concat(root, "/build.gradle"), dep),
         (concat(root, "/gradle.lockfile"), "", part_size() % 3 == 0),
@@ -330,7 +342,7 @@ def q_maven(t: Tables) -> DataFrame:
         ".1-bin.zip\n",
     )
     rows = files(
-        t.part,
+        dealt_parts(t),
         concat(F.col("p_brand"), "/", F.floor(part_no() / 3).cast("string")),
         (concat(folder, "pom.xml"), pom),
         (concat(folder, ".mvn/wrapper/maven-wrapper.properties"), wrapper, part_no() % 7 < 4),
@@ -352,7 +364,7 @@ def q_maven(t: Tables) -> DataFrame:
 def q_go(t: Tables) -> DataFrame:
     kind, key = part_size() % 6, text("p_partkey")
     rows = files(
-        t.part,
+        dealt_parts(t),
         key,
         ("go.mod", concat("module x\n\ngo  1.", part_size().cast("string"), "\r\n\nrequire y v1\n"), kind == 0),
         ("Gopkg.toml", "", kind.isin(0, 1)),
@@ -397,7 +409,7 @@ def q_js(t: Tables) -> DataFrame:
         concat("{", manager, deps, '"engines": ', engines, ', "name": "x"}')
     )
     rows = files(
-        t.part,
+        dealt_parts(t),
         F.col("p_brand"),
         (concat(folder, "package.json"), package),
         (concat(folder, "yarn.lock"), "", part_no() % 4 == 0),
@@ -427,7 +439,7 @@ def q_python_tools(t: Tables) -> DataFrame:
     section = F.when(part_size() % 3 == 0, "[tool.poetry]\n").otherwise("[project]\n")
     setup = concat("setup(setup_requires=['setuptools>=4.", size, "'], python_requires='>=3.", size, "')")
     rows = files(
-        t.part,
+        dealt_parts(t),
         text("p_partkey"),
         ("poetry.lock", concat('poetry-version = "1.', size, '"'), part_size() % 2 == 0),
         ("pyproject.toml", concat(section, 'python = "^3.', size, '"\n'), part_no() % 2 == 0),
@@ -450,7 +462,7 @@ def q_python_tools(t: Tables) -> DataFrame:
 def q_project_kind(t: Tables) -> DataFrame:
     key = text("p_partkey")
     rows = files(
-        t.part,
+        dealt_parts(t),
         concat(F.col("p_brand"), "/", F.floor(part_no() / 4).cast("string")),
         (concat("a/", key, "/build.gradle.kts"), "", part_size() % 4 == 0),
         (concat("bin/", key, "/build.gradle"), "", part_size() % 4 == 1),
@@ -549,7 +561,7 @@ def q_signals(t: Tables) -> DataFrame:
 def q_build_tools_table(t: Tables) -> DataFrame:
     key, size = text("p_partkey"), part_size().cast("string")
     rows = files(
-        t.part,
+        dealt_parts(t),
         key,
         ("gradle.properties", concat("gradleVersion = 7.", (part_size() % 6).cast("string"))),
         ("pom.xml", _pom(concat("<release>", size, "</release>"))),
@@ -585,7 +597,7 @@ def q_dependency_table(t: Tables) -> DataFrame:
     key, size = text("p_partkey"), part_size().cast("string")
     declared = concat("api 'g:", slug(), ":", size, "'\napi('x:y')\n")
     build = files(
-        t.part,
+        dealt_parts(t),
         key,
         ("build.gradle", declared),
         ("gradle.lockfile", "", part_size() % 3 == 0),

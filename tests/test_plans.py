@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from codeledger import schemas
+from codeledger.catalog import contents
+from codeledger.catalog.registry import Tables
 from codeledger.operators import history, sbom
 from codeledger.operators.iac import iac_matches
 from codeledger.operators.selection import select_repositories
@@ -77,3 +79,12 @@ def test_file_contents_are_not_shuffled(spark, tmp_path):
 def test_size_totals_do_not_read_contents(spark, tmp_path):
     plan = plan_of(history.size_totals(_files(spark, tmp_path)))
     assert "ReadSchema: struct<repo_id:string,path:string,size:bigint>" in plan
+
+
+def test_gradle_files_are_read_by_all_cores(spark, tmp_path):
+    parts = spark.range(4000).selectExpr("id p_partkey", "'a b' p_name", "'Brand#1' p_brand", "cast(id % 50 as int) p_size")
+    parts.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    files = contents._gradle_files(Tables(spark, str(tmp_path)))
+    by_task = [r["count"] for r in files.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(by_task) >= spark.sparkContext.defaultParallelism and sum(by_task) == 4000
+    assert max(by_task) <= 2 * 4000 / len(by_task)
