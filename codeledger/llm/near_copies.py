@@ -14,7 +14,8 @@ counted, all its pairs within the radius are, so that a pair is never lost behin
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -51,9 +52,20 @@ def keep_first(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radiu
 
     All rows of that id stay, and rows of a null id; all columns stay as they are, whatever their names.
     """
+    return keep_least(docs, lambda known: near_copies(known, shingle, similarity, radius))
+
+
+def keep_least(docs: DataFrame, *methods: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``docs`` with the least ``doc_id`` of each group that any of ``methods`` links, or several of them together.
+
+    A method gives (doc_id, component_id) for rows with an id.  All rows of the id stay, and rows of a null id.
+    """
     hidden, back = aside(docs, "doc_id", "text")
-    groups = near_copies(hidden, shingle, similarity, radius)
-    gone = checkpointed(groups.where("component_id < doc_id").select(F.col("doc_id").alias("__gone")).distinct())
+    known = hidden.where("doc_id is not null")
+    found = [checkpointed(m(known).where("component_id <> doc_id").select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))) for m in methods]
+    # one method's groups are whole; those of several are joined where they meet
+    groups = found[0].toDF("node", "component") if len(found) == 1 else components(reduce(DataFrame.union, found))
+    gone = checkpointed(groups.where("component < node").select(F.col("node").alias("__gone")).distinct())
     return back(hidden.join(small(gone), F.col("doc_id") == F.col("__gone"), "left_anti"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeledger.llm import decontamination, near_copies, quality, sentencepiece_codec, substring_dedup
+from codeledger.llm import decontamination, near_copies, quality, sentencepiece_codec, simhash, substring_dedup
 from codeledger.llm.tables import ready, table
 from codeledger.session import checkpointed
 
@@ -16,9 +16,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five words, a similarity of 0.8), the document with the least doc_id."""
+    """Of each group of near copies the document with the least doc_id.
+
+    SimHash links, 64 bits of three-word shingles within 3 bits, as op5; what so few bits miss at
+    five words and a similarity of 0.8 is added by wide fingerprints and counted.
+    """
     ready(spark)
-    return near_copies.keep_first(docs)
+    return near_copies.keep_least(docs, simhash.near_duplicates, near_copies.near_copies)
 
 
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
