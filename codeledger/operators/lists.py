@@ -49,7 +49,8 @@ def list_parts(
     part = F.pmod(F.xxhash64("item"), F.col("_parts")).cast("int").alias("part")
     dealt = items.join(sizes, key).select(key, part, "item")
     single = dealt.groupBy(key, "part", "item").agg(F.count(F.lit(1)).alias("copies"))
-    return single.groupBy(key, "part").agg(F.array_sort(F.collect_list(F.struct("item", "copies"))).alias("items"))
+    # no entry is null, so sort_array orders as array_sort, without its comparator that is interpreted per pair
+    return single.groupBy(key, "part").agg(F.sort_array(F.collect_list(F.struct("item", "copies"))).alias("items"))
 
 
 def whole_lists(parts: DataFrame, name: str, key: str = "repo_id") -> DataFrame:
@@ -57,8 +58,10 @@ def whole_lists(parts: DataFrame, name: str, key: str = "repo_id") -> DataFrame:
 
     For a document that holds the list whole; choose the keys first.
     """
-    copies = F.flatten(F.transform("items", lambda x: F.array_repeat(x["item"], x["copies"].cast("int"))))
-    return parts.groupBy(key).agg(F.array_sort(F.flatten(F.collect_list(copies))).alias(name))
+    # an item is in one part only, so entries are sorted before their copies are laid out; a null item goes last
+    entries = F.transform("items", lambda x: F.struct(x["item"].isNull().alias("none"), x["item"].alias("item"), x["copies"].cast("int").alias("copies")))
+    listed = F.sort_array(F.flatten(F.collect_list(entries)))
+    return parts.groupBy(key).agg(F.flatten(F.transform(listed, lambda x: F.array_repeat(x["item"], x["copies"]))).alias(name))
 
 
 def _item(items: Sequence[Column | str]) -> Column:

@@ -237,3 +237,14 @@ def test_one_repository_with_most_rows_comes_in_parts(spark):
         key: sorted((v for k, v in data if k == key), key=order) for key in ("hot", "cold")
     }
     assert list_parts(df.limit(0), ["v"]).count() == 0
+
+
+def test_lists_keep_their_order_without_an_interpreted_comparator(spark):
+    """Nulls last in a list, first within an item; copies side by side; both sorts are compiled."""
+    df = spark.createDataFrame([("r", v) for v in ("b", None, "a", "b", None)], "repo_id string, v string")
+    parts = list_parts(df, ["v"], 2)
+    assert whole_lists(parts, "all").first()["all"] == ["a", "b", "b", None, None]
+    pairs = spark.createDataFrame([("r", "a", 2), ("r", None, 1), ("r", "a", None)], "repo_id string, v string, n int")
+    listed = whole_lists(list_parts(pairs, ["v", "n"]), "all").first()["all"]
+    assert [tuple(x) for x in listed] == [(None, 1), ("a", None), ("a", 2)]
+    assert "array_sort" not in whole_lists(parts, "all")._jdf.queryExecution().optimizedPlan().toString()
