@@ -198,9 +198,11 @@ def profile_tables(t: Tables) -> p.ProfileTables:
 
 
 def stored_tables(t: Tables) -> p.ProfileTables:
-    """As ``profile_tables``, with the costliest table written once instead of derived per use."""
+    """As ``profile_tables``, with the costliest tables written once instead of derived per use."""
     tables = profile_tables(t)
-    return replace(tables, syft_dependencies=checkpointed(tables.syft_dependencies))
+    return replace(
+        tables, syft_dependencies=checkpointed(tables.syft_dependencies), repo_metrics=checkpointed(tables.repo_metrics)
+    )
 
 
 _TABLES_SQL = f"""
